@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, sharding, urlfilter
+from granary.llm import decontaminate, sharding, simhash, urlfilter
 from granary.llm.util import table
 
 #: The rules of the url query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexed("fp").alias("fingerprint"), "component_id")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -26,7 +31,7 @@ def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), listed)
 
 
-QUERIES = {f.__name__: f for f in (op5_decontaminate, op6_shards, op7_urlfilter)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op5_decontaminate, op6_shards, op7_urlfilter)}
 
 SQL = {
     "op7_urlfilter": r"""
