@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, sharding, simhash, urlfilter
+from granary.llm import decontaminate, packing, sharding, simhash, urlfilter
 from granary.llm.util import table
 
 #: The rules of the url query: host, path, verdict.
@@ -17,6 +17,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexed("fp").alias("fingerprint"), "component_id")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,7 +36,7 @@ def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), listed)
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op5_decontaminate, op6_shards, op7_urlfilter)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_packing, op5_decontaminate, op6_shards, op7_urlfilter)}
 
 SQL = {
     "op7_urlfilter": r"""
