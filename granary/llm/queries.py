@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, packing, sharding, simhash, urlfilter
+from granary.llm import decontaminate, langid, packing, quality, sharding, simhash, urlfilter
 from granary.llm.util import table
 
 #: The rules of the url query: host, path, verdict.
@@ -22,6 +22,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).withColumn("selected", F.col("tail") >= quality.CUTOFF)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -36,7 +42,11 @@ def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), listed)
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_packing, op5_decontaminate, op6_shards, op7_urlfilter)}
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_packing, op4_quality, op5_decontaminate, op6_shards, op7_urlfilter, op9_langid)}
 
 SQL = {
     "op7_urlfilter": r"""
