@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, langid, packing, quality, sharding, simhash, urlfilter
+from granary.llm import decontaminate, langid, packing, quality, sharding, simhash, toxicity, urlfilter
 from granary.llm.util import table
 
 #: The rules of the url query: host, path, verdict.
@@ -42,11 +42,15 @@ def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), listed)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_packing, op4_quality, op5_decontaminate, op6_shards, op7_urlfilter, op9_langid)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_packing, op4_quality, op5_decontaminate, op6_shards, op7_urlfilter, op8_toxicity, op9_langid)}
 
 SQL = {
     "op7_urlfilter": r"""
