@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, langid, packing, quality, sharding, simhash, toxicity, urlfilter
+from granary.llm import decontaminate, langid, mih, packing, quality, sharding, simhash, toxicity, urlfilter
 from granary.llm.util import table
 
 #: The rules of the url query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op1_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mih.search(table(spark, sf_dir, "embeddings"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexed("fp").alias("fingerprint"), "component_id")
@@ -50,7 +54,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_packing, op4_quality, op5_decontaminate, op6_shards, op7_urlfilter, op8_toxicity, op9_langid)}
+QUERIES = {f.__name__: f for f in (op1_mih, op2_simhash, op3_packing, op4_quality, op5_decontaminate, op6_shards, op7_urlfilter, op8_toxicity, op9_langid)}
 
 SQL = {
     "op7_urlfilter": r"""
