@@ -27,7 +27,6 @@ WIDTH = 5
 THRESHOLD = 0.8
 #: Sketch rows (16 bytes each) up to which they are broadcast; beyond, both sides are shuffled.
 BROADCAST_ROWS = 500_000
-BY_ITEM = Window.partitionBy("item_id")
 
 
 def words(text: Column) -> Column:
@@ -61,7 +60,7 @@ def item_grams(items: DataFrame, item_id: str, text: str, width: int) -> DataFra
 def sketches(shingles: DataFrame, threshold: float) -> DataFrame:
     """The MinHash sketch of each item: as many of its smallest hashes as its size calls for."""
     return (
-        shingles.withColumn("nth", F.row_number().over(BY_ITEM.orderBy("h", "gram")))
+        shingles.withColumn("nth", F.row_number().over(Window.partitionBy("item_id").orderBy("h", "gram")))
         .where(F.col("nth") <= F.floor((1 - F.lit(threshold)) * F.col("n") + F.lit(1e-9)) + 1)
         .select("item_id", "width", "h")
     )
@@ -72,7 +71,7 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str
     shingles = item_grams(items, item_id, text, width)
     gram_words = F.split("gram", " ")
     hash_of = F.coalesce(*[F.when(F.col("width") == k, F.xxhash64(*[F.get(gram_words, F.lit(j)) for j in range(k)])) for k in range(1, width + 1)])
-    shingles = cut(shingles.withColumn("h", hash_of).withColumn("n", F.count("*").over(BY_ITEM)))
+    shingles = cut(shingles.withColumn("h", hash_of).withColumn("n", F.count("*").over(Window.partitionBy("item_id"))))
     sketch = sketches(shingles, threshold)
     n_sketch, widths = sketch.count(), sorted(r.width for r in shingles.select("width").distinct().collect())  # at most ``width`` rows
     d = docs.select(docs[doc_id].alias("doc_id"), words(docs[text]).alias("w")).where("doc_id is not null and w is not null")
