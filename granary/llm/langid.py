@@ -139,7 +139,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], doc_id: str = "d
     """doc_id, lang_pred, score of every row."""
     spark = tune(docs.sparkSession, 64)
     names = list(prototypes)
-    p = np.array([prototypes[k] for k in names]).reshape(len(names), -1)
+    p = np.array([prototypes[k] for k in names], dtype=float).reshape(len(names), DIM)
     mean = p.mean(axis=0) if len(names) > 1 else np.zeros(DIM)
     centred = p - mean
     centred = centred / np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-12) if names else centred
