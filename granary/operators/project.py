@@ -27,3 +27,9 @@ def to_entries(df: DataFrame, source_text: str, number: str = "number", values:
         c = c.cast(S.spark_type(f))
         cols.append((F.coalesce(c, F.lit(default)) if default else c).alias(f.name))
     return df.select(*cols)
+
+
+def completed(df: DataFrame) -> DataFrame:
+    """The table with all fields of an entry, nulls where it lacks them, and its other columns."""
+    lacking = [F.lit(None).cast(S.spark_type(f)).alias(f.name) for f in S.FIELDS if f.name not in df.columns]
+    return df.select("*", *lacking)

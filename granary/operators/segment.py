@@ -115,8 +115,9 @@ def bilingual(blocks: DataFrame, keep: Sequence[str], english: Sequence[str]) ->
     at = F.instr(b, "திணை")
     end = F.coalesce(*[F.when(F.instr(b, m) > 0, F.instr(b, m) + F.lit(len(m) - 1)) for m in ends], F.when(at > 0, at + 3 + F.least(F.lit(150), F.length(b) - at - 3)), F.least(F.lit(200), F.length(b)))
     rows = blocks.withColumn("_end", end)
-    starts = [F.length(F.regexp_extract(b, F.concat(F.lit(rf"(?is)^(.*?){p}\s+"), F.col("number").cast("string"), F.lit(r"\s*,")), 1)) for p in english]
-    hits = [F.when(b.rlike(F.concat(F.lit(rf"(?is){p}\s+"), F.col("number").cast("string"), F.lit(r"\s*,"))), s) for p, s in zip(english, starts)]
+    number = F.col("number").cast("string")
+    heads = [F.concat(F.lit(rf"(?is)^(.*?){p}\s+"), number, F.lit(r"\s*,")) for p in english]
+    hits = [F.when(F.regexp_like(b, h), F.length(F.call_function("regexp_extract", b, h, F.lit(1)))) for h in heads]
     rows = rows.withColumn("_eng", F.coalesce(*hits))
     header = strip(F.substr(b, F.lit(1), F.col("_end")))
     verse = F.when(F.col("_eng").isNotNull(), F.substr(b, F.col("_end") + 1, F.greatest(F.col("_eng") - F.col("_end"), F.lit(0)))).otherwise(F.substr(b, F.col("_end") + 1))
