@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import text as X
-from granary.operators import annotate, contain, dedup, lookups, match, profile, project, rules, segment, sinks
+from granary.operators import annotate, contain, dedup, lookups, match, profile, project, rules, segment, sinks, validate
 from granary.sources import corpus
 from granary.streaming import ingest
 
@@ -484,6 +484,58 @@ def project_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("verse_id", "source_text", "layer", "verse_number", "classical_tamil", "akam_or_puram", "speaker_role", "cultural_context")
 
 
+@query("""
+SELECT 'documents' AS file, count(*) AS entries, count(*) FILTER (length(text) > 0 AND doc_id < 10000) AS passed,
+       CAST(sum(CASE WHEN length(text) = 0 THEN 1 ELSE 0 END + CASE WHEN doc_id >= 10000 THEN 1 ELSE 0 END) AS BIGINT) AS errors, CAST(0 AS BIGINT) AS duplicate_ids FROM documents
+""")
+def validate_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as entries, checked as JSON against the schema and the rules between fields."""
+    d = table(spark, sf_dir, "documents")
+    e = project.to_entries(d, "Purananuru", "doc_id", {"classical_tamil": F.col("text")})
+    rows = e.select(F.lit("documents").alias("file"), F.col("verse_id").alias("label"), F.to_json(F.struct(*e.columns)).alias("json"))
+    return validate.totals(rows)
+
+
+@query("""
+SELECT event_id, '{"k":' || json_extract_string(props, '$.k') || '}' AS parsed, '{"k":"' || json_extract_string(props, '$.k') || '"}' AS extra FROM events
+""")
+def json_in_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON out of a fenced answer, and what a log row keeps under other keys."""
+    answer = F.concat(F.lit("Here it is:\n```json\n"), F.col("props"), F.lit("\n```\ndone"))
+    m = F.from_json("props", "map<string,string>")
+    return table(spark, sf_dir, "events").select("event_id", F.to_json(X.json_in_text(answer)).alias("parsed"), X.extras(m, ["event_id"]).alias("extra"))
+
+
+@query("""
+WITH l AS (SELECT doc_id, text, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: length(x) >= 5 AND NOT regexp_full_match(x, '[=#\\-\\s]+')) AS x FROM documents),
+s AS (SELECT doc_id, text, list_transform(x[1:5], lambda y: CASE WHEN length(y) > 500 THEN trim(substr(y, 1, 280)) || '…' ELSE y END) AS d FROM l)
+SELECT doc_id, CASE WHEN len(d) > 0 THEN array_to_string(d, ' / ') ELSE trim(substr(trim(text), 1, 280)) END AS definitions FROM s
+""")
+def definition_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.definition_lines(F.col("text")), " / ").alias("definitions"))
+
+
+@query("""SELECT n_nationkey, '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}' AS json FROM nation""")
+def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    return n.select("n_nationkey", F.to_json(F.struct("n_nationkey", "n_name")).alias("json"))
+
+
+@query("""
+WITH n AS (SELECT s_nationkey, list_sort(list(s_name))[1:3] AS names FROM supplier GROUP BY s_nationkey)
+SELECT c_custkey, coalesce(array_to_string(names, ' / '), '') AS definitions FROM customer LEFT JOIN n ON c_nationkey = s_nationkey
+""")
+def dictionary_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to three definitions of each word: here a nation's key, and its suppliers."""
+    from pyspark.sql.window import Window
+
+    s = table(spark, sf_dir, "supplier").withColumn("n", F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_name"))).where("n <= 3")
+    dim = s.groupBy(F.col("s_nationkey").cast("string").alias("form")).agg(F.array_sort(F.collect_list("s_name")).alias("definitions"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("w"))
+    got = annotate.with_definitions(c, F.array("w"), dim, "c_custkey")
+    return got.select("c_custkey", F.coalesce(F.array_join(F.col("definitions")[F.col("w")], " / "), F.lit("")).alias("definitions"))
+
+
 @query(_LATEST)
 def stream_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream into a keyed table, and its last version."""
