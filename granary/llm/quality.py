@@ -88,7 +88,7 @@ class Ordinal:
         m, v = np.zeros(len(w) + k), np.zeros(len(w) + k)
         for step in range(1, steps + 1):
             t = np.concatenate([theta[:1], theta[0] + np.cumsum(np.exp(theta[1:]))])
-            eta = x @ w
+            eta = (x @ w.astype(x.dtype)).astype(np.float64)  # no copy of x in another type
             up = _sigmoid(eta[:, None] - t[None, :])  # P(grade > j)
             full = np.concatenate([np.ones((len(y), 1)), up, np.zeros((len(y), 1))], axis=1)
             p = np.maximum(full[np.arange(len(y)), y] - full[np.arange(len(y)), y + 1], 1e-9)
@@ -99,7 +99,7 @@ class Ordinal:
             for j in range(k):
                 g_t[j] = (np.where(y == j + 1, lower, 0) / p).sum() / len(y) - (np.where(y == j, upper, 0) / p).sum() / len(y)
             g_theta = np.concatenate([[g_t.sum()], np.array([g_t[j:].sum() * np.exp(theta[j]) for j in range(1, k)])])
-            g = np.concatenate([x.T @ g_eta + l2 * w, g_theta])
+            g = np.concatenate([(g_eta.astype(x.dtype) @ x).astype(np.float64) + l2 * w, g_theta])
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
             w, theta = w - move[: len(w)], theta - move[len(w) :]
@@ -125,14 +125,19 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([vector(t.as_py()).astype(np.float16).tobytes() for t in b.column(1)], pa.binary())], names=["y", "v"])
 
     y_type = dict(rows.dtypes)["_y"]
-    got = rows.mapInArrow(run, f"y {y_type}, v binary").toArrow()  # ``sample`` rows of 8 KB
-    grades = sorted(set(got.column(0).to_pylist()))
+    raw, grades_of = [], []
+    for r in rows.mapInArrow(run, f"y {y_type}, v binary").toArrow().to_batches():  # ``sample`` rows of 8 KB
+        grades_of += r.column(0).to_pylist()
+        raw += r.column(1).to_pylist()
+    grades = sorted(set(grades_of))
     if len(grades) < 2:
         return None
-    x = np.frombuffer(b"".join(got.column(1).to_pylist()), dtype=np.float16).reshape(-1, DIM + MARKS).astype(np.float32)
-    y = np.searchsorted(np.array(grades), np.array(got.column(0).to_pylist()))
-    order = np.lexsort((x[:, :8].sum(axis=1), x[:, DIM:].sum(axis=1), y))
-    return Ordinal.fit(x[order], y[order], grades)
+    order = sorted(range(len(raw)), key=lambda k: (grades_of[k], zlib.crc32(raw[k])))  # tasks end in any order
+    x = np.empty((len(raw), DIM + MARKS), dtype=np.float32)
+    for k, at in enumerate(order):
+        x[k] = np.frombuffer(raw[at], dtype=np.float16)
+        raw[at] = b""
+    return Ordinal.fit(x, np.searchsorted(np.array(grades), np.array(grades_of)[order]), grades)
 
 
 def score(docs: DataFrame, model: Ordinal | None, doc_id: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
