@@ -10,8 +10,8 @@ the covering radius plus the threshold those that matter, about ten), and meets
 fingerprint at home there that could be linked. Fingerprints are compared at their anchors only.
 
 ``near_duplicates`` links by fingerprint alone and collapses copies of a fingerprint first. A large
-anchor is dealt in chunks of its home fingerprints, and there only links that join two groups are
-kept, so a crowd gives no more links than it has members. Components come from
+anchor is dealt in chunks of its home fingerprints, and where one fingerprint is near very many only
+links that join two groups are kept, so a crowd does not give all its pairs. Components come from
 ``components.connected``.
 
 ``deduplicate`` is for texts that must be alike: its fingerprints are of distinct words, which keeps
@@ -43,8 +43,10 @@ WIDTH = 3
 BITS = 3
 #: Home fingerprints of an anchor that one task compares at a time.
 CHUNK = 4096
-#: Up to so many home fingerprints, an anchor's links are all kept.
+#: A guest keeps all of its links at an anchor, if these are no more.
 SMALL = 24
+#: Anchors with so few home fingerprints are compared many at a time.
+FEW = 8
 #: Crowded anchors (16 bytes each) up to which their list is broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -167,26 +169,34 @@ def placed(nodes: DataFrame, parts: tuple = HALVES) -> DataFrame:
     return nodes.select("fp", "id").mapInArrow(run, "anchor long, guest int, fp long, id long")
 
 
-def _spanning(homes: np.ndarray, home_ids: np.ndarray, guests: np.ndarray, guest_ids: np.ndarray, bits: int) -> tuple[list, list]:
-    """Links that connect whatever one crowded anchor connects; fewer than it has members."""
+def _crowd(homes: np.ndarray, home_ids: np.ndarray, guests: np.ndarray, guest_ids: np.ndarray, bits: int) -> tuple[list, list]:
+    """Links of one large anchor. A guest that is near at most ``SMALL`` home fingerprints keeps all
+    of these links; of others only those are kept that join groups, so that what the anchor connects
+    stays connected with fewer links than it has members."""
     label, a, b = np.arange(len(homes)), [], []
-    for g, i in zip(guests, guest_ids):
-        gap = np.bitwise_count(homes ^ g)
-        near = np.flatnonzero((gap <= bits) & (home_ids != i))
-        if len(near):
-            a.append(i)
-            b.append(home_ids[near[np.argmin(gap[near])]])
-            labels = np.unique(label[near])
+    step = max(1, 1_000_000 // len(homes))
+    for lo in range(0, len(guests), step):
+        g, i = guests[lo : lo + step], guest_ids[lo : lo + step]
+        gap = np.bitwise_count(homes[None, :] ^ g[:, None])
+        near = (gap <= bits) & (home_ids[None, :] != i[:, None])
+        count = near.sum(axis=1)
+        row, col = np.nonzero(near & (count <= SMALL)[:, None])
+        a.append(i[row])
+        b.append(home_ids[col])
+        for k in np.flatnonzero(count > SMALL):
+            at = np.flatnonzero(near[k])
+            labels = np.unique(label[at])
+            first = at[np.argmin(gap[k, at])]
+            a.append(np.concatenate([i[k : k + 1], np.repeat(home_ids[labels[0]], len(labels) - 1)]))
+            b.append(np.concatenate([home_ids[first : first + 1], home_ids[labels[1:]]]))
             for other in labels[1:]:
-                a.append(home_ids[labels[0]])
-                b.append(home_ids[other])
                 label[label == other] = labels[0]
     return a, b
 
 
 def links(nodes: DataFrame, bits: int = BITS, parts: tuple = HALVES, chunk: int = CHUNK) -> DataFrame:
     """a, b: enough links between ids to connect all nodes (fp, id) that links of at most ``bits``
-    bits connect; all of these links, where an anchor has at most ``SMALL`` home fingerprints."""
+    bits connect; all links of a fingerprint that is near at most ``SMALL`` others at an anchor."""
     if bits // (64 // sum(n for _, n in parts)) > 1:
         raise ValueError("this covering finds links within 1 bit of a block only")
     rows = cut(placed(nodes, parts))
@@ -232,7 +242,7 @@ def _compare_groups(anchor, part, guest, fp, ids, bits) -> Iterator[pa.RecordBat
     sizes = np.diff(np.concatenate([starts, [len(f)]]))
     homes = np.add.reduceat(guest == 0, starts, dtype=np.int64)
     out_a, out_b = [], []
-    small = (homes > 0) & (homes <= SMALL)
+    small = (homes > 0) & (homes <= FEW)
     # All small groups at once: each guest against each home of its anchor.
     gid = np.repeat(np.arange(len(starts)), sizes)
     who = np.flatnonzero((guest == 1) & small[gid])
@@ -244,11 +254,11 @@ def _compare_groups(anchor, part, guest, fp, ids, bits) -> Iterator[pa.RecordBat
         near = (np.bitwise_count(f[left] ^ f[right]) <= bits) & (ids[left] != ids[right])
         out_a.append(ids[left[near]])
         out_b.append(ids[right[near]])
-    for k in np.flatnonzero(homes > SMALL):
+    for k in np.flatnonzero(homes > FEW):
         s, m, e = starts[k], starts[k] + homes[k], starts[k] + sizes[k]
-        a, b = _spanning(f[s:m], ids[s:m], f[m:e], ids[m:e], bits)
-        out_a.append(np.array(a, dtype=np.int64))
-        out_b.append(np.array(b, dtype=np.int64))
+        a, b = _crowd(f[s:m], ids[s:m], f[m:e], ids[m:e], bits)
+        out_a += a
+        out_b += b
     if out_a:
         a, b = np.concatenate(out_a), np.concatenate(out_b)
         if len(a):
