@@ -14,9 +14,10 @@ anchor is dealt in chunks of its home fingerprints, and where one fingerprint is
 links that join two groups are kept, so a crowd does not give all its pairs. Components come from
 ``components.connected``.
 
-``deduplicate`` is for texts that must be alike: its fingerprints are of distinct words, which keeps
-those of similar texts close, links are verified by the Jaccard similarity of five-word shingles,
-and one document of each group stays.
+``deduplicate`` is for texts that must be alike: its groups are the components of all pairs whose
+five-word shingles have a Jaccard similarity of 0.8 or more, and one document of each stays. No
+fingerprint of 64 bits tells that within few bits, so pairs come from an exact join by the first
+shingles of each text, and a link counts once it is verified.
 
 Defined results: null or blank texts have fingerprint zero and are linked like any other; repeated
 rows each get a row; rows with a null id are linked too and get their component's smallest id (null
@@ -26,6 +27,7 @@ ignored, or kept by ``deduplicate``.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -34,9 +36,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from granary.llm.components import connected
-from granary.llm.util import cut, tune
+from granary.llm.util import cut, tune, written
 
 SEED = 42
 WIDTH = 3
@@ -279,7 +282,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 # Groups of similar texts. ----------------------------------------------------------------------
 
 _WORD = re.compile(r"\w+")
-STAGE_WIDTH, STAGE_BITS, SIMILARITY = 5, 7, 0.8
+STAGE_WIDTH, SIMILARITY = 5, 0.8
+#: Documents whose shingles are counted for the list of common ones, texts that one must stand in
+#: and the most that are listed. The list sets the order of shingles only; any order finds all pairs.
+COUNTED, COMMON, LISTED = 50_000, 10, 50_000
+#: Texts with one shingle up to which their pairs are formed; more are compared in blocks.
+PAIRED = 16
+#: Shingles of a block's side.
+BLOCK = 1_000_000
 
 
 def shingle_hashes(text: str | None, width: int = STAGE_WIDTH) -> np.ndarray:
@@ -302,15 +312,18 @@ def verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, width: i
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_hashes(t.as_py(), width).tobytes() for t in b.column(1)], pa.binary())], names=["id", "s"])
 
-    held = cut(texts.mapInArrow(sets, "id long, s binary"))
+    return checked(pairs, cut(texts.mapInArrow(sets, "id long, s binary")), similarity)
+
+
+def checked(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs (a, b) whose sets of shingles, in ``held`` (id, s), have that similarity."""
 
     def check(batches):
         for b in batches:
             keep = []
             for x, y in zip(b.column(2), b.column(3)):
                 x, y = (np.frombuffer(v.as_py(), dtype=np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+                keep.append(bool(_alike(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), similarity)))
             m = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(m), b.column(1).filter(m)], names=["a", "b"])
 
@@ -318,28 +331,154 @@ def verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, width: i
     return both.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
-def word_fingerprint(text: str | None) -> int:
-    """The fingerprint of the set of the text's words."""
-    w = set(_WORD.findall((text or "").lower()))
-    if not w:
-        return 0
-    raw = b"".join([xxhash.xxh64_digest(x.encode("utf-8", "surrogatepass"), SEED) for x in w])
-    bits = np.unpackbits(np.frombuffer(raw, dtype=np.uint8).reshape(-1, 8), axis=1)
-    return int.from_bytes(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(w)).tobytes(), "big")
+def _alike(both, m, n, similarity: float):
+    return both >= similarity * (m + n - both) - 1e-9
+
+
+def prefix_length(n: int, similarity: float) -> int:
+    """Two sets with that Jaccard similarity share one of so many first elements, in any one order."""
+    return n - max(1, math.ceil(similarity * n - 1e-6)) + 1 if n else 0
+
+
+def shingled(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """doc_id, id (a hash of the set of shingles), s (the set) of every row."""
+    tune(docs.sparkSession)
+    id_type = docs.schema[doc_id].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            sets = [shingle_hashes(t.as_py(), width).tobytes() for t in b.column(1)]
+            ids = np.array([xxhash.xxh64_intdigest(s, SEED) for s in sets], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids), pa.array(sets, pa.binary())], names=["doc_id", "id", "s"])
+
+    return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).mapInArrow(run, f"doc_id {id_type}, id long, s binary")
+
 
+def common_shingles(sets: DataFrame, similarity: float) -> np.ndarray:
+    """Shingles that stand in many of the sets, as far as a sample tells."""
+    n = sets.count()
 
-def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = STAGE_WIDTH, bits: int = STAGE_BITS, similarity: float = SIMILARITY) -> DataFrame:
+    def low(batches):
+        for b in batches:
+            found = [x[: 2 * prefix_length(len(x), similarity)] for x in (np.frombuffer(v.as_py(), dtype=np.uint64) for v in b.column(0))]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["tok"])
+
+    some = sets.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) < min(1.0, COUNTED / max(n, 1)) * 1_000_000).select("s")
+    counted = some.mapInArrow(low, "tok long").groupBy("tok").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    return np.sort(np.array([r.tok for r in counted.orderBy(F.desc("n"), "tok").limit(LISTED).collect()], dtype=np.int64).view(np.uint64))
+
+
+def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """tok, id, n: of every set its first shingles in one order, common ones last, and its size."""
+    listed = sets.sparkSession.sparkContext.broadcast(common_shingles(sets, similarity))
+
+    def run(batches):
+        for b in batches:
+            ids, toks, sizes = b.column(0).to_numpy(), [], []
+            for v in b.column(1):
+                x = np.frombuffer(v.as_py(), dtype=np.uint64)
+                last = np.searchsorted(listed.value, x, "right") > np.searchsorted(listed.value, x, "left")
+                toks.append(np.concatenate([x[~last], x[last]])[: prefix_length(len(x), similarity)])
+                sizes.append(len(x))
+            each = [len(t) for t in toks]
+            if sum(each):
+                cols = [np.concatenate(toks).view(np.int64), np.repeat(ids, each), np.repeat(np.array(sizes, dtype=np.int32), each)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["tok", "id", "n"])
+
+    return sets.select("id", "s").mapInArrow(run, "tok long, id long, n int")
+
+
+def spanning(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that join groups, of pairs that are alike: every pair is compared that has different
+    labels and has not been joined by such links before."""
+    sizes = np.array([len(s) for s in sets])
+    _, place = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    _, label, count = np.unique(labels, return_inverse=True, return_counts=True)
+    mark, out = np.zeros(place.max() + 1, dtype=bool), []
+    for k in np.flatnonzero(label != count.argmax()):
+        if (label == label[0]).all():
+            break
+        own = place[starts[k] : starts[k] + sizes[k]]
+        mark[own] = True
+        shared = np.add.reduceat(mark[place], starts, dtype=np.int64)
+        mark[own] = False
+        near = np.flatnonzero(_alike(shared, sizes, sizes[k], similarity) & (label != label[k]))
+        for other, at in zip(*np.unique(label[near], return_index=True)):
+            out.append((int(ids[k]), int(ids[near[at]])))
+            label[label == other] = label[k]
+    return out
+
+
+def joining(rows: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """a, b: verified links. Of the sets that share a ``tok`` in ``rows`` (tok, id, n, label) and have
+    different labels all pairs are compared: where they are few, as pairs, else in blocks."""
+    groups_ = rows.groupBy("tok").agg(F.count("*").alias("c"), F.sum("n").alias("total"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    open_ = cut(rows.join(groups_.where("lo < hi").select("tok", "c", "total"), "tok"))
+    few = open_.where(F.col("c") <= PAIRED).select("tok", "id", "n", "label")
+    x, y = few.alias("x"), few.alias("y")
+    fits = F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n") - 1e-6
+    met = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & fits)
+    links_ = checked(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), held, similarity)
+    many = open_.where(F.col("c") > PAIRED).withColumn("parts", F.ceil(F.col("total") / BLOCK).cast("int"))
+    own = F.pmod(F.xxhash64("id", F.lit(9)), F.col("parts")).cast("int")
+    sides = many.select("tok", "id", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    blocks = sides.select("tok", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "label").join(held, "id").select("tok", "i", "j", "id", "label", "s")
+
+    def run(batches):
+        key, ids, labels, sets = None, [], [], []
+
+        def done():
+            found = spanning(np.array(ids), np.array(labels), sets, similarity)
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for b in batches:
+            for *now, i, label, s in zip(*(b.column(k).to_pylist() for k in range(6))):
+                if now != key:
+                    if key is not None:
+                        yield done()
+                    key, ids, labels, sets = now, [], [], []
+                ids.append(i)
+                labels.append(label)
+                sets.append(np.frombuffer(s, dtype=np.uint64))
+        if key is not None:
+            yield done()
+
+    return links_.unionByName(blocks.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j").mapInArrow(run, "a long, b long"))
+
+
+def alike(sets: DataFrame, similarity: float) -> DataFrame:
+    """node, root: the components of sets (id, s) of that Jaccard similarity, of those that are linked.
+
+    Two such sets share one of their first shingles (``prefixes``), so all that share one are
+    compared, unless verified links join them already. First each is compared with the least of those
+    that it meets, then all pairs under a sixteenth of the shingles, then under the others; so most
+    of a crowd is joined before its pairs are looked at."""
+    ends = Window.partitionBy("tok")
+    met = prefixes(sets, similarity).withColumns({"lo": F.min("id").over(ends), "hi": F.max("id").over(ends)}).where("lo < hi")
+    met = cut(met.select("tok", "id", "n", "lo").distinct())
+    held = cut(sets.join(met.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
+    links_ = cut(checked(met.where("id <> lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct(), held, similarity))
+    roots = connected(links_)
+    for some in (F.pmod("tok", F.lit(16)) == 0, F.pmod("tok", F.lit(16)) != 0):
+        known = roots.select(F.col("node").alias("id"), "root")
+        labelled = met.where(some).join(known, "id", "left").select("tok", "id", "n", F.coalesce("root", "id").alias("label"))
+        links_ = cut(links_.unionByName(joining(labelled, held, similarity)))
+        roots = connected(links_)
+    return roots
+
+
+def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = STAGE_WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """id, group_id of every document with an id that is not the smallest of its group.
 
-    Equal texts are one node, with the smallest id of them; nodes whose word fingerprints lie within
-    ``bits`` bits are compared by their shingles."""
-    named = docs.where(docs[doc_id].isNotNull())
-    prints = cut(fingerprints(named, doc_id, text, word_fingerprint, F.md5(F.coalesce(named[text], F.lit("")))))
-    nodes = cut(prints.groupBy("digest").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("id")))
-    close = cut(links(nodes, bits, QUARTERS))
-    roots = connected(verified(named, close, doc_id, text, width, similarity)).withColumnRenamed("node", "id")
-    led = nodes.join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("group_id"))
-    return prints.join(led, "digest").where("doc_id <> group_id").select(F.col("doc_id").alias("id"), "group_id")
+    Texts with equal sets of shingles are one node; groups are the components of all pairs of nodes
+    whose sets have that Jaccard similarity."""
+    prints = written(shingled(docs.where(docs[doc_id].isNotNull()), doc_id, text, width), "shingles")
+    roots = alike(prints.select("id", "s"), similarity).withColumnRenamed("node", "id")
+    placed_ = cut(prints.select("doc_id", "id").join(roots, "id", "left").select("doc_id", F.coalesce("root", "id").alias("root")))
+    led = placed_.groupBy("root").agg(F.min("doc_id").alias("group_id"))
+    return placed_.join(led, "root").where("doc_id <> group_id").select(F.col("doc_id").alias("id"), "group_id")
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **kw) -> DataFrame:

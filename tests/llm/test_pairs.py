@@ -112,6 +112,66 @@ def test_deduplicate_keeps_one_of_each(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x)) == [*range(20), 900, None]
 
 
+def plain_groups(rows, similarity=0.8):
+    """id: smallest id of its group, by the similarity of all pairs."""
+    sets = [(i, set(simhash.shingle_hashes(t).tolist())) for i, t in rows]
+    label = {i: i for i, _ in sets}
+    for k, (i, x) in enumerate(sets):
+        for j, y in sets[:k]:
+            both = len(x & y)
+            if label[i] != label[j] and both >= similarity * (len(x) + len(y) - both) - 1e-9:
+                low, high = sorted((label[i], label[j]))
+                label = {d: low if v == high else v for d, v in label.items()}
+    return label
+
+
+def held_groups(spark, rows):
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    return {i: i for i, _ in rows} | {r.id: r.group_id for r in simhash.groups(docs).collect()}
+
+
+def crowd_of(n, seed):
+    """Near copies of one text of 200 words, with 0 to 4 words edited."""
+    rng = random.Random(seed)
+    base, out = " ".join(texts(8, seed)).split()[:200], set()
+    while len(out) < n:
+        w = list(base)
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(200)] = f"new{rng.randrange(10**6)}"
+        out.add(" ".join(w))
+    return sorted(out, key=lambda t: hash_of(t))
+
+
+def hash_of(t):
+    return xxhash.xxh64_intdigest(t.encode(), 3)
+
+
+def test_groups_of_a_crowd_match_brute_force(spark):
+    rng, line = random.Random(8), "this line stands in every one of these texts without any change"
+    rows = list(enumerate(crowd_of(400, 21) + [f"{t} {line}" for t in texts(120, 22)] + [line, f"{line} x", "", None, "?!"]))
+    rng.shuffle(rows)
+    want = plain_groups(rows)
+    assert len(set(want.values())) > 100
+    assert held_groups(spark, rows) == want
+
+
+def test_blocks_of_a_crowd_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 5_000)
+    rows = list(enumerate(crowd_of(150, 31) + crowd_of(60, 32)))
+    assert held_groups(spark, rows) == plain_groups(rows)
+
+
+def test_spanning_links_join_what_all_links_join():
+    sets = [simhash.shingle_hashes(t) for t in crowd_of(120, 41) + texts(10, 42)]
+    found = simhash.spanning(np.arange(130), np.arange(130), sets, 0.8)
+    label = {i: i for i in range(130)}
+    for a, b in found:
+        low, high = sorted((label[a], label[b]))
+        label = {d: low if v == high else v for d, v in label.items()}
+    assert len(found) < 130
+    assert label == plain_groups([(i, t) for i, t in enumerate(crowd_of(120, 41) + texts(10, 42))])
+
+
 def test_similarity_threshold_is_exact(spark):
     a = texts(1, 4)[0].split()
     b = ["other"] + a[1:]
