@@ -1,5 +1,6 @@
 """Nearest neighbours, near-duplicates and decontamination against brute force."""
 
+import math
 import random
 import re
 
@@ -172,6 +173,28 @@ def test_spanning_links_join_what_all_links_join():
     assert label == plain_groups([(i, t) for i, t in enumerate(crowd_of(120, 41) + texts(10, 42))])
 
 
+def test_cut_and_extended_copies_are_found(spark):
+    rng, base, rows = random.Random(50), [f"{a} {b} {c}" for a, b, c in zip(texts(60, 51), texts(60, 52), texts(60, 53))], []
+    for t, foreign in zip(base, texts(60, 54)):
+        w = t.split()
+        n = len(w)
+        scattered = [x if rng.random() > 0.02 else "other" for x in w]
+        for copy in (w, w[: n - rng.randint(0, n // 5)], w + foreign.split()[: rng.randint(0, n // 5)], scattered):
+            rows.append((len(rows), " ".join(copy)))
+    want = plain_groups(rows)
+    assert held_groups(spark, rows) == want
+    assert sum(want[4 * k + 1] == 4 * k for k in range(60)) > 40 and sum(want[4 * k + 2] == 4 * k for k in range(60)) > 40
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = random.Random(60)
+    for n in range(1, 60):
+        m = rng.randint(math.ceil(0.8 * n), n)
+        x, y = set(range(n)), set(rng.sample(range(n), m))
+        assert len(x & y) / len(x | y) >= 0.8 - 1e-9
+        assert set(sorted(x)[: simhash.prefix_length(n, 0.8)]) & set(sorted(y)[: simhash.prefix_length(m, 0.8)])
+
+
 def test_similarity_threshold_is_exact(spark):
     a = texts(1, 4)[0].split()
     b = ["other"] + a[1:]
