@@ -164,9 +164,9 @@ class Reader:
             words = _PLAIN.findall(core)
         # Signs at the ends may be letters too, as in "$cum".
         inner = token.strip(".,;:?\"'()[]{}“”„«»…")
-        if self.model and len(inner) <= 40 and not _PLAIN.fullmatch(core) and any(c.isalpha() for c in inner) and not ("@" in inner and "." in inner):
+        if self.model and not _PLAIN.fullmatch(core) and any(c.isalpha() for c in inner):
             words += [decode(inner, self.model), decode(core, self.model)]
-        elif self.model and inner != core and len(inner) <= 40 and any(c in LEET or c in WILD for c in inner) and core and len({*inner} - {*core}) <= 1 and len(inner) - len(core) <= 2:
+        elif self.model and inner != core and any(c in LEET or c in WILD for c in inner) and core and len({*inner} - {*core}) <= 1 and len(inner) - len(core) <= 2:
             words.append(decode(inner, self.model))
         return list(dict.fromkeys(w for w in words if len(w) > 2))
 
@@ -183,11 +183,9 @@ class Reader:
                 out.update(v)
         if self.model:
             for m in _SPACED.finditer(low):
-                pieces = m[0]
-                if len(pieces) <= 80:
-                    joined = re.sub(r"[ \t.\-_·]", "", pieces)
-                    if not joined.isdigit():
-                        out.update(self.word(joined))
+                joined = re.sub(r"[ \t.\-_·]", "", m[0])
+                if not joined.isdigit():
+                    out.update(self.word(joined))
         return out
 
 

@@ -211,6 +211,22 @@ def test_lattice_decodes():
         assert toxicity.decode(noisy, m) == want
 
 
+@pytest.fixture(scope="module")
+def word_model():
+    seen = "stupid idiot the and pathetic loser worthless you are a fool this is with some what they have from".split()
+    counts = {}
+    for w in seen * 20:
+        for g in toxicity.grams_of(w):
+            counts[g] = counts.get(g, 0) + 1
+    return toxicity.CharModel(counts)
+
+
+def test_long_tokens_are_read_whole(word_model):
+    got = toxicity.Reader(word_model).ids("the p@the.tic fool lo$er" + "-" * 30 + "." * 30 + "x")
+    assert toxicity.mark_id("=pathetic") in got and toxicity.mark_id("^loser") in got
+    assert toxicity.mark_id("^stupid") in toxicity.Reader(word_model).ids("s t u p i d " + "y o u a r e a f o o l " * 4)
+
+
 PAGES = [
     ("<nav><a href=x>Home</a></nav><article><h1>Title &amp; more</h1><p>First line of text here.<p>Second&nbsp;line,  wrapped\nhere.</article><footer>&copy; x</footer>", "Title & more\nFirst line of text here.\nSecond line, wrapped here."),
     ("", ""),
