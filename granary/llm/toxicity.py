@@ -21,6 +21,7 @@ columns are kept by ``select`` and ignored otherwise.
 from __future__ import annotations
 
 import math
+import operator
 import re
 from collections.abc import Iterator
 
@@ -49,8 +50,12 @@ LEET = {
 #: Signs that hide any one letter.
 WILD = "*#%"
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t.\-_*·]\S){2,}(?!\S)")
+_STOPS = ".,;:?\"'()[]{}“”„«»…"
+#: What it costs that a space is nothing.
+SPACE_COST = 4.0
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _PLAIN = re.compile(r"[^\W\d_]+")
+_TWICE = re.compile(r"(.)\1")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 
 
@@ -115,22 +120,105 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+#: An arc on which a word ends.
+END_ARC = " "
+
+
 def decode(token: str, model: CharModel) -> str:
-    """The most probable word behind a token: Viterbi over the lattice; a state is the last letters."""
-    states = {"^": (0.0, "")}
-    for arcs in lattice(token):
-        nxt: dict[str, tuple[float, str]] = {}
-        for ctx, (s, word) in states.items():
+    """The most probable word behind a token."""
+    return viterbi(lattice(token), model)
+
+
+def parted(tokens: tuple[str, ...], model: CharModel) -> list[str]:
+    """The most probable words behind neighbouring tokens: a space, or a sign in a token, may be
+    nothing or the end of a word."""
+    places: list[list[tuple[str, float]]] = []
+    for t in tokens:
+        if places:
+            places.append([("", SPACE_COST), (END_ARC, 0.0)])
+        places += [arcs if arcs[0][0] else [*arcs, (END_ARC, 1.0)] for arcs in lattice(t)]
+    return viterbi(places, model).split()
+
+
+def viterbi(places: list[list[tuple[str, float]]], model: CharModel) -> str:
+    """The most probable path; a state is the last letters. Paths are chains of steps, so the search
+    is linear in the number of places."""
+    states: dict[str, tuple[float, tuple | None]] = {"^": (0.0, None)}
+    for arcs in places:
+        nxt: dict[str, tuple[float, tuple | None]] = {}
+        for ctx, (s, path) in states.items():
             for letters, cost in arcs:
+                if letters == END_ARC:
+                    t = s - cost + (0.0 if ctx == "^" else model.logp(ctx, "$"))
+                    if "^" not in nxt or nxt["^"][0] < t:
+                        nxt["^"] = (t, (path, END_ARC))
+                    continue
                 for x in model.letters if letters == "?" else (letters,):
                     t, c = s - cost - (1.5 if letters == "?" else 0), ctx
                     for ch in x:
                         t += model.logp(c, ch)
                         c = (c + ch)[-(ORDER - 1) :]
                     if c not in nxt or nxt[c][0] < t:
-                        nxt[c] = (t, word + x)
-        states = dict(sorted(nxt.items(), key=lambda kv: -kv[1][0])[:BEAM])
-    return max((s + model.logp(c, "$"), w) for c, (s, w) in states.items())[1]
+                        nxt[c] = (t, (path, x) if x else path)
+        states = nxt if len(nxt) <= BEAM else dict(sorted(nxt.items(), key=lambda kv: -kv[1][0])[:BEAM])
+
+    def spelt(path) -> str:
+        out = []
+        while path:
+            path, x = path
+            out.append(x)
+        return "".join(reversed(out))
+
+    ends = [(s + (0.0 if c == "^" else model.logp(c, "$")), path) for c, (s, path) in states.items()]
+    best = max(t for t, _ in ends)
+    return max(spelt(path) for t, path in ends if t == best)
+
+
+class Joins(dict):
+    """Whether the model reads two neighbouring forms rather as one word. The key is the end of the
+    first and the beginning of the second, as far as the model sees over the space."""
+
+    def __init__(self, model: CharModel):
+        self.model, self.apart = model, {}
+
+    def __missing__(self, key: str) -> bool:
+        tail, head = key.split(" ")
+        v = False
+        if tail and head:
+            logp, apart = self.model.logp, self.apart
+            if tail not in apart:
+                apart[tail] = logp(tail, "$")
+            if (own := apart.get(f" {head}")) is None:
+                own = apart[f" {head}"] = sum(logp(("^" + head[:k])[-(ORDER - 1) :], ch) for k, ch in enumerate(head))
+            gain, one = -apart[tail] - own - SPACE_COST, tail
+            for ch in head:
+                gain += logp(one, ch)
+                if gain <= 0:
+                    break
+                one = (one + ch)[-(ORDER - 1) :]
+            v = gain > 0 or (len(tail) == 2 and tail[0] == "^" and len(head) == 2 and head[1] == "$")
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[key] = v
+        return v
+
+
+class Forms(dict):
+    """Of each token the end and the beginning of its plain form, as ``Joins`` wants them."""
+
+    def __init__(self, model: CharModel):
+        self.model = model
+
+    def __missing__(self, token: str) -> tuple[str, str]:
+        form = _EDGE.sub("", token)
+        if not form.isalpha():
+            inner = token.strip(_STOPS)
+            form = decode(inner, self.model) if any(c.isalpha() for c in inner) else LEET.get(inner, "")[:1] or ("e" if inner and inner in WILD else "")
+        v = (("^" + form)[-(ORDER - 1) :] + " ", (form + "$")[: ORDER - 1] if form else "") if form else (" ", "")
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[token] = v
+        return v
 
 
 def marks(word: str) -> list[str]:
@@ -145,7 +233,8 @@ class Reader:
     """Turns texts into mark ids; remembers what each token gave."""
 
     def __init__(self, model: CharModel | None, wanted: set[int] | None = None):
-        self.model, self.wanted, self.seen = model, wanted, {}
+        self.model, self.wanted, self.seen, self.windows = model, wanted, {}, {}
+        self.joins, self.forms = (Joins(model), Forms(model)) if model else (None, None)
 
     def word(self, token: str) -> tuple[int, ...]:
         ids = [mark_id(m) for w in self.restored(token) for m in marks(w)]
@@ -163,9 +252,10 @@ class Reader:
         else:
             words = _PLAIN.findall(core)
         # Signs at the ends may be letters too, as in "$cum".
-        inner = token.strip(".,;:?\"'()[]{}“”„«»…")
+        inner = token.strip(_STOPS)
         if self.model and not _PLAIN.fullmatch(core) and any(c.isalpha() for c in inner):
-            words += [decode(inner, self.model), decode(core, self.model)]
+            for hidden in {inner: 0, core: 0}:
+                words += [decode(hidden, self.model), *parted((hidden,), self.model)]
         elif self.model and inner != core and any(c in LEET or c in WILD for c in inner) and core and len({*inner} - {*core}) <= 1 and len(inner) - len(core) <= 2:
             words.append(decode(inner, self.model))
         return list(dict.fromkeys(w for w in words if len(w) > 2))
@@ -175,7 +265,8 @@ class Reader:
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
         seen, out = self.seen, set()
-        for token in set(low.split()):
+        tokens = low.split()
+        for token in set(tokens):
             v = seen.get(token)
             if v is None:
                 v = seen[token] = self.word(token)
@@ -186,8 +277,49 @@ class Reader:
                 joined = re.sub(r"[ \t.\-_·]", "", m[0])
                 if not joined.isdigit():
                     out.update(self.word(joined))
+            out.update(self.over_spaces(tokens))
         return out
 
+    def possible(self, window: tuple[str, ...]) -> bool:
+        """Whether any word that the window can be parted into has a mark that is wanted. Without
+        signs and repeated letters these are the pieces put together, so all of them can be tried."""
+        if self.wanted is None or len(window) > 4 or not all(t.isalpha() for t in window) or _TWICE.search("".join(window)):
+            return True
+        for k in range(len(window) - 1):
+            word = window[k]
+            for t in window[k + 1 :]:
+                n, word = len(word), word + t
+                if mark_id(f"={word}") in self.wanted or any(mark_id(f"^{word[:c]}") in self.wanted for c in range(max(3, n), min(7, len(word)))):
+                    return True
+        return False
+
+    def over_spaces(self, tokens: list[str]) -> set[int]:
+        """The marks of words that spaces or line ends part: where the model would rather join two
+        neighbours, the whole stretch of such neighbours is decoded."""
+        forms = list(map(self.forms.__getitem__, tokens))
+        joined = list(map(self.joins.__getitem__, map(operator.add, map(operator.itemgetter(0), forms), map(operator.itemgetter(1), forms[1:]))))
+        out: set[int] = set()
+        at = -1
+        while True:
+            try:
+                at = joined.index(True, at + 1)
+            except ValueError:
+                return out
+            end = at + 1
+            while end < len(joined) and joined[end]:
+                end += 1
+            window, at = tuple(t.strip(_STOPS + "-–—_") for t in tokens[at : end + 1]), end
+            if not self.possible(window):
+                continue
+            v = self.windows.get(window)
+            if v is None:
+                if len(self.windows) > REMEMBERED:
+                    self.windows.clear()
+                words = parted(window, self.model) if any(c.isalpha() for t in window for c in t) else []
+                ids = [mark_id(m) for w in dict.fromkeys(words) if len(w) > 2 for m in marks(w)]
+                v = self.windows[window] = tuple(i for i in ids if self.wanted is None or i in self.wanted)
+            out.update(v)
+
 
 class Scorer:
     def __init__(self, counts: dict[str, int], weights: dict[int, float], bias: float):

@@ -227,6 +227,36 @@ def test_long_tokens_are_read_whole(word_model):
     assert toxicity.mark_id("^stupid") in toxicity.Reader(word_model).ids("s t u p i d " + "y o u a r e a f o o l " * 4)
 
 
+def hits(text, model):
+    """Which of the words are found in the text as whole words."""
+    got = toxicity.Reader(model).ids(text)
+    return {w for w in ("stupid", "idiot", "loser") if toxicity.mark_id(f"={w}") in got}
+
+
+def test_long_runs_and_tokens_are_read_whole(word_model):
+    filler = "y o u a r e a f o o l " * 4
+    assert hits(filler + "s t u p i d i d i o t", word_model) == {"stupid", "idiot"}
+    assert hits("-".join("y0u are the fool and this is what they have 5tup1d".split()), word_model) == {"stupid"}
+    assert toxicity.mark_id("=pathetic") in toxicity.Reader(word_model).ids("the p@the.tic fool")
+    assert toxicity.decode("lo$er" + "-" * 30 + "." * 30, word_model) == "loser"
+
+
+@pytest.mark.parametrize("t", ["st upid", "stu pid", "s  t  u  p  i  d", "stu\npid", "stu-\npid", "you are a s t u p i d fool", "y o u  a r e  a  s t u p i d  f o o l", "st up1d"])
+def test_spaces_are_in_the_lattice(word_model, t):
+    assert hits(f"this is {t} and they have", word_model) == {"stupid"}
+
+
+def test_what_is_not_wanted_alone_is_passed_over(word_model):
+    wanted = {toxicity.mark_id("=stupid"), toxicity.mark_id("^idio")}
+    for t in ("st upid", "stu pid", "id iot", "i diot", "are st upid", "s t u p i d"):
+        assert toxicity.Reader(word_model, wanted).ids(t) == toxicity.Reader(word_model).ids(t) & wanted != set()
+
+
+def test_whole_words_stay_apart(word_model):
+    assert toxicity.parted(("you", "are", "a", "fool"), word_model) == ["you", "are", "a", "fool"]
+    assert hits("you are a fool and they have what this is", word_model) == set()
+
+
 PAGES = [
     ("<nav><a href=x>Home</a></nav><article><h1>Title &amp; more</h1><p>First line of text here.<p>Second&nbsp;line,  wrapped\nhere.</article><footer>&copy; x</footer>", "Title & more\nFirst line of text here.\nSecond line, wrapped here."),
     ("", ""),
