@@ -52,14 +52,23 @@ class Words:
 
     The ids are those of the file, a byte-level BPE for ``tokenizers``: its pre-tokenizer splits a
     text into words, and each word is merged by itself. The merges are made by tiktoken's core from
-    the same file's vocabulary, whose ids stand in merge order, which is several times faster."""
+    the same file's vocabulary, whose ids stand in merge order, which is several times faster. With
+    ``added``, texts that hold one of the file's added tokens are left to ``tokenizers``, which gives
+    such a token its own id; without, it is read as plain text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import regex
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            told = json.load(f)
+        model, names = told["model"], [t["content"] for t in told.get("added_tokens") or []]
+        self.added, self.whole = None, None
+        if added and names:
+            import tokenizers
+
+            self.added = regex.compile("|".join(map(regex.escape, names))).search
+            self.whole = tokenizers.Tokenizer.from_file(path)
         as_byte = {c: b for b, c in byte_letters().items()}
         ranks = {bytes(as_byte[c] for c in word): i for word, i in model["vocab"].items() if all(c in as_byte for c in word) and not word.startswith("<|")}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -69,6 +78,8 @@ class Words:
 
     def ids(self, text: str) -> bytes:
         """The ids of the text, two bytes each."""
+        if self.added and self.added(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
         seen, core, out = self.seen, self.core, []
@@ -89,8 +100,8 @@ def byte_letters() -> dict[int, str]:
 
 
 @functools.cache
-def _words(path: str) -> Words:
-    return Words(path)
+def _words(path: str, added: bool) -> Words:
+    return Words(path, added)
 
 
 # Order. ----------------------------------------------------------------------------------------
@@ -137,14 +148,14 @@ def curve_key(ids: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     return np.clip((np.tanh(v / 2) + 1) / 2 * (1 << CURVE_BITS), 0, (1 << CURVE_BITS) - 1).astype(np.int64)
 
 
-def tokenized(docs: DataFrame, doc_id: str, text: str, path: str) -> DataFrame:
+def tokenized(docs: DataFrame, doc_id: str, text: str, path: str, added: bool = False) -> DataFrame:
     """row, doc_id, key, n, ids of every row; n counts the end token, which ids do not hold."""
     spark = tune(docs.sparkSession, 256)
     id_type = docs.schema[doc_id].dataType.simpleString()
     held = spark.sparkContext.broadcast(projection())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pack = _words(path), zstandard.ZstdCompressor(level=1).compress
+        words, pack = _words(path, added), zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             raw = [words.ids(t.as_py() or "") for t in b.column(2)]
             points = np.array([curve_key(np.frombuffer(r, dtype="<u2"), held.value) for r in raw]).reshape(-1, DIMS)
@@ -170,10 +181,11 @@ def places(rows: DataFrame) -> DataFrame:
     return sorted_rows.join(F.broadcast(base), "part").select("row", (F.col("base") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("at"))
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, end: int = END, tokenizer: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, end: int = END, tokenizer: str | None = None, added: bool = False) -> DataFrame:
     """The pieces of all documents: doc_id, start, length, ids (little-endian, four bytes each),
-    doc_tokens, sequence_id, offset."""
-    rows = written(tokenized(docs, doc_id, text, tokenizer or default_tokenizer()), "tokens")
+    doc_tokens, sequence_id, offset. With ``added``, the file's added tokens have their own ids where a
+    text quotes them."""
+    rows = written(tokenized(docs, doc_id, text, tokenizer or default_tokenizer(), added), "tokens")
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -43,6 +43,20 @@ def test_packing_round_trip(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_added_tokens_have_the_ids_of_the_file(spark):
+    import corpus_pipeline
+    import public_tokenizers
+    import tokenizers
+
+    tk = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "<|endoftext|><|endoftext|> x", "plain text", "<|endof text|>"]
+    want = [np.array(tk.encode(t, add_special_tokens=False).ids + [1], dtype="<u4") for t in texts]
+    assert want[0].tolist() == [64, 50256, 65, 1]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in corpus_pipeline.packed(spark, docs, "").collect()}
+    assert got == {i: (len(w), zlib.crc32(w.tobytes())) for i, w in enumerate(want)}
+
+
 def test_hilbert_is_a_walk():
     pts = np.array([(i, j, k) for i in range(8) for j in range(8) for k in range(8)])
     keys = packing.hilbert(pts, 3)
