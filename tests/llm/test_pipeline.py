@@ -1,8 +1,11 @@
 """The pipeline's stages on the smallest tables, and the registered queries' contract."""
 
+import random
+
 import corpus_pipeline
 from granary.llm import queries
 from tests.conftest import DATA
+from tests.llm.test_pairs import crowd_of, plain_groups, texts
 
 
 def test_stages_keep_the_columns_and_act(spark):
@@ -21,6 +24,17 @@ def test_stages_keep_the_columns_and_act(spark):
     assert {r.doc_id for r in pieces.collect()} == ids
 
 
+def test_near_dedup_stage_matches_brute_force(spark):
+    rng, rows = random.Random(70), crowd_of(300, 71)
+    for t, foreign in zip(texts(40, 72), texts(40, 73)):
+        w, more = t.split(), foreign.split()
+        rows += [t, " ".join(w[: len(w) - rng.randint(1, len(w) // 5)]), " ".join(w + more[: rng.randint(1, len(w) // 5)])]
+    rows = list(enumerate(rows))
+    rng.shuffle(rows)
+    kept = corpus_pipeline.one_of_a_kind(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, low in plain_groups(rows).items() if i == low)
+
+
 def test_names():
     assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
     assert set(queries.SQL) <= set(queries.QUERIES)
