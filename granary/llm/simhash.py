@@ -288,6 +288,8 @@ STAGE_WIDTH, SIMILARITY = 5, 0.8
 COUNTED, COMMON, LISTED = 50_000, 10, 50_000
 #: Texts with one shingle up to which their pairs are formed; more are compared in blocks.
 PAIRED = 16
+#: First shingles that two similar sets share at least; prefixes are so much longer.
+SHARED = 3
 #: Shingles of a block's side.
 BLOCK = 1_000_000
 
@@ -336,8 +338,9 @@ def _alike(both, m, n, similarity: float):
 
 
 def prefix_length(n: int, similarity: float) -> int:
-    """Two sets with that Jaccard similarity share one of so many first elements, in any one order."""
-    return n - max(1, math.ceil(similarity * n - 1e-6)) + 1 if n else 0
+    """Two sets with that Jaccard similarity share ``SHARED`` of so many first elements, in any one
+    order, or all that they share if that is less."""
+    return min(n, n - max(1, math.ceil(similarity * n - 1e-6)) + SHARED) if n else 0
 
 
 def shingled(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
@@ -413,15 +416,9 @@ def spanning(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], simila
 
 def joining(rows: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     """a, b: verified links. Of the sets that share a ``tok`` in ``rows`` (tok, id, n, label) and have
-    different labels all pairs are compared: where they are few, as pairs, else in blocks."""
-    groups_ = rows.groupBy("tok").agg(F.count("*").alias("c"), F.sum("n").alias("total"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    open_ = cut(rows.join(groups_.where("lo < hi").select("tok", "c", "total"), "tok"))
-    few = open_.where(F.col("c") <= PAIRED).select("tok", "id", "n", "label")
-    x, y = few.alias("x"), few.alias("y")
-    fits = F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n") - 1e-6
-    met = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & fits)
-    links_ = checked(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), held, similarity)
-    many = open_.where(F.col("c") > PAIRED).withColumn("parts", F.ceil(F.col("total") / BLOCK).cast("int"))
+    different labels all pairs are compared, in blocks."""
+    groups_ = rows.groupBy("tok").agg(F.sum("n").alias("total"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    many = rows.join(groups_.where("lo < hi").select("tok", "total"), "tok").withColumn("parts", F.ceil(F.col("total") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("id", F.lit(9)), F.col("parts")).cast("int")
     sides = many.select("tok", "id", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     blocks = sides.select("tok", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "label").join(held, "id").select("tok", "i", "j", "id", "label", "s")
@@ -445,27 +442,40 @@ def joining(rows: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
         if key is not None:
             yield done()
 
-    return links_.unionByName(blocks.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j").mapInArrow(run, "a long, b long"))
+    return blocks.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j").mapInArrow(run, "a long, b long")
 
 
 def alike(sets: DataFrame, similarity: float) -> DataFrame:
     """node, root: the components of sets (id, s) of that Jaccard similarity, of those that are linked.
 
-    Two such sets share one of their first shingles (``prefixes``), so all that share one are
-    compared, unless verified links join them already. First each is compared with the least of those
-    that it meets, then all pairs under a sixteenth of the shingles, then under the others; so most
-    of a crowd is joined before its pairs are looked at."""
+    Two such sets share ``SHARED`` of their first shingles (``prefixes``). Either one of those stands
+    in many sets; then both meet in its blocks, where all pairs are compared that verified links have
+    not joined already. Or all of them are in few sets, and the pair is formed and compared. Sets with
+    a crowded shingle are compared with the least of its sets first, then under a sixteenth of these
+    shingles, then under the others; so most of a crowd is joined before its pairs are looked at."""
     ends = Window.partitionBy("tok")
-    met = prefixes(sets, similarity).withColumns({"lo": F.min("id").over(ends), "hi": F.max("id").over(ends)}).where("lo < hi")
-    met = cut(met.select("tok", "id", "n", "lo").distinct())
-    held = cut(sets.join(met.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
-    links_ = cut(checked(met.where("id <> lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct(), held, similarity))
+    met = prefixes(sets, similarity).withColumns({"lo": F.min("id").over(ends), "hi": F.max("id").over(ends), "c": F.count("*").over(ends)})
+    met = cut(met.where("lo < hi").select("tok", "id", "n", "lo", (F.col("c") > PAIRED).alias("crowd")).distinct())
+    few, crowd = met.where("not crowd").select("tok", "id", "n"), met.where("crowd")
+    x, y = few.alias("x"), few.alias("y")
+    largest = F.greatest("x.n", "y.n")
+    fits = F.least("x.n", "y.n") >= similarity * largest - 1e-6
+    both = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.id") < F.col("y.id")) & fits).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    formed = both.agg(F.count("*").alias("c"), F.max(F.least(F.lit(SHARED), F.ceil(similarity * largest - 1e-6))).alias("due")).where("c >= due").select("a", "b")
+    first = crowd.where("id <> lo").groupBy(F.col("id").alias("a"), F.col("lo").alias("b")).agg(F.count("*").alias("c")).where(F.col("c") >= SHARED).select("a", "b")
+    pairs = cut(formed.unionByName(first).distinct())
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowd.select("id")).distinct())
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    held = cut(sets.join(wanted, "id", "left_semi").dropDuplicates(["id"]))
+    links_ = cut(checked(pairs, held, similarity))
     roots = connected(links_)
     for some in (F.pmod("tok", F.lit(16)) == 0, F.pmod("tok", F.lit(16)) != 0):
         known = roots.select(F.col("node").alias("id"), "root")
-        labelled = met.where(some).join(known, "id", "left").select("tok", "id", "n", F.coalesce("root", "id").alias("label"))
-        links_ = cut(links_.unionByName(joining(labelled, held, similarity)))
-        roots = connected(links_)
+        labelled = cut(crowd.where(some).join(known, "id", "left").select("tok", "id", "n", F.coalesce("root", "id").alias("label")))
+        more = cut(joining(labelled, held, similarity))
+        if not more.isEmpty():
+            links_ = cut(links_.unionByName(more))
+            roots = connected(links_)
     return roots
 
 
