@@ -287,7 +287,7 @@ STAGE_WIDTH, SIMILARITY = 5, 0.8
 #: and the most that are listed. The list sets the order of shingles only; any order finds all pairs.
 COUNTED, COMMON, LISTED = 50_000, 10, 50_000
 #: Texts with one shingle up to which their pairs are formed; more are compared in blocks.
-PAIRED = 16
+PAIRED = 64
 #: First shingles that two similar sets share at least; prefixes are so much longer.
 SHARED = 3
 #: Shingles of a block's side.
