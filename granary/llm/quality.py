@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from granary.llm.util import tune
+from granary.llm.util import free_name, tune
 
 DIM = 4096
 MARKS = 16
@@ -140,12 +140,13 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     return Ordinal.fit(x, np.searchsorted(np.array(grades), np.array(grades_of)[order]), grades)
 
 
-def score(docs: DataFrame, model: Ordinal | None, doc_id: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
+def score(docs: DataFrame, model: Ordinal | None, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, str] | None = None) -> DataFrame:
     """doc_id, expected_grade and tail (the probability of the best half of the grades); with
-    ``keep``, all columns of ``docs`` and ``_tail``."""
+    ``keep``, all columns of ``docs`` and those two under its names."""
     spark = tune(docs.sparkSession, 256)
     held = spark.sparkContext.broadcast(model)
-    names = docs.columns if keep else ["doc_id"]
+    fields = list(docs.schema.fields) if keep else [StructField("doc_id", docs.schema[doc_id].dataType)]
+    schema = StructType([*fields, *(StructField(n, DoubleType()) for n in keep or ("expected_grade", "tail"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
@@ -158,17 +159,15 @@ def score(docs: DataFrame, model: Ordinal | None, doc_id: str = "doc_id", text:
                 up = m.above(x)
                 steps = np.diff(np.array(m.grades, dtype=float))
                 expected, tail = m.grades[0] + up @ steps, np.where(empty, 0.0, up[:, len(m.grades) // 2 - 1])
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(1, b.num_columns)), pa.array(expected), pa.array(tail)], names=[*names, "_expected", "_tail"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(1, b.num_columns)), pa.array(expected), pa.array(tail)], names=schema.names)
 
-    kept = docs.select(docs[text].alias("_scored"), *([docs[c] for c in docs.columns] if keep else [docs[doc_id].alias("doc_id")]))
-    fields = list(docs.schema.fields) if keep else [StructField("doc_id", docs.schema[doc_id].dataType)]
-    schema = StructType([*fields, StructField("_expected", DoubleType()), StructField("_tail", DoubleType())])
-    out = kept.mapInArrow(run, schema)
-    return out if keep else out.withColumnsRenamed({"_expected": "expected_grade", "_tail": "tail"})
+    own = [docs[c] for c in docs.columns] if keep else [docs[doc_id].alias("doc_id")]
+    return docs.select(docs[text].alias(free_name(docs, "scored")), *own).mapInArrow(run, schema)
 
 
 def select(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF, **kw) -> DataFrame:
     """The documents whose probability of a good grade is at least ``cutoff``, with their columns."""
     model = fit(docs, labels, **kw)
     names = {k: kw[k] for k in ("doc_id", "text") if k in kw}
-    return score(docs, model, keep=True, **names).where(F.col("_tail") >= cutoff).drop("_expected", "_tail")
+    extra = (free_name(docs, "expected"), free_name(docs, "tail"))
+    return score(docs, model, keep=extra, **names).where(F.col(extra[1]) >= cutoff).drop(*extra)

@@ -9,37 +9,39 @@ The score is a logistic regression over the beginnings of words (3 to 6 letters)
 that are much more frequent in toxic texts than in others; which ones is counted over the training
 rows. A text counts as a set of these marks, so its length does not matter, and all of it is read.
 
-Model and language model are fitted on at most ``sample`` labelled rows, chosen by a hash of the
-id, equal texts once. Scoring is one pass without a shuffle.
+The language model counts the words of all texts; weights are fitted on at most ``sample`` labelled
+rows, chosen by a hash of the id, equal texts once. Scoring is one pass without a shuffle. The search
+is exact: a state is the last three letters, and no state is let go.
 
 Defined results: null and empty texts get the score of a text without marks; labels that are null,
 or of documents that are not there, are left out; of several labels of a document the highest
 counts; with no labels every document has score 0; repeated rows are scored one by one; other
-columns are kept by ``select`` and ignored otherwise.
+columns are kept by ``select``, whatever they are called, and ignored otherwise.
 """
 
 from __future__ import annotations
 
 import math
-import operator
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from granary.llm.util import cut, tune
+from granary.llm.util import cut, free_name, tune
 
 SAMPLE = 20_000
 ORDER = 4
-BEAM = 48
+#: Grams of the character model, the most frequent ones, and letters that it tells apart.
+GRAMS, LETTERS = 300_000, 44
 LEAST = 5  # texts that a mark must stand in
 ODDS = 2.0  # log odds from which a mark is kept
-REMEMBERED = 300_000
+#: Tokens, and characters in them, that a worker remembers.
+REMEMBERED, REMEMBERED_CHARS = 400_000, 20_000_000
 CUTOFF = 0.5
 
 #: What signs may stand for, besides nothing. Fixed values.
@@ -55,20 +57,35 @@ _STOPS = ".,;:?\"'()[]{}“”„«»…"
 SPACE_COST = 4.0
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _PLAIN = re.compile(r"[^\W\d_]+")
-_TWICE = re.compile(r"(.)\1")
 _RUN = re.compile(r"([^\W\d_])\1\1")
+_REPEATED = re.compile(r"(.)\1+")
+
+
+# Symbols of the dense table: nothing before, the beginning and end of a word, no letter, other letters.
+PAD, BEGIN, END_OF_WORD, NONE, OTHER = range(5)
 
 
 class CharModel:
-    """An interpolated character model of words, with an end mark."""
+    """An interpolated character model of words, with an end mark. Letters that are not among the
+    ``LETTERS`` most frequent are one symbol that is never counted."""
 
     def __init__(self, counts: dict[str, int]):
-        self.counts = counts
+        by_count = sorted((g for g in counts if len(g) == 1 and g.isalpha()), key=lambda g: (-counts[g], g))
+        self.letters = sorted(by_count[:LETTERS])
+        known = {*self.letters, "^", "$"}
+        self.counts = {g: n for g, n in counts.items() if known.issuperset(g)}
         self.context: dict[str, int] = {}
-        for g, n in counts.items():
+        for g, n in self.counts.items():
             self.context[g[:-1]] = self.context.get(g[:-1], 0) + n
-        self.letters = sorted({g for g in counts if len(g) == 1 and g.isalpha()})
+        self.code = {"^": BEGIN, "$": END_OF_WORD} | {c: OTHER + 1 + k for k, c in enumerate(self.letters)}
+        self.size = OTHER + 1 + len(self.letters)
         self.memo: dict[tuple[str, str], float] = {}
+        self.dense = self._dense()
+        #: The symbol of every code point; 0 and 1 stand for nothing before and no letter.
+        self.lookup = np.full(0x110000, OTHER, dtype=np.uint8)
+        for c, k in self.code.items():
+            self.lookup[ord(c)] = k
+        self.lookup[:2] = PAD, NONE
 
     def logp(self, before: str, c: str) -> float:
         key = (before[-(ORDER - 1) :], c)
@@ -88,6 +105,26 @@ class CharModel:
                 self.memo[key] = v
         return v
 
+    def _dense(self) -> np.ndarray:
+        """``logp`` of every fourth symbol after every three, flat; 0 for ``NONE``."""
+        s = self.size
+        p = np.full((s,) * ORDER, 1e-4, dtype=np.float32)
+        for k in range(ORDER):  # contexts of k symbols; what stands further back does not matter
+            found = np.zeros((s,) * (k + 1), dtype=np.float64)
+            for g, n in self.counts.items():
+                if len(g) == k + 1:
+                    found[tuple(self.code[c] for c in g)] = n
+            total = found.sum(axis=-1, keepdims=True)
+            lam = total / (total + 3.0)
+            p *= (1 - lam).astype(np.float32)
+            p += (lam * found / np.maximum(total, 1)).astype(np.float32)
+        out = np.log(np.maximum(p, 1e-12))
+        out[..., NONE] = 0
+        return out.ravel()
+
+    def codes(self, text: str) -> list[int]:
+        return [self.code.get(c, OTHER) for c in text]
+
 
 def grams_of(word: str) -> list[str]:
     w = f"^{word}$"
@@ -95,12 +132,13 @@ def grams_of(word: str) -> list[str]:
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """For each place the letters it may stand for, with a cost; runs of a letter are one place."""
+    """For each place the letters it may stand for, with a cost. A run of one letter or sign is a
+    place, and so is a run of signs that hide any letter."""
     out: list[list[tuple[str, float]]] = []
     i = 0
     while i < len(token):
         c, j = token[i], i + 1
-        while j < len(token) and token[j] == c:
+        while j < len(token) and (token[j] == c or (c in WILD and token[j] in WILD)):
             j += 1
         n = j - i
         if c.isalpha():
@@ -120,8 +158,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-#: An arc on which a word ends.
-END_ARC = " "
+#: An arc on which a word ends, and what any letter costs besides its arc.
+END_ARC, ANY_COST = " ", 1.5
+#: Places of any letter from which a lattice is searched in arrays.
+WILD_PLACES = 3
 
 
 def decode(token: str, model: CharModel) -> str:
@@ -143,24 +183,27 @@ def parted(tokens: tuple[str, ...], model: CharModel) -> list[str]:
 def viterbi(places: list[list[tuple[str, float]]], model: CharModel) -> str:
     """The most probable path; a state is the last letters. Paths are chains of steps, so the search
     is linear in the number of places."""
+    if sum(arcs[-1][0] == "?" or (len(arcs) > 1 and arcs[-2][0] == "?") for arcs in places) >= WILD_PLACES:
+        return viterbi_in_arrays(places, model)
     states: dict[str, tuple[float, tuple | None]] = {"^": (0.0, None)}
+    logp = model.logp
     for arcs in places:
         nxt: dict[str, tuple[float, tuple | None]] = {}
         for ctx, (s, path) in states.items():
             for letters, cost in arcs:
                 if letters == END_ARC:
-                    t = s - cost + (0.0 if ctx == "^" else model.logp(ctx, "$"))
+                    t = s - cost + (0.0 if ctx == "^" else logp(ctx, "$"))
                     if "^" not in nxt or nxt["^"][0] < t:
                         nxt["^"] = (t, (path, END_ARC))
                     continue
                 for x in model.letters if letters == "?" else (letters,):
-                    t, c = s - cost - (1.5 if letters == "?" else 0), ctx
+                    t, c = s - cost - (ANY_COST if letters == "?" else 0), ctx
                     for ch in x:
-                        t += model.logp(c, ch)
+                        t += logp(c, ch)
                         c = (c + ch)[-(ORDER - 1) :]
                     if c not in nxt or nxt[c][0] < t:
                         nxt[c] = (t, (path, x) if x else path)
-        states = nxt if len(nxt) <= BEAM else dict(sorted(nxt.items(), key=lambda kv: -kv[1][0])[:BEAM])
+        states = nxt
 
     def spelt(path) -> str:
         out = []
@@ -169,173 +212,304 @@ def viterbi(places: list[list[tuple[str, float]]], model: CharModel) -> str:
             out.append(x)
         return "".join(reversed(out))
 
-    ends = [(s + (0.0 if c == "^" else model.logp(c, "$")), path) for c, (s, path) in states.items()]
+    ends = [(s + (0.0 if c == "^" else logp(c, "$")), path) for c, (s, path) in states.items()]
     best = max(t for t, _ in ends)
     return max(spelt(path) for t, path in ends if t == best)
 
 
-class Joins(dict):
-    """Whether the model reads two neighbouring forms rather as one word. The key is the end of the
-    first and the beginning of the second, as far as the model sees over the space."""
-
-    def __init__(self, model: CharModel):
-        self.model, self.apart = model, {}
-
-    def __missing__(self, key: str) -> bool:
-        tail, head = key.split(" ")
-        v = False
-        if tail and head:
-            logp, apart = self.model.logp, self.apart
-            if tail not in apart:
-                apart[tail] = logp(tail, "$")
-            if (own := apart.get(f" {head}")) is None:
-                own = apart[f" {head}"] = sum(logp(("^" + head[:k])[-(ORDER - 1) :], ch) for k, ch in enumerate(head))
-            gain, one = -apart[tail] - own - SPACE_COST, tail
-            for ch in head:
-                gain += logp(one, ch)
-                if gain <= 0:
-                    break
-                one = (one + ch)[-(ORDER - 1) :]
-            v = gain > 0 or (len(tail) == 2 and tail[0] == "^" and len(head) == 2 and head[1] == "$")
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[key] = v
-        return v
-
-
-class Forms(dict):
-    """Of each token the end and the beginning of its plain form, as ``Joins`` wants them."""
-
-    def __init__(self, model: CharModel):
-        self.model = model
-
-    def __missing__(self, token: str) -> tuple[str, str]:
-        form = _EDGE.sub("", token)
-        if not form.isalpha():
-            inner = token.strip(_STOPS)
-            form = decode(inner, self.model) if any(c.isalpha() for c in inner) else LEET.get(inner, "")[:1] or ("e" if inner and inner in WILD else "")
-        v = (("^" + form)[-(ORDER - 1) :] + " ", (form + "$")[: ORDER - 1] if form else "") if form else (" ", "")
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[token] = v
-        return v
+def viterbi_in_arrays(places: list[list[tuple[str, float]]], model: CharModel) -> str:
+    """The same for lattices with many places of any letter, where states are thousands: all states
+    take a step together."""
+    s, g = model.size, model.dense
+    begin = (PAD * s + PAD) * s + BEGIN
+    state, score = np.array([begin]), np.zeros(1)
+    any_letter = np.array([model.code[c] for c in model.letters], dtype=np.int64)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    spelling: dict[str, int] = {}
+    for arcs in places:
+        to, far, came, wrote = [], [], [], []
+        for letters, cost in arcs:
+            word = spelling.setdefault(letters, len(spelling))
+            at = np.arange(len(state))
+            if letters == END_ARC:
+                new = np.full(len(state), begin)
+                t = score - cost + np.where(state == begin, 0.0, g[state * s + END_OF_WORD])
+                w = np.full(len(state), word)
+            elif letters == "?":
+                each = (state[:, None] * s + any_letter).ravel()
+                t = (np.repeat(score, len(any_letter)) + g[each]) - cost - ANY_COST
+                new, at = each % s**3, np.repeat(at, len(any_letter))
+                w = np.tile(np.array([spelling.setdefault(c, len(spelling)) for c in model.letters], dtype=np.int64), len(state))
+            else:
+                new, t, w = state, score - cost, np.full(len(state), word)
+                for code in model.codes(letters):
+                    each = new * s + code
+                    t, new = t + g[each], each % s**3
+            to.append(new), far.append(t), came.append(at), wrote.append(w)
+        new, t, at, w = (np.concatenate(x) for x in (to, far, came, wrote))
+        order = np.lexsort((-t, new))
+        first = order[np.concatenate([[True], new[order][1:] != new[order][:-1]])]
+        state, score = new[first], t[first]
+        steps.append((at[first].astype(np.int32), w[first].astype(np.int32)))
+    k = int(np.argmax(score + np.where(state == begin, 0.0, g[state * s + END_OF_WORD])))
+    names, out = list(spelling), []
+    for came, wrote in reversed(steps):
+        out.append(names[wrote[k]])
+        k = int(came[k])
+    return "".join(reversed(out))
 
 
 def marks(word: str) -> list[str]:
+    """The word itself and its beginnings."""
     return [f"={word}", *(f"^{word[:k]}" for k in range(3, 7) if k < len(word))]
 
 
-def mark_id(m: str) -> int:
-    return xxhash.xxh64_intdigest(m.encode("utf-8", "surrogatepass"), 11) - 2**63
+def collapsed(text: str) -> str:
+    return _REPEATED.sub(r"\1", text)
+
+
+class Tokens(dict):
+    """The number of each token, and what is known of it in arrays: whether it has marks, and the
+    codes and costs of the end and the beginning of its plain form. New tokens are noted when they are
+    met and learned together."""
+
+    def __init__(self, reader: Reader):
+        self.reader = reader
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.marks: dict[int, tuple[str, ...]] = {}
+        self.held, self.new = 0, []
+        self.learned = 0
+        self.single, self.marked = np.zeros(4096, dtype=bool), np.zeros(4096, dtype=bool)
+        self.ends, self.begins = np.zeros(4096), np.zeros(4096)
+        self.tail, self.h1, self.h2, self.h3 = (np.zeros(4096, dtype=np.int64) for _ in range(4))
+
+    def __missing__(self, token: str) -> int:
+        k = self[token] = len(self)
+        self.new.append(token)
+        return k
+
+    def learn(self) -> None:
+        """Learn what is new."""
+        new, reader, first = self.new, self.reader, self.learned
+        if not new:
+            return
+        self.new, self.learned = [], len(self)
+        while self.learned > len(self.marked):
+            for name in ("marked", "single", "ends", "begins", "tail", "h1", "h2", "h3"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+        self.held += sum(map(len, new))
+        starts = reader.starts if reader.wanted is not None else None
+        for k, token in enumerate(new, first):
+            if starts is not None:
+                core = token.strip(_STOPS)
+                if core[:3] not in starts and core.isalpha() and not _RUN.search(core):
+                    continue  # a plain word that cannot have a mark
+            v = reader.word(token)
+            if v:
+                self.marks[k] = v
+                self.marked[k] = True
+        if not reader.model:
+            return
+        s, g = reader.model.size, reader.model.dense
+        forms = [t if t.isalpha() else self.form(t) for t in new]
+        wide = "".join([("\0\0^" + f)[-3:] + (f[:3] + "$\1\1")[:3] for f in forms])
+        codes = reader.model.lookup[np.frombuffer(wide.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].reshape(-1, 6).astype(np.int64)
+        tail = (codes[:, 0] * s + codes[:, 1]) * s + codes[:, 2]
+        h1, h2, h3 = codes[:, 3], codes[:, 4], codes[:, 5]
+        top = (PAD * s + PAD) * s + BEGIN
+        begins = -(g[top * s + h1].astype(np.float64) + g[(PAD * s + BEGIN) * s * s + h1 * s + h2] + g[(BEGIN * s + h1) * s * s + h2 * s + h3])
+        lengths = np.fromiter(map(len, forms), dtype=np.int64, count=len(forms))
+        for name, v in (("single", lengths == 1), ("ends", np.where(lengths > 0, -g[tail * s + END_OF_WORD], -np.inf)), ("begins", np.where(lengths > 0, begins, -np.inf)), ("tail", tail), ("h1", h1), ("h2", h2), ("h3", h3)):
+            getattr(self, name)[first : self.learned] = v
+
+    def form(self, token: str) -> str:
+        """The letters behind a token that are not all letters themselves; none if there are none."""
+        inner = token.strip(_STOPS)
+        if inner.isalpha():
+            return inner
+        form = _EDGE.sub("", token)
+        if form.isalpha():
+            return form
+        if form:
+            return decode(inner, self.reader.model) if any(c.isalpha() for c in inner) else ""
+        return LEET.get(inner, "")[:1] or ("e" if inner and inner in WILD else "")
 
 
 class Reader:
-    """Turns texts into mark ids; remembers what each token gave."""
-
-    def __init__(self, model: CharModel | None, wanted: set[int] | None = None):
-        self.model, self.wanted, self.seen, self.windows = model, wanted, {}, {}
-        self.joins, self.forms = (Joins(model), Forms(model)) if model else (None, None)
-
-    def word(self, token: str) -> tuple[int, ...]:
-        ids = [mark_id(m) for w in self.restored(token) for m in marks(w)]
-        return tuple(i for i in ids if self.wanted is None or i in self.wanted)
+    """Turns texts into marks; remembers what each token gave. Without ``spaces``, each token is read
+    by itself."""
+
+    def __init__(self, model: CharModel | None, wanted: set[str] | None = None, spaces: bool = True):
+        self.model, self.wanted, self.spaces = model, wanted, spaces
+        self.windows: dict[tuple[str, ...], tuple[str, ...]] = {}
+        if wanted is not None:
+            self.starts = {m[1:4] for m in wanted}
+            self.short = {collapsed(m[1:]) for m in wanted}
+            self.beginnings = {m[:k] for m in self.short for k in range(1, len(m) + 1)}
+            self.letters = sorted({c for m in self.short for c in m})
+        self.tokens = Tokens(self)
+
+    def found(self, words: list[str]) -> tuple[str, ...]:
+        if self.wanted is None:
+            return tuple(m for w in words for m in marks(w))
+        return tuple(m for w in words if w[:3] in self.starts for m in marks(w) if m in self.wanted)
+
+    def word(self, token: str) -> tuple[str, ...]:
+        return self.found(self.restored(token))
 
     def restored(self, token: str) -> list[str]:
         """The words in one token of lower-case text, as far as they are or hide words."""
-        core = _EDGE.sub("", token)
+        core = _EDGE.sub("", token) if not token.isalpha() else token
         if not core and not token:
             return []
-        if _PLAIN.fullmatch(core):
+        plain = _PLAIN.fullmatch(core)
+        if plain:
             words = [core]
-            if self.model and (_RUN.search(core)):
+            if self.model and _RUN.search(core):
                 words.append(decode(core, self.model))
         else:
             words = _PLAIN.findall(core)
         # Signs at the ends may be letters too, as in "$cum".
         inner = token.strip(_STOPS)
-        if self.model and not _PLAIN.fullmatch(core) and any(c.isalpha() for c in inner):
+        if self.model and not plain and any(c.isalpha() for c in inner):
             for hidden in {inner: 0, core: 0}:
-                words += [decode(hidden, self.model), *parted((hidden,), self.model)]
+                if self.possible((hidden,), False):
+                    words += [decode(hidden, self.model), *parted((hidden,), self.model)]
         elif self.model and inner != core and any(c in LEET or c in WILD for c in inner) and core and len({*inner} - {*core}) <= 1 and len(inner) - len(core) <= 2:
             words.append(decode(inner, self.model))
         return list(dict.fromkeys(w for w in words if len(w) > 2))
 
-    def ids(self, text: str | None) -> set[int]:
+    def ids(self, text: str | None) -> set[str]:
+        """The marks of a text."""
         low = (text or "").lower()
-        if len(self.seen) > REMEMBERED:
-            self.seen.clear()
-        seen, out = self.seen, set()
-        tokens = low.split()
-        for token in set(tokens):
-            v = seen.get(token)
-            if v is None:
-                v = seen[token] = self.word(token)
-            if v:
-                out.update(v)
+        known = self.tokens
+        if len(known) > REMEMBERED or known.held > REMEMBERED_CHARS:
+            known.forget()
+        split = low.split()
+        at = np.fromiter(map(known.__getitem__, split), dtype=np.int64, count=len(split))
+        known.learn()
+        out = {m for k in set(at[known.marked[at]].tolist()) for m in known.marks[k]}
         if self.model:
             for m in _SPACED.finditer(low):
                 joined = re.sub(r"[ \t.\-_·]", "", m[0])
                 if not joined.isdigit():
                     out.update(self.word(joined))
-            out.update(self.over_spaces(tokens))
+            if self.spaces and len(split) > 1:
+                out.update(self.over_spaces(split, at))
         return out
 
-    def possible(self, window: tuple[str, ...]) -> bool:
-        """Whether any word that the window can be parted into has a mark that is wanted. Without
-        signs and repeated letters these are the pieces put together, so all of them can be tried."""
-        if self.wanted is None or len(window) > 4 or not all(t.isalpha() for t in window) or _TWICE.search("".join(window)):
+    def joined(self, at: np.ndarray) -> np.ndarray:
+        """Whether the model reads two neighbours rather as one word, as far as it sees over the space."""
+        t, s, g = self.tokens, self.model.size, self.model.dense
+        a, b = at[:-1], at[1:]
+        tail, h1, h2, h3 = t.tail[a], t.h1[b], t.h2[b], t.h3[b]
+        second = tail % (s * s) * s + h1
+        gain = t.ends[a] + t.begins[b] - SPACE_COST
+        gain += g[tail * s + h1]
+        gain += g[second * s + h2]
+        gain += g[(second % (s * s) * s + h2) * s + h3]
+        return (gain > 0) | (t.single[a] & t.single[b])
+
+    def possible(self, window: tuple[str, ...], over: bool = True) -> bool:
+        """Whether a word that the window can be parted into may have a mark that is wanted (with
+        ``over``, one that goes over a space): the lattice is walked from each place where a word may
+        begin, as long as the letters, repeats aside, are the beginning of such a mark. All walks go on together."""
+        if self.wanted is None:
             return True
-        for k in range(len(window) - 1):
-            word = window[k]
-            for t in window[k + 1 :]:
-                n, word = len(word), word + t
-                if mark_id(f"={word}") in self.wanted or any(mark_id(f"^{word[:c]}") in self.wanted for c in range(max(3, n), min(7, len(word)))):
+        alive: set[tuple[str, bool]] = set()  # letters so far, and whether they go over a space
+        for t in window:
+            if over and any(x in self.short for x, _ in alive):
+                return True
+            alive = {(x, True) for x, _ in alive if x}
+            begin = True
+            for arcs in lattice(t):
+                if begin:
+                    alive.add(("", False))
+                nxt = set()
+                for letters, _ in arcs:
+                    for y in self.letters if letters == "?" else (letters,):
+                        for x, crossed in alive:
+                            z = x if not y or (x and x[-1] == y[0]) else x + y[0]
+                            if not z or z in self.beginnings:
+                                nxt.add((z, crossed))
+                if any((crossed or not over) and z in self.short for z, crossed in nxt):
                     return True
+                alive, begin = nxt, any(not letters for letters, _ in arcs)  # within a token words begin after signs only
         return False
 
-    def over_spaces(self, tokens: list[str]) -> set[int]:
+    def over_spaces(self, split: list[str], at: np.ndarray) -> set[str]:
         """The marks of words that spaces or line ends part: where the model would rather join two
         neighbours, the whole stretch of such neighbours is decoded."""
-        forms = list(map(self.forms.__getitem__, tokens))
-        joined = list(map(self.joins.__getitem__, map(operator.add, map(operator.itemgetter(0), forms), map(operator.itemgetter(1), forms[1:]))))
-        out: set[int] = set()
-        at = -1
-        while True:
-            try:
-                at = joined.index(True, at + 1)
-            except ValueError:
-                return out
-            end = at + 1
-            while end < len(joined) and joined[end]:
-                end += 1
-            window, at = tuple(t.strip(_STOPS + "-–—_") for t in tokens[at : end + 1]), end
-            if not self.possible(window):
-                continue
-            v = self.windows.get(window)
+        where = np.flatnonzero(self.joined(at))
+        out: set[str] = set()
+        if not len(where):
+            return out
+        breaks = np.flatnonzero(np.diff(where) > 1)
+        begins, ends = where[np.concatenate([[0], breaks + 1])].tolist(), where[np.concatenate([breaks, [len(where) - 1]])].tolist()
+        for lo, hi in zip(begins, ends):
+            key = tuple(split[lo : hi + 2])
+            v = self.windows.get(key)
             if v is None:
+                window = tuple(t.strip(_STOPS + "-–—_") for t in key)
+                v = ()
+                if any(c.isalpha() for t in window for c in t) and self.possible(window):
+                    v = self.found([w for w in dict.fromkeys(parted(window, self.model)) if len(w) > 2])
                 if len(self.windows) > REMEMBERED:
                     self.windows.clear()
-                words = parted(window, self.model) if any(c.isalpha() for t in window for c in t) else []
-                ids = [mark_id(m) for w in dict.fromkeys(words) if len(w) > 2 for m in marks(w)]
-                v = self.windows[window] = tuple(i for i in ids if self.wanted is None or i in self.wanted)
+                if len(key) <= 64:
+                    self.windows[key] = v
             out.update(v)
+        return out
+
+
+#: The last reader that a worker has made, so that it is kept from task to task.
+_HELD: dict[object, Reader] = {}
+
+
+def held_reader(key: object, counts: dict[str, int], wanted: set[str] | None, spaces: bool = True) -> Reader:
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = Reader(CharModel(counts), wanted, spaces)
+    return _HELD[key]
 
 
 class Scorer:
-    def __init__(self, counts: dict[str, int], weights: dict[int, float], bias: float):
+    def __init__(self, counts: dict[str, int], weights: dict[str, float], bias: float):
         self.counts, self.weights, self.bias = counts, weights, bias
 
-    def reader(self) -> Reader:
-        return Reader(CharModel(self.counts), set(self.weights))
-
     def score(self, ids) -> float:
-        return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.bias + sum(self.weights[i] for i in ids)))))
+        return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.bias + sum(self.weights[i] for i in sorted(ids))))))
 
 
 def fold_of(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds))
 
 
+def gram_counts(docs: DataFrame, text: str, most: int = GRAMS) -> dict[str, int]:
+    """The character grams of the words of all texts, each word as often as texts hold it; the
+    ``most`` frequent ones. Words are counted first, so grams are cut from distinct words only."""
+    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(docs[text]), r"[^\p{L}]+"))).alias("w")).where("w <> ''")
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, int] = {}
+        for b in batches:
+            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for g in grams_of(w):
+                    found[g] = found.get(g, 0) + n
+            if len(found) > 500_000:
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["g", "n"])
+                found = {}
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["g", "n"])
+
+    counted = words.groupBy("w").agg(F.count("*").alias("n"))
+    grams = counted.mapInArrow(cut_up, "g string, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 4")
+    return {r.g: r.n for r in grams.orderBy(F.desc("n"), "g").limit(most).collect()}  # at most ``most`` rows
+
+
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Scorer | None:
     """The scorer learned from the labelled rows for which ``train`` (of column ``_id``) holds."""
     tune(docs.sparkSession, 256)
@@ -351,22 +525,12 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id:
     sizes = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return None
-
-    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, int] = {}
-        for b in batches:
-            for t in b.column(0):
-                for w in set(_PLAIN.findall(t.as_py().lower())):
-                    for g in grams_of(w):
-                        found[g] = found.get(g, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["g", "n"])
-
-    grams = rows.select("text").mapInArrow(count_grams, "g string, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 4")
-    counts = {r.g: r.n for r in grams.collect()}  # of a bounded sample
+    counts = gram_counts(docs, text)
     held = rows.sparkSession.sparkContext.broadcast(counts)
+    key = uuid.uuid4().hex
 
     def count_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, found = Reader(CharModel(held.value)), {}
+        reader, found = held_reader(("count", key), held.value, None, False), {}
         for b in batches:
             for y, t in zip(b.column(0).to_pylist(), b.column(1)):
                 for i in reader.ids(t.as_py()):
@@ -374,10 +538,10 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id:
                     if v is None:
                         v = found[i] = [0, 0]
                     v[1 if y else 0] += 1
-        cols = [pa.array(list(found), pa.int64()), pa.array([v[1] for v in found.values()], pa.int64()), pa.array([v[0] for v in found.values()], pa.int64())]
+        cols = [pa.array(list(found), pa.string()), pa.array([v[1] for v in found.values()], pa.int64()), pa.array([v[0] for v in found.values()], pa.int64())]
         yield pa.RecordBatch.from_arrays(cols, names=["mark", "bad", "good"])
 
-    per_mark = rows.mapInArrow(count_marks, "mark long, bad long, good long").groupBy("mark").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    per_mark = rows.mapInArrow(count_marks, "mark string, bad long, good long").groupBy("mark").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = F.log((F.col("bad") + 0.5) / (sizes[1] + 1)) - F.log((F.col("good") + 0.5) / (sizes[0] + 1))
     kept = sorted(r.mark for r in per_mark.where((F.col("bad") >= LEAST) & (odds >= ODDS)).select("mark").collect())
     if not kept:
@@ -385,16 +549,16 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id:
     wanted = rows.sparkSession.sparkContext.broadcast(set(kept))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(CharModel(held.value), wanted.value)
+        reader = held_reader(("read", key), held.value, wanted.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sorted(reader.ids(t.as_py())) for t in b.column(1)], pa.list_(pa.int64()))], names=["y", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sorted(reader.ids(t.as_py())) for t in b.column(1)], pa.list_(pa.string()))], names=["y", "ids"])
 
-    got = sorted((tuple(r.ids), r.y) for r in rows.mapInArrow(read, "y int, ids array<long>").collect())
+    got = sorted((tuple(r.ids), r.y) for r in rows.mapInArrow(read, "y int, ids array<string>").collect())
     weights, bias = _logistic(got, kept)
     return Scorer(counts, weights, bias)
 
 
-def _logistic(rows: list, kept: list[int], l2: float = 2e-5, steps: int = 500, rate: float = 0.1) -> tuple[dict[int, float], float]:
+def _logistic(rows: list, kept: list[str], l2: float = 2e-5, steps: int = 500, rate: float = 0.1) -> tuple[dict[str, float], float]:
     """Adam on all rows at once; rows are sparse."""
     place = {m: k for k, m in enumerate(kept)}
     row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
@@ -412,23 +576,23 @@ def _logistic(rows: list, kept: list[int], l2: float = 2e-5, steps: int = 500, r
     return dict(zip(kept, w.tolist())), float(b)
 
 
-def score(docs: DataFrame, scorer: Scorer | None, doc_id: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
-    """doc_id and score of every row; with ``keep``, all columns of ``docs`` and ``_score``."""
+def score(docs: DataFrame, scorer: Scorer | None, doc_id: str = "doc_id", text: str = "text", keep: str | None = None) -> DataFrame:
+    """doc_id and score of every row; with ``keep``, all columns of ``docs`` and the score under that name."""
     spark = tune(docs.sparkSession, 256)
     held = spark.sparkContext.broadcast(scorer)
-    names = docs.columns if keep else ["doc_id"]
+    key = uuid.uuid4().hex
+    fields = list(docs.schema.fields) if keep else [StructField("doc_id", docs.schema[doc_id].dataType)]
+    schema = StructType([*fields, StructField(keep or "score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = held.value
-        reader = s.reader() if s else None
+        reader = held_reader(("score", key), s.counts, set(s.weights)) if s else None
         for b in batches:
             values = [s.score(reader.ids(t.as_py())) if s else 0.0 for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(1, b.num_columns)), pa.array(values, pa.float64())], names=[*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(1, b.num_columns)), pa.array(values, pa.float64())], names=schema.names)
 
-    kept = docs.select(docs[text].alias("_scored"), *([docs[c] for c in docs.columns] if keep else [docs[doc_id].alias("doc_id")]))
-    fields = list(docs.schema.fields) if keep else [StructField("doc_id", docs.schema[doc_id].dataType)]
-    out = kept.mapInArrow(run, StructType([*fields, StructField("_score", DoubleType())]))
-    return out if keep else out.withColumnRenamed("_score", "score")
+    own = [docs[c] for c in docs.columns] if keep else [docs[doc_id].alias("doc_id")]
+    return docs.select(docs[text].alias(free_name(docs, "scored")), *own).mapInArrow(run, schema)
 
 
 def judge(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
@@ -441,4 +605,5 @@ def judge(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) ->
 
 def select(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """The documents whose score is below ``cutoff``, with their columns."""
-    return score(docs, fit(docs, labels), keep=True).where(F.col("_score") < cutoff).drop("_score")
+    name = free_name(docs, "toxicity")
+    return score(docs, fit(docs, labels), keep=name).where(F.col(name) < cutoff).drop(name)

@@ -28,6 +28,14 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name like ``base`` that the table does not have, whatever its case."""
+    taken, name = {c.lower() for c in df.columns}, f"_{base}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the shared folder, computed now."""
     shared_dir(df.sparkSession)

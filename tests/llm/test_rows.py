@@ -237,21 +237,21 @@ def word_model():
 
 def test_long_tokens_are_read_whole(word_model):
     got = toxicity.Reader(word_model).ids("the p@the.tic fool lo$er" + "-" * 30 + "." * 30 + "x")
-    assert toxicity.mark_id("=pathetic") in got and toxicity.mark_id("^loser") in got
-    assert toxicity.mark_id("^stupid") in toxicity.Reader(word_model).ids("s t u p i d " + "y o u a r e a f o o l " * 4)
+    assert "=pathetic" in got and "^loser" in got
+    assert "^stupid" in toxicity.Reader(word_model).ids("s t u p i d " + "y o u a r e a f o o l " * 4)
 
 
 def hits(text, model):
     """Which of the words are found in the text as whole words."""
     got = toxicity.Reader(model).ids(text)
-    return {w for w in ("stupid", "idiot", "loser") if toxicity.mark_id(f"={w}") in got}
+    return {w for w in ("stupid", "idiot", "loser") if f"={w}" in got}
 
 
 def test_long_runs_and_tokens_are_read_whole(word_model):
     filler = "y o u a r e a f o o l " * 4
     assert hits(filler + "s t u p i d i d i o t", word_model) == {"stupid", "idiot"}
     assert hits("-".join("y0u are the fool and this is what they have 5tup1d".split()), word_model) == {"stupid"}
-    assert toxicity.mark_id("=pathetic") in toxicity.Reader(word_model).ids("the p@the.tic fool")
+    assert "=pathetic" in toxicity.Reader(word_model).ids("the p@the.tic fool")
     assert toxicity.decode("lo$er" + "-" * 30 + "." * 30, word_model) == "loser"
 
 
@@ -261,7 +261,7 @@ def test_spaces_are_in_the_lattice(word_model, t):
 
 
 def test_what_is_not_wanted_alone_is_passed_over(word_model):
-    wanted = {toxicity.mark_id("=stupid"), toxicity.mark_id("^idio")}
+    wanted = {"=stupid", "^idio"}
     for t in ("st upid", "stu pid", "id iot", "i diot", "are st upid", "s t u p i d"):
         assert toxicity.Reader(word_model, wanted).ids(t) == toxicity.Reader(word_model).ids(t) & wanted != set()
 
@@ -312,3 +312,47 @@ def test_gradients():
         lo = (m.forward(x, mask) * d).sum()
         p[i] = old
         assert abs((hi - lo) / 2e-5 - g[i]) < 1e-4
+
+
+def test_wild_lattices_in_arrays_are_decoded_alike(word_model, monkeypatch):
+    rng = random.Random(5)
+    for _ in range(40):
+        token = "".join(rng.choice("stupidoer*#1$0.") for _ in range(rng.randint(1, 12)))
+        places = toxicity.lattice(token)
+        monkeypatch.setattr(toxicity, "WILD_PLACES", 10**9)
+        plain = toxicity.viterbi(places, word_model)
+        fast = toxicity.viterbi_in_arrays(places, word_model)
+        spelt = lambda w: sum(word_model.logp(("^" + w[:i])[-3:], c) for i, c in enumerate(w + "$"))
+        assert fast == plain or abs(spelt(fast) - spelt(plain)) < 1e-3
+
+
+def test_dense_table_is_the_model(word_model):
+    rng, m = random.Random(6), word_model
+    for _ in range(300):
+        w = "".join(rng.choice(m.letters) for _ in range(5))
+        i = rng.randint(1, 5)
+        before, c = ("^" + w[: i - 1])[-3:], (w + "$")[i - 1]
+        code = [toxicity.PAD] * (3 - len(before)) + m.codes(before) + m.codes(c)
+        at = 0
+        for k in code:
+            at = at * m.size + k
+        assert abs(m.dense[at] - m.logp(before, c)) < 1e-3
+
+
+def test_very_long_tokens_take_linear_time(word_model):
+    import time
+
+    began = time.perf_counter()
+    wanted = {"=stupid", "^idio"}
+    for t in ("st" * 50_000, "a.-" * 30_000, "*a" * 200, "5tup1d-" * 5_000):
+        got = toxicity.Reader(word_model, wanted).ids(t)
+    assert got == {"=stupid"} and time.perf_counter() - began < 60
+
+
+def test_columns_called_like_work_columns_are_kept(spark, toxic_tables):
+    rows, labels = toxic_tables
+    lab = spark.createDataFrame([(i, y, 1 - y) for i, y in labels], "doc_id long, toxic int, quality int")
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4, 5) for i, t, _ in rows[:80]], "doc_id long, text string, _scored int, _score int, _tail int, _expected int, _toxicity int")
+    for module in (toxicity, quality):
+        kept = module.select(docs, lab)
+        assert kept.columns == docs.columns and 0 < kept.count() <= 80
