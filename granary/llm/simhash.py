@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.llm.components import connected
-from granary.llm.util import cut, tune, written
+from granary.llm.util import Work, cut, tune
 
 SEED = 42
 WIDTH = 3
@@ -287,7 +287,7 @@ STAGE_WIDTH, SIMILARITY = 5, 0.8
 #: and the most that are listed. The list sets the order of shingles only; any order finds all pairs.
 COUNTED, COMMON, LISTED = 50_000, 10, 50_000
 #: Texts with one shingle up to which their pairs are formed; more are compared in blocks.
-PAIRED = 64
+PAIRED = 512
 #: First shingles that two similar sets share at least; prefixes are so much longer.
 SHARED = 3
 #: Shingles of a block's side.
@@ -304,19 +304,6 @@ def shingle_hashes(text: str | None, width: int = STAGE_WIDTH) -> np.ndarray:
     return np.unique(np.frombuffer(raw, dtype=">u8").astype(np.uint64))
 
 
-def verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, width: int, similarity: float) -> DataFrame:
-    """Those pairs (a, b) of ids whose texts' shingles have at least that Jaccard similarity."""
-    tune(docs.sparkSession)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(docs[doc_id].alias("id"), docs[text].alias("text")).join(wanted, "id", "left_semi")
-
-    def sets(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_hashes(t.as_py(), width).tobytes() for t in b.column(1)], pa.binary())], names=["id", "s"])
-
-    return checked(pairs, cut(texts.mapInArrow(sets, "id long, s binary")), similarity)
-
-
 def checked(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     """Those pairs (a, b) whose sets of shingles, in ``held`` (id, s), have that similarity."""
 
@@ -351,45 +338,65 @@ def shingled(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     def run(batches):
         for b in batches:
             sets = [shingle_hashes(t.as_py(), width).tobytes() for t in b.column(1)]
-            ids = np.array([xxhash.xxh64_intdigest(s, SEED) for s in sets], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids), pa.array(sets, pa.binary())], names=["doc_id", "id", "s"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([set_id(s) for s in sets], pa.int64()), pa.array(sets, pa.binary())], names=["doc_id", "id", "s"])
 
     return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).mapInArrow(run, f"doc_id {id_type}, id long, s binary")
 
 
-def common_shingles(sets: DataFrame, similarity: float) -> np.ndarray:
-    """Shingles that stand in many of the sets, as far as a sample tells."""
-    n = sets.count()
+def set_id(raw: bytes) -> int:
+    h = xxhash.xxh64_intdigest(raw, SEED)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def common_shingles(docs: DataFrame, text: str, width: int, similarity: float) -> np.ndarray:
+    """Shingles that stand in many of the texts, as far as a sample tells."""
+    tune(docs.sparkSession)
+    n = docs.count()
 
     def low(batches):
         for b in batches:
-            found = [x[: 2 * prefix_length(len(x), similarity)] for x in (np.frombuffer(v.as_py(), dtype=np.uint64) for v in b.column(0))]
+            found = [x[: 2 * prefix_length(len(x), similarity)] for x in (shingle_hashes(t.as_py(), width) for t in b.column(0))]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["tok"])
 
-    some = sets.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) < min(1.0, COUNTED / max(n, 1)) * 1_000_000).select("s")
+    some = docs.where(F.pmod(F.xxhash64(docs[text], F.lit(3)), F.lit(1_000_000)) < min(1.0, COUNTED / max(n, 1)) * 1_000_000).select(docs[text])
     counted = some.mapInArrow(low, "tok long").groupBy("tok").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
     return np.sort(np.array([r.tok for r in counted.orderBy(F.desc("n"), "tok").limit(LISTED).collect()], dtype=np.int64).view(np.uint64))
 
 
-def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """tok, id, n: of every set its first shingles in one order, common ones last, and its size."""
-    listed = sets.sparkSession.sparkContext.broadcast(common_shingles(sets, similarity))
+def begun(docs: DataFrame, doc_id: str, text: str, width: int, similarity: float) -> DataFrame:
+    """doc_id, id, n, first: the size of every row's set of shingles, and its first shingles in one
+    order, common ones last. The set itself goes no further; it is made again for the few that need it."""
+    listed = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text, width, similarity))
+    id_type = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            ids, toks, sizes = b.column(0).to_numpy(), [], []
-            for v in b.column(1):
-                x = np.frombuffer(v.as_py(), dtype=np.uint64)
+            ids, sizes, firsts = [], [], []
+            for t in b.column(1):
+                x = shingle_hashes(t.as_py(), width)
                 last = np.searchsorted(listed.value, x, "right") > np.searchsorted(listed.value, x, "left")
-                toks.append(np.concatenate([x[~last], x[last]])[: prefix_length(len(x), similarity)])
+                ids.append(set_id(x.tobytes()))
                 sizes.append(len(x))
-            each = [len(t) for t in toks]
-            if sum(each):
-                cols = [np.concatenate(toks).view(np.int64), np.repeat(ids, each), np.repeat(np.array(sizes, dtype=np.int32), each)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["tok", "id", "n"])
+                firsts.append(np.concatenate([x[~last], x[last]])[: prefix_length(len(x), similarity)].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.binary())], names=["doc_id", "id", "n", "first"])
+
+    return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).mapInArrow(run, f"doc_id {id_type}, id long, n int, first binary")
+
 
-    return sets.select("id", "s").mapInArrow(run, "tok long, id long, n int")
+def prefixes(sets: DataFrame) -> DataFrame:
+    """tok, id, n, at: the first shingles of every set (id, n, first) with their places."""
+
+    def run(batches):
+        for b in batches:
+            firsts = [np.frombuffer(v.as_py(), dtype=np.int64) for v in b.column(2)]
+            each = np.array([len(x) for x in firsts], dtype=np.int64)
+            if each.sum():
+                at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                cols = [np.concatenate(firsts), np.repeat(b.column(0).to_numpy(), each), np.repeat(b.column(1).to_numpy(), each), at.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["tok", "id", "n", "at"])
+
+    return sets.select("id", "n", "first").mapInArrow(run, "tok long, id long, n int, at int")
 
 
 def spanning(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
@@ -415,10 +422,9 @@ def spanning(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], simila
 
 
 def joining(rows: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """a, b: verified links. Of the sets that share a ``tok`` in ``rows`` (tok, id, n, label) and have
-    different labels all pairs are compared, in blocks."""
-    groups_ = rows.groupBy("tok").agg(F.sum("n").alias("total"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    many = rows.join(groups_.where("lo < hi").select("tok", "total"), "tok").withColumn("parts", F.ceil(F.col("total") / BLOCK).cast("int"))
+    """a, b: verified links. Of the sets that share a ``tok`` in ``rows`` (tok, id, n, label) all pairs
+    with different labels are compared, in blocks."""
+    many = rows.join(rows.groupBy("tok").agg(F.sum("n").alias("total")), "tok").withColumn("parts", F.ceil(F.col("total") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("id", F.lit(9)), F.col("parts")).cast("int")
     sides = many.select("tok", "id", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     blocks = sides.select("tok", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "label").join(held, "id").select("tok", "i", "j", "id", "label", "s")
@@ -445,50 +451,96 @@ def joining(rows: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     return blocks.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def alike(sets: DataFrame, similarity: float) -> DataFrame:
-    """node, root: the components of sets (id, s) of that Jaccard similarity, of those that are linked.
-
-    Two such sets share ``SHARED`` of their first shingles (``prefixes``). Either one of those stands
-    in many sets; then both meet in its blocks, where all pairs are compared that verified links have
-    not joined already. Or all of them are in few sets, and the pair is formed and compared. Sets with
-    a crowded shingle are compared with the least of its sets first, then under a sixteenth of these
-    shingles, then under the others; so most of a crowd is joined before its pairs are looked at."""
+def met_by(sets: DataFrame) -> DataFrame:
+    """tok, id, n, at, lo, c: the first shingles that several sets have, the least of these sets, and
+    their number."""
     ends = Window.partitionBy("tok")
-    met = prefixes(sets, similarity).withColumns({"lo": F.min("id").over(ends), "hi": F.max("id").over(ends), "c": F.count("*").over(ends)})
-    met = cut(met.where("lo < hi").select("tok", "id", "n", "lo", (F.col("c") > PAIRED).alias("crowd")).distinct())
-    few, crowd = met.where("not crowd").select("tok", "id", "n"), met.where("crowd")
+    met = prefixes(sets).withColumns({"lo": F.min("id").over(ends), "c": F.count("*").over(ends)})
+    return met.where("c > 1")
+
+
+def formed(few: DataFrame, similarity: float) -> DataFrame:
+    """a, b: the pairs of sets that share enough of their first shingles in ``few`` (tok, id, n, at,
+    label) to be alike, and have different labels. What follows the first shingle that two sets share
+    bounds all that they share."""
     x, y = few.alias("x"), few.alias("y")
-    largest = F.greatest("x.n", "y.n")
-    fits = F.least("x.n", "y.n") >= similarity * largest - 1e-6
-    both = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.id") < F.col("y.id")) & fits).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    formed = both.agg(F.count("*").alias("c"), F.max(F.least(F.lit(SHARED), F.ceil(similarity * largest - 1e-6))).alias("due")).where("c >= due").select("a", "b")
-    first = crowd.where("id <> lo").groupBy(F.col("id").alias("a"), F.col("lo").alias("b")).agg(F.count("*").alias("c")).where(F.col("c") >= SHARED).select("a", "b")
-    pairs = cut(formed.unionByName(first).distinct())
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowd.select("id")).distinct())
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    held = cut(sets.join(wanted, "id", "left_semi").dropDuplicates(["id"]))
-    links_ = cut(checked(pairs, held, similarity))
-    roots = connected(links_)
-    for some in (F.pmod("tok", F.lit(16)) == 0, F.pmod("tok", F.lit(16)) != 0):
+    fits = F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n") - 1e-6
+    due = F.least(F.lit(SHARED), F.ceil(similarity * F.greatest("x.n", "y.n") - 1e-6))
+    rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    enough = similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - 1e-6
+    both = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & fits)
+    pairs = both.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("c"), F.max(due).alias("due"), F.max(rest - enough).alias("left"))
+    return pairs.where("c >= due and left >= 0").select("a", "b")
+
+
+def alike(sets: DataFrame, held_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """node, root: the components of sets (id, n, first) of that Jaccard similarity, of those that are
+    linked. ``held_of`` gives the whole sets (id, s) of ids.
+
+    Two such sets share ``SHARED`` of their first shingles. First every set is compared with the least
+    that it shares so many with, which joins most of a crowd before its pairs are looked at. Of sets
+    that verified links have not joined yet, pairs are formed where the shingles that they share stand
+    in few sets; a shingle in many has its sets compared in blocks, under a sixteenth of these shingles
+    first."""
+    met = cut(met_by(sets))
+    first = met.where("id <> lo").groupBy(F.col("id").alias("a"), F.col("lo").alias("b")).agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    first = cut(first.where(F.col("c") >= F.least(F.lit(SHARED), F.ceil(similarity * F.col("n") - 1e-6))).select("a", "b"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        return cut(checked(pairs, held_of(ids), similarity))
+
+    def labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
         known = roots.select(F.col("node").alias("id"), "root")
-        labelled = cut(crowd.where(some).join(known, "id", "left").select("tok", "id", "n", F.coalesce("root", "id").alias("label")))
-        more = cut(joining(labelled, held, similarity))
-        if not more.isEmpty():
-            links_ = cut(links_.unionByName(more))
-            roots = connected(links_)
+        return rows.join(known, "id", "left").select("tok", "id", "n", "at", F.coalesce("root", "id").alias("label"))
+
+    links_ = compared(first)
+    roots = connected(links_)
+    pairs = cut(formed(labelled(met.where(F.col("c") <= PAIRED), roots), similarity))
+    more = compared(pairs)
+    if not more.isEmpty():
+        links_ = cut(links_.unionByName(more))
+        roots = connected(links_)
+    crowd = met.where(F.col("c") > PAIRED)
+    if not crowd.isEmpty():
+        for some in (F.pmod("tok", F.lit(16)) == 0, F.pmod("tok", F.lit(16)) != 0):
+            rows = cut(apart(labelled(crowd.where(some), roots)))
+            held = cut(held_of(cut(rows.select("id").distinct())))
+            more = cut(joining(rows, held, similarity))
+            if not more.isEmpty():
+                links_ = cut(links_.unionByName(more))
+                roots = connected(links_)
     return roots
 
 
+def apart(rows: DataFrame) -> DataFrame:
+    """Those rows (tok, id, n, at, label) whose ``tok`` has different labels."""
+    several = rows.groupBy("tok").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("tok")
+    return rows.join(several, "tok", "left_semi")
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = STAGE_WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """id, group_id of every document with an id that is not the smallest of its group.
 
     Texts with equal sets of shingles are one node; groups are the components of all pairs of nodes
     whose sets have that Jaccard similarity."""
-    prints = written(shingled(docs.where(docs[doc_id].isNotNull()), doc_id, text, width), "shingles")
-    roots = alike(prints.select("id", "s"), similarity).withColumnRenamed("node", "id")
-    placed_ = cut(prints.select("doc_id", "id").join(roots, "id", "left").select("doc_id", F.coalesce("root", "id").alias("root")))
-    led = placed_.groupBy("root").agg(F.min("doc_id").alias("group_id"))
-    return placed_.join(led, "root").where("doc_id <> group_id").select(F.col("doc_id").alias("id"), "group_id")
+    docs = docs.where(docs[doc_id].isNotNull())
+    with Work(docs.sparkSession) as work:
+        rows = work.written(begun(docs, doc_id, text, width, similarity), "first-shingles")
+        sets = rows.groupBy("id").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("first").alias("first"))
+
+        def held_of(ids: DataFrame) -> DataFrame:
+            ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+            wanted = cut(rows.select("doc_id", "id").join(ids, "id", "left_semi").groupBy("id").agg(F.min("doc_id").alias("low")))
+            few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+            found = shingled(docs.join(few, docs[doc_id] == F.col("low"), "left_semi"), doc_id, text, width)
+            # An id may have several rows with other texts; those sets go again here.
+            return found.select("id", "s").join(ids, "id", "left_semi").dropDuplicates(["id"])
+
+        roots = alike(sets, held_of, similarity).withColumnRenamed("node", "id")
+        placed_ = work.written(rows.select("doc_id", "id").join(roots, "id", "left").select("doc_id", F.coalesce("root", "id").alias("root")), "placed")
+        led = placed_.groupBy("root").agg(F.min("doc_id").alias("group_id"))
+        return cut(placed_.join(led, "root").where("doc_id <> group_id").select(F.col("doc_id").alias("id"), "group_id"))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **kw) -> DataFrame:

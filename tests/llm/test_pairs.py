@@ -147,7 +147,9 @@ def hash_of(t):
     return xxhash.xxh64_intdigest(t.encode(), 3)
 
 
-def test_groups_of_a_crowd_match_brute_force(spark):
+@pytest.mark.parametrize("paired", [4, 64, 512])
+def test_groups_of_a_crowd_match_brute_force(spark, monkeypatch, paired):
+    monkeypatch.setattr(simhash, "PAIRED", paired)
     rng, line = random.Random(8), "this line stands in every one of these texts without any change"
     rows = list(enumerate(crowd_of(400, 21) + [f"{t} {line}" for t in texts(120, 22)] + [line, f"{line} x", "", None, "?!"]))
     rng.shuffle(rows)
@@ -156,8 +158,10 @@ def test_groups_of_a_crowd_match_brute_force(spark):
     assert held_groups(spark, rows) == want
 
 
-def test_blocks_of_a_crowd_lose_no_link(spark, monkeypatch):
+@pytest.mark.parametrize("paired", [4, 512])
+def test_blocks_of_a_crowd_lose_no_link(spark, monkeypatch, paired):
     monkeypatch.setattr(simhash, "BLOCK", 5_000)
+    monkeypatch.setattr(simhash, "PAIRED", paired)
     rows = list(enumerate(crowd_of(150, 31) + crowd_of(60, 32)))
     assert held_groups(spark, rows) == plain_groups(rows)
 
@@ -204,7 +208,8 @@ def test_similarity_threshold_is_exact(spark):
     assert j[1] >= 0.8 > j[2]
     docs = spark.createDataFrame([(i, " ".join(w), None, None, None) for i, w in enumerate((a, b, c))], DOCS)
     pairs = spark.createDataFrame([(1, 0), (2, 0)], "a long, b long")
-    assert [tuple(r) for r in simhash.verified(docs, pairs, "doc_id", "text", 5, 0.8).collect()] == [(1, 0)]
+    held = simhash.shingled(docs, "doc_id", "text", 5).selectExpr("doc_id as id", "s")
+    assert [tuple(r) for r in simhash.checked(pairs, held, 0.8).collect()] == [(1, 0)]
 
 
 def test_empty_tables(spark):
