@@ -40,8 +40,8 @@ ORDER = 4
 GRAMS, LETTERS = 300_000, 44
 LEAST = 5  # texts that a mark must stand in
 ODDS = 2.0  # log odds from which a mark is kept
-#: Tokens, and characters in them, that a worker remembers.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 20_000_000
+#: Tokens, characters in them, and windows that a task remembers.
+REMEMBERED, REMEMBERED_CHARS, WINDOWS = 150_000, 4_000_000, 40_000
 CUTOFF = 0.5
 
 #: What signs may stand for, besides nothing. Fixed values.
@@ -81,6 +81,7 @@ class CharModel:
         self.size = OTHER + 1 + len(self.letters)
         self.memo: dict[tuple[str, str], float] = {}
         self.dense = self._dense()
+        self.flat = memoryview(self.dense)
         #: The symbol of every code point; 0 and 1 stand for nothing before and no letter.
         self.lookup = np.full(0x110000, OTHER, dtype=np.uint8)
         for c, k in self.code.items():
@@ -101,7 +102,7 @@ class CharModel:
                     lam = n / (n + 3.0)
                     p = lam * self.counts.get(ctx + c, 0) / n + (1 - lam) * p
             v = math.log(max(p, 1e-12))
-            if len(self.memo) < 500_000:
+            if len(self.memo) < 60_000:
                 self.memo[key] = v
         return v
 
@@ -185,24 +186,32 @@ def viterbi(places: list[list[tuple[str, float]]], model: CharModel) -> str:
     is linear in the number of places."""
     if sum(arcs[-1][0] == "?" or (len(arcs) > 1 and arcs[-2][0] == "?") for arcs in places) >= WILD_PLACES:
         return viterbi_in_arrays(places, model)
-    states: dict[str, tuple[float, tuple | None]] = {"^": (0.0, None)}
-    logp = model.logp
+    size, cube, flat, codes = model.size, model.size**3, model.flat, model.codes
+    begin = (PAD * size + PAD) * size + BEGIN
+    states: dict[int, tuple[float, tuple | None]] = {begin: (0.0, None)}
+    any_letter = [(x, (model.code[x],)) for x in model.letters]
     for arcs in places:
-        nxt: dict[str, tuple[float, tuple | None]] = {}
+        nxt: dict[int, tuple[float, tuple | None]] = {}
+        steps = []
+        for letters, cost in arcs:
+            if letters == "?":
+                steps += [(x, c, cost + ANY_COST) for x, c in any_letter]
+            else:
+                steps.append((letters, (END_OF_WORD,) if letters == END_ARC else codes(letters), cost))
         for ctx, (s, path) in states.items():
-            for letters, cost in arcs:
-                if letters == END_ARC:
-                    t = s - cost + (0.0 if ctx == "^" else logp(ctx, "$"))
-                    if "^" not in nxt or nxt["^"][0] < t:
-                        nxt["^"] = (t, (path, END_ARC))
-                    continue
-                for x in model.letters if letters == "?" else (letters,):
-                    t, c = s - cost - (ANY_COST if letters == "?" else 0), ctx
-                    for ch in x:
-                        t += logp(c, ch)
-                        c = (c + ch)[-(ORDER - 1) :]
-                    if c not in nxt or nxt[c][0] < t:
-                        nxt[c] = (t, (path, x) if x else path)
+            for x, word, cost in steps:
+                t, c = s - cost, ctx
+                if x == END_ARC:
+                    if c != begin:
+                        t += flat[c * size + END_OF_WORD]
+                    c = begin
+                else:
+                    for k in word:
+                        at = c * size + k
+                        t += flat[at]
+                        c = at % cube
+                if c not in nxt or nxt[c][0] < t:
+                    nxt[c] = (t, (path, x) if x else path)
         states = nxt
 
     def spelt(path) -> str:
@@ -212,7 +221,7 @@ def viterbi(places: list[list[tuple[str, float]]], model: CharModel) -> str:
             out.append(x)
         return "".join(reversed(out))
 
-    ends = [(s + (0.0 if c == "^" else logp(c, "$")), path) for c, (s, path) in states.items()]
+    ends = [(s + (0.0 if c == begin else flat[c * size + END_OF_WORD]), path) for c, (s, path) in states.items()]
     best = max(t for t, _ in ends)
     return max(spelt(path) for t, path in ends if t == best)
 
@@ -306,8 +315,11 @@ class Tokens(dict):
         for k, token in enumerate(new, first):
             if starts is not None:
                 core = token.strip(_STOPS)
-                if core[:3] not in starts and core.isalpha() and not _RUN.search(core):
-                    continue  # a plain word that cannot have a mark
+                if core.isalpha() and not _RUN.search(core):  # a plain word
+                    if core[:3] in starts and (v := reader.found([core])):
+                        self.marks[k] = v
+                        self.marked[k] = True
+                    continue
             v = reader.word(token)
             if v:
                 self.marks[k] = v
@@ -356,7 +368,7 @@ class Reader:
     def found(self, words: list[str]) -> tuple[str, ...]:
         if self.wanted is None:
             return tuple(m for w in words for m in marks(w))
-        return tuple(m for w in words if w[:3] in self.starts for m in marks(w) if m in self.wanted)
+        return tuple(m for w in words if len(w) > 2 and w[:3] in self.starts for m in marks(w) if m in self.wanted)
 
     def word(self, token: str) -> tuple[str, ...]:
         return self.found(self.restored(token))
@@ -425,7 +437,10 @@ class Reader:
             if over and any(x in self.short for x, _ in alive):
                 return True
             alive = {(x, True) for x, _ in alive if x}
-            begin = True
+            # Of a plain token all letters stand at the beginning of a word that goes over its end.
+            begin = not (over and t.isalpha()) or collapsed(t) in self.beginnings
+            if not begin and not alive:
+                continue
             for arcs in lattice(t):
                 if begin:
                     alive.add(("", False))
@@ -439,6 +454,8 @@ class Reader:
                 if any((crossed or not over) and z in self.short for z, crossed in nxt):
                     return True
                 alive, begin = nxt, any(not letters for letters, _ in arcs)  # within a token words begin after signs only
+                if not alive and t.isalpha():
+                    break
         return False
 
     def over_spaces(self, split: list[str], at: np.ndarray) -> set[str]:
@@ -458,7 +475,7 @@ class Reader:
                 v = ()
                 if any(c.isalpha() for t in window for c in t) and self.possible(window):
                     v = self.found([w for w in dict.fromkeys(parted(window, self.model)) if len(w) > 2])
-                if len(self.windows) > REMEMBERED:
+                if len(self.windows) > WINDOWS:
                     self.windows.clear()
                 if len(key) <= 64:
                     self.windows[key] = v
@@ -466,14 +483,14 @@ class Reader:
         return out
 
 
-#: The last reader that a worker has made, so that it is kept from task to task.
-_HELD: dict[object, Reader] = {}
+#: The last model that a worker has made; its table is kept from task to task.
+_HELD: dict[str, CharModel] = {}
 
 
-def held_reader(key: object, counts: dict[str, int], wanted: set[str] | None, spaces: bool = True) -> Reader:
+def held_model(key: str, counts: dict[str, int]) -> CharModel:
     if key not in _HELD:
         _HELD.clear()
-        _HELD[key] = Reader(CharModel(counts), wanted, spaces)
+        _HELD[key] = CharModel(counts)
     return _HELD[key]
 
 
@@ -489,25 +506,68 @@ def fold_of(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds))
 
 
+def packed_grams(tokens: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of ``grams_of`` of all words in some tokens, 16 bits a letter, and their weighted
+    counts. Words are runs of letters; letters beyond 16 bits end a word."""
+    raw = np.frombuffer("\n".join(tokens).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    owner = np.repeat(weights, np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) + 1)[: len(raw)]
+    known, back = np.unique(raw, return_inverse=True)
+    letter = np.array([c < 0x10000 and chr(c).isalpha() for c in known.tolist()], dtype=bool)[back]
+    # Each run of letters gets a begin and an end mark: in a copy with room for both.
+    begins = letter & ~np.concatenate([[False], letter[:-1]])
+    ends = letter & ~np.concatenate([letter[1:], [False]])
+    at = np.cumsum(letter.astype(np.int64) + begins + np.concatenate([[False], ends[:-1]])) - 1
+    at = at[letter]
+    size = int(at[-1]) + 2 if len(at) else 0
+    code, weight, first = np.full(size, ord("$"), dtype=np.uint64), np.zeros(size, dtype=np.int64), np.zeros(size, dtype=bool)
+    code[at], weight[at] = raw[letter], owner[letter]
+    b, e = at[begins[letter]] - 1, at[ends[letter]] + 1
+    code[b], weight[b], first[b] = ord("^"), owner[letter][begins[letter]], True
+    weight[e] = owner[letter][ends[letter]]
+    since = np.arange(size) - np.maximum.accumulate(np.where(first, np.arange(size), 0))  # places after the begin mark
+    out, n, gram = [], [], np.zeros(size, dtype=np.uint64)
+    for k in range(ORDER):
+        gram = gram | np.concatenate([np.zeros(min(k, size), np.uint64), code[: max(size - k, 0)]]) << np.uint64(16 * k)
+        ok = (since >= max(k, 1)) & (weight > 0)
+        out.append(gram[ok])
+        n.append(weight[ok])
+    if not size:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    found, back = np.unique(np.concatenate(out), return_inverse=True)
+    return found, np.bincount(back, weights=np.concatenate(n)).astype(np.int64)
+
+
+def spelt(gram: int) -> str:
+    """The letters of a packed gram."""
+    gram %= 2**64
+    return "".join(chr(gram >> 16 * k & 0xFFFF) for k in range(ORDER - 1, -1, -1) if gram >> 16 * k)
+
+
 def gram_counts(docs: DataFrame, text: str, most: int = GRAMS) -> dict[str, int]:
-    """The character grams of the words of all texts, each word as often as texts hold it; the
-    ``most`` frequent ones. Words are counted first, so grams are cut from distinct words only."""
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(docs[text]), r"[^\p{L}]+"))).alias("w")).where("w <> ''")
+    """The character grams of the words of all texts, each as often as texts hold its token; the ``most``
+    frequent ones. Tokens are counted first, so grams are cut from distinct ones only."""
+    tokens = docs.select(F.explode(F.array_distinct(F.split(F.lower(docs[text]), " "))).alias("w")).where("w <> ''")
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, int] = {}
+        held, weights, chars = [], [], 0
+
+        def flushed():
+            grams, n = packed_grams(held, np.array(weights, dtype=np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["g", "n"])
+
         for b in batches:
-            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for g in grams_of(w):
-                    found[g] = found.get(g, 0) + n
-            if len(found) > 500_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["g", "n"])
-                found = {}
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["g", "n"])
+            held += b.column(0).to_pylist()
+            weights += b.column(1).to_pylist()
+            chars += b.column(0).nbytes
+            if chars > 2_000_000:
+                yield flushed()
+                held, weights, chars = [], [], 0
+        if held:
+            yield flushed()
 
-    counted = words.groupBy("w").agg(F.count("*").alias("n"))
-    grams = counted.mapInArrow(cut_up, "g string, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 4")
-    return {r.g: r.n for r in grams.orderBy(F.desc("n"), "g").limit(most).collect()}  # at most ``most`` rows
+    counted = tokens.groupBy("w").agg(F.count("*").alias("n"))
+    grams = counted.mapInArrow(cut_up, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 4")
+    return {spelt(r.g): r.n for r in grams.orderBy(F.desc("n"), "g").limit(most).collect()}  # at most ``most`` rows
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Scorer | None:
@@ -530,7 +590,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id:
     key = uuid.uuid4().hex
 
     def count_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, found = held_reader(("count", key), held.value, None, False), {}
+        reader, found = Reader(held_model(key, held.value), None, False), {}
         for b in batches:
             for y, t in zip(b.column(0).to_pylist(), b.column(1)):
                 for i in reader.ids(t.as_py()):
@@ -549,7 +609,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id:
     wanted = rows.sparkSession.sparkContext.broadcast(set(kept))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = held_reader(("read", key), held.value, wanted.value)
+        reader = Reader(held_model(key, held.value), wanted.value)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sorted(reader.ids(t.as_py())) for t in b.column(1)], pa.list_(pa.string()))], names=["y", "ids"])
 
@@ -586,7 +646,7 @@ def score(docs: DataFrame, scorer: Scorer | None, doc_id: str = "doc_id", text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = held.value
-        reader = held_reader(("score", key), s.counts, set(s.weights)) if s else None
+        reader = Reader(held_model(key, s.counts), set(s.weights)) if s else None
         for b in batches:
             values = [s.score(reader.ids(t.as_py())) if s else 0.0 for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(1, b.num_columns)), pa.array(values, pa.float64())], names=schema.names)

@@ -356,3 +356,18 @@ def test_columns_called_like_work_columns_are_kept(spark, toxic_tables):
     for module in (toxicity, quality):
         kept = module.select(docs, lab)
         assert kept.columns == docs.columns and 0 < kept.count() <= 80
+
+
+def test_packed_grams_are_the_grams_of_the_words():
+    rng, toks = random.Random(1), []
+    for _ in range(500):
+        toks.append("".join(rng.choice("abcñ1. \nß😀") for _ in range(rng.randint(0, 12))))
+    weights = [rng.randint(1, 9) for _ in toks]
+    grams, n = toxicity.packed_grams(toks, np.array(weights))
+    want = {}
+    for t, k in zip(toks, weights):
+        for w in toxicity._PLAIN.findall(t):
+            for g in toxicity.grams_of(w):
+                want[g] = want.get(g, 0) + k
+    assert {toxicity.spelt(int(g)): int(k) for g, k in zip(grams, n)} == want
+    assert len(toxicity.packed_grams(["", "1"], np.array([1, 1]))[0]) == 0
