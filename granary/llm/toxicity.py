@@ -21,9 +21,11 @@ columns are kept by ``select``, whatever they are called, and ignored otherwise.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,8 @@ SAMPLE = 20_000
 ORDER = 4
 #: Grams of the character model, the most frequent ones, and letters that it tells apart.
 GRAMS, LETTERS = 300_000, 44
+#: Distinct tokens from which a task cuts grams at a time, and lists of rare grams that it holds.
+CHUNK, OTHERS = 100_000, 40
 LEAST = 5  # texts that a mark must stand in
 ODDS = 2.0  # log odds from which a mark is kept
 #: Tokens, characters in them, and windows that a task remembers.
@@ -111,17 +115,18 @@ class CharModel:
         s = self.size
         p = np.full((s,) * ORDER, 1e-4, dtype=np.float32)
         for k in range(ORDER):  # contexts of k symbols; what stands further back does not matter
-            found = np.zeros((s,) * (k + 1), dtype=np.float64)
+            found = np.zeros((s,) * (k + 1), dtype=np.float32)
             for g, n in self.counts.items():
                 if len(g) == k + 1:
                     found[tuple(self.code[c] for c in g)] = n
-            total = found.sum(axis=-1, keepdims=True)
-            lam = total / (total + 3.0)
-            p *= (1 - lam).astype(np.float32)
-            p += (lam * found / np.maximum(total, 1)).astype(np.float32)
-        out = np.log(np.maximum(p, 1e-12))
-        out[..., NONE] = 0
-        return out.ravel()
+            total = found.sum(axis=-1, keepdims=True, dtype=np.float64).astype(np.float32)
+            p *= 3 / (total + 3)
+            found /= total + 3
+            p += found
+        np.maximum(p, 1e-12, out=p)
+        np.log(p, out=p)
+        p[..., NONE] = 0
+        return p.ravel()
 
     def codes(self, text: str) -> list[int]:
         return [self.code.get(c, OTHER) for c in text]
@@ -506,35 +511,80 @@ def fold_of(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds))
 
 
-def packed_grams(tokens: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of ``grams_of`` of all words in some tokens, 16 bits a letter, and their weighted
-    counts. Words are runs of letters; letters beyond 16 bits end a word."""
-    raw = np.frombuffer("\n".join(tokens).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    owner = np.repeat(weights, np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) + 1)[: len(raw)]
-    known, back = np.unique(raw, return_inverse=True)
-    letter = np.array([c < 0x10000 and chr(c).isalpha() for c in known.tolist()], dtype=bool)[back]
-    # Each run of letters gets a begin and an end mark: in a copy with room for both.
-    begins = letter & ~np.concatenate([[False], letter[:-1]])
-    ends = letter & ~np.concatenate([letter[1:], [False]])
-    at = np.cumsum(letter.astype(np.int64) + begins + np.concatenate([[False], ends[:-1]])) - 1
-    at = at[letter]
-    size = int(at[-1]) + 2 if len(at) else 0
-    code, weight, first = np.full(size, ord("$"), dtype=np.uint64), np.zeros(size, dtype=np.int64), np.zeros(size, dtype=bool)
-    code[at], weight[at] = raw[letter], owner[letter]
-    b, e = at[begins[letter]] - 1, at[ends[letter]] + 1
-    code[b], weight[b], first[b] = ord("^"), owner[letter][begins[letter]], True
-    weight[e] = owner[letter][ends[letter]]
-    since = np.arange(size) - np.maximum.accumulate(np.where(first, np.arange(size), 0))  # places after the begin mark
-    out, n, gram = [], [], np.zeros(size, dtype=np.uint64)
-    for k in range(ORDER):
-        gram = gram | np.concatenate([np.zeros(min(k, size), np.uint64), code[: max(size - k, 0)]]) << np.uint64(16 * k)
-        ok = (since >= max(k, 1)) & (weight > 0)
-        out.append(gram[ok])
-        n.append(weight[ok])
-    if not size:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    found, back = np.unique(np.concatenate(out), return_inverse=True)
-    return found, np.bincount(back, weights=np.concatenate(n)).astype(np.int64)
+@functools.cache
+def _letters() -> np.ndarray:
+    """Which code points are letters of at most 16 bits."""
+    return np.fromiter((c < 0x10000 and chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+
+
+class GramTable:
+    """Counts of the grams of ``grams_of`` of all words in tokens. Words are runs of letters; letters
+    beyond 16 bits end a word. The first ``ROOM`` symbols that are met are counted in tables with a place
+    for every gram, grams of others by sorting them."""
+
+    ROOM = 48
+
+    def __init__(self):
+        self.number = np.full(0x10000, self.ROOM, dtype=np.int64)  # of each code point; ROOM: has none
+        self.symbols: list[int] = []
+        self.tables = [np.zeros(self.ROOM ** (k + 1)) for k in range(ORDER)]
+        self.others: list[tuple[np.ndarray, np.ndarray]] = []
+        self._name([ord("^"), ord("$")])
+
+    def _name(self, codes: list[int]) -> None:
+        for c in codes[: self.ROOM - len(self.symbols)]:
+            self.number[c] = len(self.symbols)
+            self.symbols.append(c)
+
+    def add(self, tokens: list[str], weights: np.ndarray) -> None:
+        raw = np.frombuffer("\n".join(tokens).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letter = _letters()[raw]
+        if not letter.any():
+            return
+        owner = np.repeat(weights, np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) + 1)[: len(raw)]
+        # Each run of letters gets a begin and an end mark: in a copy with room for both.
+        begins = letter & ~np.concatenate([[False], letter[:-1]])
+        ends = letter & ~np.concatenate([letter[1:], [False]])
+        at = (np.cumsum(letter.astype(np.int64) + begins + np.concatenate([[False], ends[:-1]])) - 1)[letter]
+        size = int(at[-1]) + 2
+        code, weight, first = np.full(size, ord("$"), dtype=np.int64), np.zeros(size), np.zeros(size, dtype=bool)
+        code[at], weight[at] = raw[letter], owner[letter]
+        b, e = at[begins[letter]] - 1, at[ends[letter]] + 1
+        code[b], weight[b], first[b] = ord("^"), owner[letter][begins[letter]], True
+        weight[e] = owner[letter][ends[letter]]
+        if len(self.symbols) < self.ROOM:
+            seen = np.flatnonzero(np.bincount(code))
+            self._name(seen[self.number[seen] == self.ROOM].tolist())
+        small = self.number[code]
+        strange = small == self.ROOM
+        since = np.arange(size) - np.maximum.accumulate(np.where(first, np.arange(size), 0))  # places after the begin mark
+        index, gram, bad = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=bool)
+        for k in range(ORDER):
+            back = lambda x: np.concatenate([np.zeros(min(k, size), x.dtype), x[: max(size - k, 0)]])
+            bad = bad | back(strange)
+            index += back(small) * self.ROOM**k
+            ok = (since >= max(k, 1)) & (weight > 0)
+            plain = ok & ~bad
+            self.tables[k] += np.bincount(index[plain], weights=weight[plain], minlength=self.ROOM ** (k + 1))
+            if strange.any():
+                gram = gram | back(code.astype(np.uint64)) << np.uint64(16 * k)
+                rare = ok & bad
+                if rare.any():
+                    found, inverse = np.unique(gram[rare], return_inverse=True)
+                    self.others.append((found, np.bincount(inverse, weights=weight[rare])))
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """The grams, 16 bits a letter, and how often each stands in the words; some may be listed twice."""
+        grams, n = [g for g, _ in self.others], [c for _, c in self.others]
+        code = np.array(self.symbols + [0] * (self.ROOM - len(self.symbols)), dtype=np.uint64)
+        for k, t in enumerate(self.tables):
+            at = np.flatnonzero(t)
+            n.append(t[at])
+            gram = np.zeros(len(at), dtype=np.uint64)
+            for j in range(k + 1):
+                gram |= code[at // self.ROOM**j % self.ROOM] << np.uint64(16 * j)
+            grams.append(gram)
+        return np.concatenate(grams), np.concatenate(n).astype(np.int64)
 
 
 def spelt(gram: int) -> str:
@@ -543,30 +593,37 @@ def spelt(gram: int) -> str:
     return "".join(chr(gram >> 16 * k & 0xFFFF) for k in range(ORDER - 1, -1, -1) if gram >> 16 * k)
 
 
+def _counted(table: GramTable) -> pa.RecordBatch:
+    grams, n = table.counts()
+    return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["g", "n"])
+
+
 def gram_counts(docs: DataFrame, text: str, most: int = GRAMS) -> dict[str, int]:
     """The character grams of the words of all texts, each as often as texts hold its token; the ``most``
-    frequent ones. Tokens are counted first, so grams are cut from distinct ones only."""
-    tokens = docs.select(F.explode(F.array_distinct(F.split(F.lower(docs[text]), " "))).alias("w")).where("w <> ''")
+    frequent ones. A task counts tokens and cuts grams from distinct ones, so only grams are shuffled."""
+    tune(docs.sparkSession, 256)
 
-    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, weights, chars = [], [], 0
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, table = Counter(), GramTable()
 
-        def flushed():
-            grams, n = packed_grams(held, np.array(weights, dtype=np.int64))
-            return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["g", "n"])
+        def cut_up():
+            table.add(list(held), np.fromiter(held.values(), dtype=np.int64, count=len(held)))
+            held.clear()
 
         for b in batches:
-            held += b.column(0).to_pylist()
-            weights += b.column(1).to_pylist()
-            chars += b.column(0).nbytes
-            if chars > 2_000_000:
-                yield flushed()
-                held, weights, chars = [], [], 0
+            for t in b.column(0):
+                held.update(set((t.as_py() or "").lower().split()))
+                if len(held) > CHUNK:
+                    cut_up()
+            if len(table.others) > OTHERS:
+                cut_up()
+                yield _counted(table)
+                table = GramTable()
         if held:
-            yield flushed()
+            cut_up()
+        yield _counted(table)
 
-    counted = tokens.groupBy("w").agg(F.count("*").alias("n"))
-    grams = counted.mapInArrow(cut_up, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 4")
+    grams = docs.select(docs[text]).mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 4")
     return {spelt(r.g): r.n for r in grams.orderBy(F.desc("n"), "g").limit(most).collect()}  # at most ``most`` rows
 
 

@@ -358,16 +358,21 @@ def test_columns_called_like_work_columns_are_kept(spark, toxic_tables):
         assert kept.columns == docs.columns and 0 < kept.count() <= 80
 
 
-def test_packed_grams_are_the_grams_of_the_words():
+@pytest.mark.parametrize("room", [4, 48])
+def test_counted_grams_are_the_grams_of_the_words(monkeypatch, room):
+    monkeypatch.setattr(toxicity.GramTable, "ROOM", room)
     rng, toks = random.Random(1), []
     for _ in range(500):
         toks.append("".join(rng.choice("abcñ1. \nß😀") for _ in range(rng.randint(0, 12))))
     weights = [rng.randint(1, 9) for _ in toks]
-    grams, n = toxicity.packed_grams(toks, np.array(weights))
-    want = {}
+    t, got, want = toxicity.GramTable(), {}, {}
+    for lo in (0, 100):
+        t.add(toks[lo : lo + 100 if lo == 0 else None], np.array(weights[lo : lo + 100 if lo == 0 else None]))
+    t.add(["", "1"], np.array([1, 1]))
+    for g, n in zip(*t.counts()):
+        got[toxicity.spelt(int(g))] = got.get(toxicity.spelt(int(g)), 0) + int(n)
     for t, k in zip(toks, weights):
         for w in toxicity._PLAIN.findall(t):
             for g in toxicity.grams_of(w):
                 want[g] = want.get(g, 0) + k
-    assert {toxicity.spelt(int(g)): int(k) for g, k in zip(grams, n)} == want
-    assert len(toxicity.packed_grams(["", "1"], np.array([1, 1]))[0]) == 0
+    assert got == want
