@@ -55,7 +55,7 @@ def clean_lines(c: Column, line_patterns: Sequence[str], drop: str | None = None
     return strip(F.array_join(lines, "\n"))
 
 
-#: What each family of editions leaves in its lines: (patterns taken out of a line, lines dropped).
+# What each family of editions leaves in its lines (patterns taken out of a line, lines dropped).
 LINE_RULES: dict[str, tuple[tuple[str, ...], str | None]] = {
     "list": ((r"(?U)\s+\d{1,3}\s*$", rf"^\s*[1-3](?=[{TAMIL}])", r"(?U)^\s*\(\d+\)\s*$"), r"^-{3,}$"),
     "table": ((r"(?U)\s+\d+(?:\.\d+){0,2}\s*$",), r"^-{3,}$"),
@@ -226,3 +226,8 @@ def definition_lines(c: Column, most: int = 5, long: int = 500, head: int = 280)
 def count_literal(c: Column, literal: str) -> Column:
     """How often a literal stands in a text, not overlapping."""
     return ((F.length(c) - F.length(F.replace(c, F.lit(literal), F.lit("")))) / F.lit(len(literal))).cast("long")
+
+
+def attributed(part: Column, author: str, parts: Sequence[int]) -> Column:
+    """The author of some parts of a text; empty for the others."""
+    return F.when(part.isin(*parts), F.lit(author)).otherwise(F.lit(""))

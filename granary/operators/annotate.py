@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Callable, Iterator, Sequence
+from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,10 +18,34 @@ from granary.operators.validate import annotation_errors, null_fields
 
 #: Statuses after which a request is tried again.
 RETRIED = frozenset({408, 425, 429, 500, 502, 503, 504})
-#: Fields that a prompt shows as known.
+# Fields that a prompt shows as known.
 SHOWN = ("thinai", "akam_or_puram", "karu", "uri", "ullurai", "speaker_role", "metre", "dhvani_layer", "rasa_primary", "rasa_secondary", "themes", "philosophical_concept")
 
 
+class Provider(Protocol):
+    """What a service behind a proxy has to offer: a name, and one call that takes a request's fields
+    and gives the answer's text, or raises ``Failed``. Which service answers is the caller's choice."""
+
+    name: str
+
+    def __call__(self, prompt: str) -> str: ...
+
+
+def proxied(providers: Sequence[Provider]) -> Callable[[str], str]:
+    """A client that asks providers in order until one answers; the last failure counts."""
+
+    def call(prompt: str) -> str:
+        failed = Failed(0)
+        for p in providers:
+            try:
+                return p(prompt)
+            except Failed as e:
+                failed = e
+        raise failed
+
+    return call
+
+
 class Failed(Exception):
     """A request that failed with a status (0: no connection), and the wait that the server asks for."""
 
@@ -93,14 +118,14 @@ def ask(df: DataFrame, client: Callable[[str], str], keys: Sequence[str], column
     return df.select(*keys, column).mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", answer string")
 
 
-def merged(df: DataFrame, patch: str, kinds: dict[str, str] | None = None) -> DataFrame:
+def merged(df: DataFrame, patch: str, kinds: dict[str, str] | None = None, fields: Sequence[str] = S.NAMES) -> DataFrame:
     """Each entry with the fields of a patch (a variant column) in place of its own; a null in the
     patch replaces too, fields that the patch does not name stay."""
     kinds = kinds or dict(df.dtypes)
     keys = F.json_object_keys(F.to_json(F.col(patch)))
     cols = []
     for c in df.columns:
-        if c in S.NAMES and c != "verse_id":
+        if c in fields and c not in ("verse_id", patch):
             cols.append(F.when(F.coalesce(F.array_contains(keys, c), F.lit(False)), F.try_variant_get(F.col(patch), f"$.{c}", kinds[c])).otherwise(F.col(c)).alias(c))
         else:
             cols.append(F.col(c))

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.functions.text import ngrams
+
+#: Items of one or two words that are compared with all documents; and by how many characters more are looked up.
+FEW, HEAD = 1000, 4
+
 
 def contained(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str) -> DataFrame:
     """doc_id, item_id of every document that contains an item's text.
 
     Of an item's words between spaces all but the first and last are whole words of a document that
     contains it, so pairs are formed by the longest of those and then checked. Items with fewer than
-    three words are compared with all documents; they are the exception and cannot be looked up."""
+    three words are compared with all documents while they are few, else looked up by their first
+    characters. Empty items are in no document's result."""
     words = F.filter(F.split(F.col("t"), r"\s+"), lambda w: w != "")
     i = items.select(F.col(item_id), F.col(text).alias("t")).where("t is not null").withColumn("w", words)
     inner = F.slice("w", F.lit(2), F.greatest(F.size("w") - 2, F.lit(0)))
@@ -21,5 +27,14 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text
     # The document's text is joined again only for pairs, so it is not copied for each word.
     pairs = occurs.select(doc_id, "word").join(keyed.select(item_id, "word"), "word").select(doc_id, item_id).distinct()
     long = pairs.join(d, doc_id).join(keyed.select(item_id, "t"), item_id).where(F.contains("d", F.col("t"))).select(doc_id, item_id)
-    short = d.join(i.where(F.size("w") < 3).select(item_id, "t"), F.contains("d", F.col("t"))).select(doc_id, item_id)
-    return long.unionByName(short)
+    short = i.where(F.size("w") < 3).where("t <> ''").select(item_id, "t")
+    n = short.limit(FEW + 1).count()
+    if not n:
+        return long
+    if n <= FEW:
+        return long.unionByName(d.join(F.broadcast(short), F.contains("d", F.col("t"))).select(doc_id, item_id))
+    # Many short items are looked up by how they begin, among all runs of characters of a document.
+    sizes = [r[0] for r in short.select(F.least(F.length("t"), F.lit(HEAD))).distinct().collect()]  # at most ``HEAD`` rows
+    runs = F.array_distinct(F.concat(*[ngrams(F.col("d"), k) for k in sizes]))
+    met = d.select(doc_id, F.explode(runs).alias("head")).join(short.withColumn("head", F.substring("t", 1, HEAD)), "head").select(doc_id, item_id, "t")
+    return long.unionByName(met.join(d, doc_id).where(F.contains("d", F.col("t"))).select(doc_id, item_id).distinct())

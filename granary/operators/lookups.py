@@ -9,9 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], small: bool = True) -> DataFrame:
-    """A left look-up. ``small`` says that the dimension's size is fixed."""
-    return df.join(F.broadcast(dim) if small else dim, on, "left")
+#: Rows up to which a dimension is broadcast, and ranges up to which they are written into the plan.
+SMALL, RANGES = 100_000, 2_000
+#: Numbers of a gap that one row stands for until they are listed.
+STRETCH = 100_000
+
+
+def sized(dim: DataFrame, most: int = SMALL) -> DataFrame:
+    """The dimension, to be broadcast if a count finds it small."""
+    return F.broadcast(dim) if dim.limit(most + 1).count() <= most else dim
+
+
+def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], most: int = SMALL) -> DataFrame:
+    """A left look-up; the dimension is broadcast if it has at most ``most`` rows."""
+    return df.join(sized(dim, most), on, "left")
+
+
+def guarded(df: DataFrame, path: str, listed: DataFrame, name: str) -> DataFrame:
+    """Requests with ``open``, whether the manifest lists what they ask for, and the refusal if not."""
+    there = listed.select(F.col(name).alias(path), F.lit(True).alias("_there")).distinct()
+    out = enrich(df, there, path).withColumn("open", F.coalesce("_there", F.lit(False)))
+    return out.drop("_there").withColumn("refusal", F.when(~F.col("open"), "is not an open file of the manifest"))
 
 
 def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_at: str, right_at: str, take: Sequence[str], strict: bool = False) -> DataFrame:
@@ -29,13 +47,24 @@ def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_at: str, ri
     return a.unionByName(b).withColumn("_right", F.last("_right", ignorenulls=True).over(w)).where("_side <> 0").select(*columns, *[F.col(f"_right.{t}").alias(t) for t in take])
 
 
-def first_range(df: DataFrame, value: str, ranges: DataFrame, label: str = "label", key: Sequence[str] | None = None) -> DataFrame:
+def first_range(df: DataFrame, value: str, ranges: DataFrame, label: str = "label") -> DataFrame:
     """The label of the first range (columns start, end, ord, label) that holds the value, both ends
-    included; null where none does. Ranges are a fixed dimension and are broadcast; ``key`` names what
-    identifies a row."""
-    key = list(key or df.columns)
-    hit = (F.col(value) >= F.col("start")) & (F.col(value) <= F.col("end"))
-    return df.join(F.broadcast(ranges), hit, "left").groupBy(*key).agg(F.min_by(label, "ord").alias(label))
+    included; null where none does. Ranges are looked up in the plan itself, without a join; where there
+    are very many, each stands in the bins that it covers and rows meet those of their bin."""
+    listed = ranges.orderBy("ord").limit(RANGES + 1).collect()
+    if len(listed) <= RANGES:
+        if not listed:
+            return df.withColumn(label, F.lit(None).cast(ranges.schema[label].dataType))
+        known = F.array(*[F.struct(F.lit(r["start"]).alias("start"), F.lit(r["end"]).alias("end"), F.lit(r[label]).alias("label")) for r in listed])
+        return df.withColumn(label, F.get(F.filter(known, lambda r: (F.col(value) >= r["start"]) & (F.col(value) <= r["end"])), F.lit(0))["label"])
+    lo, hi = ranges.agg(F.min("start"), F.max("end")).first()
+    width = max((hi - lo) / 4096, 1e-9)
+    bin_of = lambda c: F.floor((c - F.lit(lo)) / F.lit(width))
+    held = ranges.select("start", "end", "ord", F.col(label).alias("_label"), F.explode(F.sequence(bin_of(F.col("start")), bin_of(F.col("end")))).alias("_bin"))
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_bin", bin_of(F.col(value)))
+    hit = (rows["_bin"] == held["_bin"]) & (F.col(value) >= F.col("start")) & (F.col(value) <= F.col("end"))
+    first = rows.join(held, hit).groupBy("_row").agg(F.min_by("_label", "ord").alias(label))
+    return rows.drop("_bin").join(first, "_row", "left").drop("_row")
 
 
 def previous_plus_one(df: DataFrame, by: Sequence[str], at: str, number: str, most: int) -> DataFrame:
@@ -50,15 +79,19 @@ def missing(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFra
 
 
 def sequence_gaps(df: DataFrame, by: Sequence[str], number: str) -> DataFrame:
-    """by, number: what lies between the smallest and the largest number of a group and is not there."""
-    span = df.where(F.col(number).isNotNull()).groupBy(*by).agg(F.min(number).alias("_lo"), F.max(number).alias("_hi"))
-    return span.select(*by, F.explode(F.sequence("_lo", "_hi")).alias(number)).join(df.select(*by, number), [*by, number], "left_anti")
+    """by, number: what lies between the smallest and the largest number of a group and is not there.
+    Each number knows the next, and a gap is listed in stretches, so no row holds a long one."""
+    there = df.where(F.col(number).isNotNull()).select(*by, number).distinct()
+    nxt = there.withColumn("_next", F.lead(number).over(Window.partitionBy(*by).orderBy(number))).where(F.col("_next") - F.col(number) > 1)
+    stretches = nxt.select(*by, F.explode(F.sequence((F.col(number) + 1).cast("long"), (F.col("_next") - 1).cast("long"), F.lit(STRETCH).cast("long"))).alias("_lo"), "_next")
+    listed = stretches.select(*by, F.explode(F.sequence("_lo", F.least(F.col("_lo") + F.lit(STRETCH - 1), F.col("_next").cast("long") - 1))).alias(number))
+    return listed.withColumn(number, F.col(number).cast(df.schema[number].dataType))
 
 
 def present_gaps(df: DataFrame, by: Sequence[str], number: str, first: int, last: int) -> DataFrame:
     """The same against a fixed range."""
-    groups = df.select(*by).distinct()
-    return groups.select(*by, F.explode(F.sequence(F.lit(first), F.lit(last))).cast(df.schema[number].dataType).alias(number)).join(df.select(*by, number), [*by, number], "left_anti")
+    groups = df.select(*by).distinct().select(*by, F.explode(F.sequence(F.lit(first), F.lit(last))).alias(number))
+    return groups.withColumn(number, F.col(number).cast(df.schema[number].dataType)).join(df.select(*by, number), [*by, number], "left_anti")
 
 
 def segments(df: DataFrame, by: Sequence[str], at: str, end: Column | None = None) -> DataFrame:
@@ -83,8 +116,18 @@ def keyed_copy(manifest: DataFrame, names: DataFrame, files: DataFrame) -> DataF
     """manifest (id, file) against the name map (file, source) and the files that are there (source):
     copied, missing_mapping or missing_source."""
     return (
-        manifest.join(F.broadcast(names), "file", "left")
+        manifest.join(sized(names), "file", "left")
         .join(files.select("source", F.lit(True).alias("_there")), "source", "left")
         .withColumn("status", F.when(F.col("source").isNull(), "missing_mapping").when(F.col("_there"), "copied").otherwise("missing_source"))
         .drop("_there")
     )
+
+
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "n") -> DataFrame:
+    """A running number of the rows of each group in order."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+
+
+def as_number(text: str) -> Column:
+    """The number that a text is, for sorting; 0 if it is none."""
+    return F.coalesce(F.expr(f"try_cast(`{text}` as int)"), F.lit(0))

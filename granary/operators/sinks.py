@@ -87,3 +87,25 @@ def console_rows(profile: DataFrame, name: str, measures: Sequence[str]) -> Data
 
 def json_response(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
+
+
+def write_enriched(df: DataFrame, path: str, dry: bool = False) -> str | None:
+    """The table beside its source, under the source's name with ``_enriched``; nothing in a dry run."""
+    if dry:
+        return None
+    stem = path[: -len(".json")] if path.endswith(".json") else path
+    write_entries(df, f"{stem}_enriched", None)
+    return f"{stem}_enriched"
+
+
+def export_texts(df: DataFrame, path: str, by: str, order: Sequence[str]) -> None:
+    """A Markdown document for each text, in a folder named by the text less ``_All``."""
+    named = df.withColumn(by, F.regexp_replace(by, "_All$", ""))
+    markdown_documents(named, by, order).select(F.col(by).alias("text"), F.col("markdown").alias("value")).write.mode("overwrite").partitionBy("text").text(path, lineSep="\n")
+
+
+def analysis_json(profiles: DataFrame, comparison: DataFrame, name: str) -> DataFrame:
+    """One JSON text of the profiles of some files and their comparison; both are small."""
+    a = profiles.agg(F.array_sort(F.collect_list(F.struct(F.col(name).alias("_k"), F.struct(*profiles.columns).alias("v")))).alias("a"))
+    c = comparison.agg(F.array_sort(F.collect_list(F.struct(*comparison.columns))).alias("c"))
+    return a.join(F.broadcast(c)).select(F.to_json(F.struct(F.transform("a", lambda x: x["v"]).alias("analyses"), F.col("c").alias("comparison"))).alias("json"))

@@ -2,34 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import text as X
 from granary.operators import annotate, contain, dedup, lookups, match, profile, project, rules, segment, sinks, validate
-from granary.sources import corpus
+from granary.plans.registry import QUERIES, SQL, query, table
+from granary.sources import corpus, shared
 from granary.streaming import ingest
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a query under its function's name, with the SQL that gives the same rows."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["QUERIES", "SQL"]
 
 
 @query("""
@@ -167,8 +149,7 @@ _RANGES = [(0, 0, 50000, "low"), (1, 40000, 150000, "middle"), (2, 150001, 30000
 
 
 @query("""
-SELECT o_orderkey, o_totalprice, min_by(label, ord) AS label FROM orders LEFT JOIN (VALUES (0, 0, 50000, 'low'), (1, 40000, 150000, 'middle'), (2, 150001, 300000, 'high')) r(ord, lo, hi, label)
-  ON o_totalprice BETWEEN lo AND hi GROUP BY o_orderkey, o_totalprice
+SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice BETWEEN 0 AND 50000 THEN 'low' WHEN o_totalprice BETWEEN 40000 AND 150000 THEN 'middle' WHEN o_totalprice BETWEEN 150001 AND 300000 THEN 'high' END AS label FROM orders
 """)
 def range_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranges = spark.createDataFrame(_RANGES, "ord int, start int, end int, label string")
@@ -283,12 +264,9 @@ SELECT n_name, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY CAST(n_
 """)
 def two_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers in order as text and as numbers."""
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("n_regionkey")
-    key = F.col("n_nationkey").cast("string")
-    as_number = F.coalesce(F.expr("try_cast(cast(n_nationkey as string) as int)"), F.lit(0))
-    return table(spark, sf_dir, "nation").select("n_name", F.row_number().over(w.orderBy(key)).alias("as_text"), F.row_number().over(w.orderBy(as_number, "n_name")).alias("as_number"))
+    n = table(spark, sf_dir, "nation").withColumn("key", F.col("n_nationkey").cast("string"))
+    text = lookups.numbered(n, ["n_regionkey"], [F.col("key")], "as_text")
+    return lookups.numbered(text, ["n_regionkey"], [lookups.as_number("key"), F.col("n_name")], "as_number").select("n_name", "as_text", "as_number")
 
 
 @query("""
@@ -436,32 +414,16 @@ def containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contain.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "item_id", "text")
 
 
-@query()
-def fuzzy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best other document of each document; held against brute force in the tests."""
-    docs = table(spark, sf_dir, "documents")
-    best = match.best_matches(docs, docs, "doc_id", "doc_id", "text", "text", same_id=True)
-    return best.withColumn("bucket", match.bucket(F.col("confidence")))
-
-
-@query()
-def match_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and rates of ``fuzzy_match``."""
-    docs = table(spark, sf_dir, "documents")
-    best = match.best_matches(docs, docs, "doc_id", "doc_id", "text", "text", same_id=True)
-    return match.report(docs, best, "doc_id")
-
-
 @query("""
 SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN CAST(l.quality AS VARCHAR) ELSE d.lang END AS lang, CASE WHEN l.doc_id IS NOT NULL AND l.toxic = 1 THEN NULL ELSE d.source END AS source
 FROM documents d LEFT JOIN labels l USING (doc_id)
 """)
 def merge_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A patch replaces fields, also by null, where it names them."""
-    d, p = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").withColumn("_patched", F.lit(True))
-    j = d.join(p, "doc_id", "left")
-    named = F.coalesce(F.col("_patched"), F.lit(False))
-    return j.select("doc_id", F.when(named, F.col("quality").cast("string")).otherwise(F.col("lang")).alias("lang"), F.when(named & (F.col("toxic") == 1), F.lit(None)).otherwise(F.col("source")).alias("source"))
+    d, p = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    named = F.when(F.col("toxic") == 1, F.to_json(F.struct(F.col("quality").cast("string").alias("lang"), F.lit(None).cast("string").alias("source")), {"ignoreNullFields": "false"})).otherwise(F.to_json(F.struct(F.col("quality").cast("string").alias("lang"))))
+    j = d.select("doc_id", "lang", "source").join(p.select("doc_id", F.try_parse_json(named).alias("patch")), "doc_id", "left")
+    return annotate.merged(j, "patch", fields=("lang", "source")).drop("patch")
 
 
 @query("""
@@ -539,13 +501,13 @@ def dictionary_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_LATEST)
 def stream_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream into a keyed table, and its last version."""
-    import tempfile
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="granary-")
-    path = f"{root}/stream-{uuid.uuid4().hex}"
+    path = shared.fresh(spark, "stream")
     schema = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]").select("user_id", "event_type", "event_id", "ts", "value")
     held = ingest.KeyedTable(spark, f"{path}/table", ["user_id", "event_type"], "ts", ["event_id"])
     ingest.stream_upserts(stream, held, f"{path}/checkpoint").awaitTermination()
     return held.read()
+
+
+# The other modules register their queries too.
+from granary.plans import checks, editions, publish  # noqa: E402, F401

@@ -19,6 +19,26 @@ def pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text(path if isinstance(path, str) else list(path), wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("html"))
 
 
+def expanded(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
+    """The paths that each pattern matches, in order; the pattern itself where nothing does."""
+    out: list[str] = []
+    for p in patterns:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+        out += sorted(str(f.getPath()) for f in found) if found else [p]
+    return out
+
+
+def documents(spark: SparkSession, patterns: Sequence[str]) -> DataFrame:
+    """name, html, error of whole files; a file that is not there is a row with an error."""
+    paths = expanded(spark, patterns)
+    there = {p: spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths}
+    there = {p: path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) for p, path in there.items()}
+    gone = spark.createDataFrame([(p.rsplit("/", 1)[-1], None, "no such file") for p in paths if not there[p]], "name string, html string, error string")
+    read = [p for p in paths if there[p]]
+    return pages(spark, read).select("name", "html", F.lit(None).cast("string").alias("error")).unionByName(gone) if read else gone
+
+
 def corpus_files(spark: SparkSession, path: str) -> DataFrame:
     """The JSON files of a folder, less the statistics file and names that begin with ``_``."""
     files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"))

@@ -51,7 +51,7 @@ def get(fetch: Callable[[str], bytes], url: str, tries: int = 3, wait: float = 5
     return "failed", None, ""
 
 
-def fetch_all(manifest: DataFrame, there: DataFrame, fetch: Callable[[str], bytes], tries: int = 3, gap: float = 2.0) -> DataFrame:
+def fetch_all(manifest: DataFrame, there: DataFrame, fetch: Callable[[str], bytes], tries: int = 3, gap: float = 2.0, wait: float = 5.0) -> DataFrame:
     """filename, status (skipped, success, not_found, failed), warning, content. Files that are there
     are skipped; each task waits ``gap`` seconds between requests."""
     todo = manifest.join(there.select("filename", F.lit(True).alias("_there")), "filename", "left")
@@ -63,7 +63,7 @@ def fetch_all(manifest: DataFrame, there: DataFrame, fetch: Callable[[str], byte
                 if have is True:
                     out.append((name, "skipped", "", None))
                     continue
-                status, data, warning = get(fetch, url, tries)
+                status, data, warning = get(fetch, url, tries, wait)
                 out.append((name, status, warning, data))
                 if gap:
                     time.sleep(gap)

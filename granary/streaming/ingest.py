@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from granary.functions.text import extras, slug
 from granary.operators.dedup import latest_per_key
+from granary.sources import shared
 
 # The columns of the two tables.
 ANNOTATION_COLUMNS = (
@@ -64,33 +65,62 @@ def repaired(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 class KeyedTable:
-    """A keyed table of Parquet versions. A version is written whole and named by the batch that made
-    it, so a batch that is played again writes the same version and nothing is seen half done."""
+    """A keyed table in buckets of its key's hash. A batch reads and writes only the buckets that it
+    touches; a version names for each bucket the batch that wrote it last, and is a small file written
+    when all of that batch's buckets are there. A batch that is played again writes the same."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], at: str, ties: Sequence[str] = (), keep: int = 3):
-        self.spark, self.path, self.keys, self.at, self.ties, self.keep = spark, path.rstrip("/"), list(keys), at, list(ties), keep
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], at: str, ties: Sequence[str] = (), keep: int = 3, buckets: int = 64):
+        self.spark, self.path, self.keys, self.at, self.ties, self.keep, self.buckets = spark, path.rstrip("/"), list(keys), at, list(ties), keep, buckets
 
-    def _fs(self):
+    def _fs(self, name: str = ""):
         jvm, hadoop = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(hadoop), root, jvm.org.apache.hadoop.fs.Path
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return path.getFileSystem(hadoop), path
 
     def versions(self) -> list[int]:
-        fs, root, path = self._fs()
-        if not fs.exists(root):
-            return []
-        return sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("v=") and fs.exists(path(f"{s.getPath()}/_SUCCESS")))
+        fs, root = self._fs("versions")
+        return sorted(int(s.getPath().getName().split(".")[0]) for s in fs.listStatus(root) if s.getPath().getName().endswith(".json")) if fs.exists(root) else []
 
-    def read(self, before: int | None = None) -> DataFrame | None:
+    def _held(self, version: int) -> dict[int, int]:
+        """The batch that wrote each bucket last, as of a version."""
+        text = self.spark.read.text(f"{self.path}/versions/{version}.json", wholetext=True).first().value
+        return {int(k): v for k, v in json.loads(text).items()}
+
+    def _folder(self, bucket: int, version: int) -> str:
+        return f"{self.path}/rows/version={version}/bucket={bucket}"
+
+    def read(self, before: int | None = None, only: Sequence[int] | None = None) -> DataFrame | None:
         found = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/v={found[-1]}") if found else None
+        if not found:
+            return None
+        held = self._held(found[-1])
+        paths = [self._folder(b, v) for b, v in held.items() if only is None or b in only]
+        return self.spark.read.parquet(*paths) if paths else None
 
     def merge(self, batch: DataFrame, version: int) -> None:
-        out = upserted(self.read(version), batch, self.keys, self.at, [F.col(t) for t in self.ties])
-        out.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        fs, _, path = self._fs()
-        for old in [v for v in self.versions() if v < version][: -self.keep or None]:
-            fs.delete(path(f"{self.path}/v={old}"), True)
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        touched = sorted(r.b for r in batch.select(bucket.alias("b")).distinct().collect())  # at most ``buckets``
+        found = [v for v in self.versions() if v < version]
+        held = self._held(found[-1]) if found else {}
+        if touched:
+            out = upserted(self.read(version, touched), batch, self.keys, self.at, [F.col(t) for t in self.ties])
+            out.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/rows/version={version}")
+        shared.put(self.spark, f"{self.path}/versions/{version}.json", json.dumps(held | {b: version for b in touched}))
+        self._forget()
+
+    def _forget(self) -> None:
+        """Deletes versions beyond the last ``keep``, and buckets that none of those names."""
+        versions = self.versions()
+        for v in versions[: -self.keep]:
+            shared.delete(self.spark, f"{self.path}/versions/{v}.json")
+        named = {(b, v) for n in versions[-self.keep :] for b, v in self._held(n).items()}
+        fs, root = self._fs("rows")
+        for folder in fs.listStatus(root) if fs.exists(root) else []:
+            v = int(folder.getPath().getName().split("=")[1])
+            for part in fs.listStatus(folder.getPath()):
+                name = part.getPath().getName()
+                if v <= versions[-1] and name.startswith("bucket=") and (int(name.split("=")[1]), v) not in named:
+                    fs.delete(part.getPath(), True)
 
 
 def stream_upserts(stream: DataFrame, table: KeyedTable, checkpoint: str, available_now: bool = True) -> StreamingQuery:

@@ -55,49 +55,60 @@ def test_titles_and_ranges(spark):
     assert [(r.start, r.end, r.label) for r in segment.numbered_ranges(page(spark, h), "html", ["id"], scan.BOOK_LABELS).orderBy("ord").collect()] == [(113, 336, "Tantra 1"), (5, 9, "Other")]
 
 
-def test_number_lines_do_not_overlap():
-    rows = scan.number_lines(f"<h3>Head</h3><br>5<br>6<br>{T}<br>5<br>{T} again<br>9000<br>x<h3>Next</h3><strong>S</strong><br>7:<br>{T} 1.1.3<hr>{T}")
-    assert [(r["number"], r["section"], r["text"]) for r in rows] == [("5", "Head", f"6\n{T}"), ("7", "S", T)] or [(r["number"], r["section"]) for r in rows] == [("5", "Head"), ("7", "S")]
-    assert rows[1]["text"] == T and scan.number_lines(f"<br>5<br>{T}", "Divya_Prabandham_Iramanusa_1.html") == []
+def rows_of(spark, f, html, *columns, **more):
+    """The rows that a reader finds on one page, in order."""
+    out = f(page(spark, html, **more), "html", ["id"], *(["name"] if "name" in more else []))
+    got = [r.asDict() for r in out.collect()]
+    return [tuple(r[c] for c in columns) for r in sorted(got, key=lambda r: (r.get("pos", 0), int(r["number"]), r.get("k", 0)))]
 
 
-def test_dotted_lines():
-    rows = scan.dotted_lines(f"<h3>முதல் (1-5)</h3><strong>1.. Sub.</strong><br>2.<br>{T} 2<br>\n3. <br>{T}<strong>x</strong>{T}<br>2.<br>{T} second")
-    assert [(r["number"], r["title"], r["section"], r["text"]) for r in rows] == [("2", "Tantra 1", "Sub", T), ("3", "Tantra 1", "Sub", T)]
+def test_number_lines_do_not_overlap(spark):
+    h = f"<h3>Head</h3><br>5<br>6<br>{T}<br>5<br>{T} again<br>9000<br>x<h3>Next</h3><strong>S</strong><br>7:<br>{T} 1.1.3<hr>{T}"
+    got = rows_of(spark, scan.number_lines, h, "number", "section", "text")
+    assert [g[:2] for g in got] == [("5", "Head"), ("7", "S")] and got[0][2].endswith(T) and got[1][2] == T
+    assert rows_of(spark, scan.number_lines, f"<br>5<br>{T}", "number", name="Divya_Prabandham_Iramanusa_1.html") == []
+    assert rows_of(spark, scan.number_lines, f"<br>5<br>{T}", "number", name="raw/a.html") == [("5",)]
 
 
-def test_chapters_skip_the_contents():
+def test_dotted_lines(spark):
+    h = f"<h3>முதல் (1-5)</h3><strong>1.. Sub.</strong><br>2.<br>{T} 2<br>\n3. <br>{T}<strong>x</strong>{T}<br>2.<br>{T} second"
+    assert rows_of(spark, scan.dotted_lines, h, "number", "title", "section", "text") == [("2", "Tantra 1", "Sub", T), ("3", "Tantra 1", "Sub", T)]
+
+
+def test_chapters_skip_the_contents(spark):
     toc = "".join(f"<br>{n}. பாடல் {n}" for n in range(1, 5)) + "<br>"
     body = f"{'-' * 400}<br>1. மங்கல பாடல்<br><ul>{T} {T}</ul><h3>2. காதை</h3><ul>{T}</ul><ul>{T} {T} 12</ul><h3>13. x</h3><br>2. வரி two<br><ul>{T * 4}</ul>"
-    rows = scan.chapters(toc + body)
-    assert [(r["number"], r["title"], r["text"]) for r in rows] == [("1", "மங்கல பாடல்", f"{T} {T}"), ("2", "காதை", max((f"{T} {T}", T * 4), key=scan.script_letters))]
+    letters = lambda s: sum("஀" <= c <= "௿" for c in s)
+    assert rows_of(spark, scan.chapters, toc + body, "number", "title", "text") == [("1", "மங்கல பாடல்", f"{T} {T}"), ("2", "காதை", max((f"{T} {T}", T * 4), key=letters))]
 
 
-def test_stanzas_infer_chapters():
+def test_stanzas_infer_chapters(spark):
     row = lambda c, n: f"<tr><td>{T} {c:02d}-{n:03d}<br>{T}<td valign=bottom> {c:02d}-{n:03d}</tr>"
-    rows = scan.stanzas(f"{row(0, 10)}{row(1, 1)}<h3>1. One</h3>{row(1, 20)}{row(2, 5)}<h3>காதை Two</h3>{row(2, 30)}<h3>காதை Three</h3>{row(2, 40)}{row(3, 1)}")
-    assert [(r["number"], r["title"], r["line_end"]) for r in rows] == [("00", scan.PROLOGUE, "010"), ("01", "One", "020"), ("02", "காதை Two", "030"), ("02", "காதை Three", "040")]
-    assert scan.stanzas(row(0, 1)) == [] and scan.stanzas(f"<h3>1. One</h3>{row(1, 2)}", "X_Summary.html") == []
+    h = f"{row(0, 10)}{row(1, 1)}<h3>1. One</h3>{row(1, 20)}{row(2, 5)}<h3>காதை Two</h3>{row(2, 30)}<h3>காதை Three</h3>{row(2, 40)}{row(3, 1)}"
+    assert rows_of(spark, scan.stanzas, h, "number", "title", "line_end") == [("00", scan.PROLOGUE, "010"), ("01", "One", "020"), ("02", "காதை Two", "030"), ("02", "காதை Three", "040")]
+    assert rows_of(spark, scan.stanzas, row(0, 1), "number") == [] and rows_of(spark, scan.stanzas, f"<h3>1. One</h3>{row(1, 2)}", "number", name="X_Summary.html") == []
 
 
-def test_plain_numbers():
-    rows = scan.plain_numbers(f"\n303. பாலை.<br>[துறை.]<br>{T} 5<br>{T}<br>(உரை)<br>{T}<br>------<br>{T}<br>\n304. குறிஞ்சி<br>x<br>\n303. மருதம்<br>{T}")
-    assert [(r["number"], r["tinai"], r["turai"], r["text"]) for r in rows] == [("303", "பாலை", "துறை", f"{T}\n{T}")]
+def test_named_lines(spark):
+    h = f"\n303. பாலை.<br>[துறை.]<br>{T} 5<br>{T}<br>(உரை)<br>{T}<br>------<br>{T}<br>\n304. குறிஞ்சி<br>x<br>\n303. மருதம்<br>{T}"
+    assert rows_of(spark, scan.named_lines, h, "number", "tinai", "turai", "text") == [("303", "பாலை", "துறை", f"{T}\n{T}")]
+    found = spark.createDataFrame([(1, "303")], "id int, number string")
+    assert scan.named_lines(page(spark, h), "html", ["id"], found).count() == 0
 
 
-def test_marked_lists():
+def test_marked_lists(spark):
     h = f"<center><h3>2. Title.</h3></center>A prose introduction.<br><ul>{T}     5<br>{T} (2)</ul>திணை: பாலை; x<strong>உரை</strong>: gloss<br>more<strong>விளக்கம்</strong>why<br>------<br>after<ul>no marker</ul>"
-    (r,) = scan.marked_lists(h)
-    assert (r["number"], r["title"], r["header_line"], r["prose"], r["commentary"], r["explanation"]) == ("2", "Title", "திணை: பாலை; x", "A prose introduction.", ": gloss more", "why")
+    columns = ("number", "title", "header_line", "prose", "commentary", "explanation")
+    assert rows_of(spark, scan.marked_lists, h, *columns) == [("2", "Title", "திணை: பாலை; x", "A prose introduction.", ": gloss more", "why")]
 
 
-def test_bold_numbers():
+def test_bold_numbers(spark):
     h = f"<strong>201. Title.</strong><br>prose<br>------<br><ul>first</ul><ul>{T}</ul>திணை: பாலை<br>உரை: gloss<br>விளக்கம் : why<br>-----<br>gone<strong>202</strong>none"
-    (r,) = scan.bold_numbers(h)
-    assert (r["number"], r["title"], r["text"], r["header_line"], r["prose"], r["commentary"], r["explanation"]) == ("201", "Title", T, "திணை: பாலை", "prose", "gloss", "why")
+    columns = ("number", "title", "text", "header_line", "prose", "commentary", "explanation")
+    assert rows_of(spark, scan.bold_numbers, h, *columns) == [("201", "Title", T, "திணை: பாலை", "prose", "gloss", "why")]
 
 
-def test_read_runs_readers(spark):
-    df = spark.createDataFrame([(1, f"<br>5<br>{T}", "a.html"), (2, None, None)], "id int, html string, name string")
-    got = scan.read(df, "html", "number_lines", "id", "name").collect()
-    assert [(r.id, r.pos, r.number, r.text) for r in got] == [(1, 0, "5", T)]
+def test_null_and_empty_pages_have_no_rows(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "plain")], "id int, html string")
+    for f in (scan.number_lines, scan.dotted_lines, scan.chapters, scan.stanzas, scan.named_lines, scan.marked_lists, scan.bold_numbers):
+        assert f(df, "html", ["id"]).count() == 0
