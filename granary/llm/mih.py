@@ -1,17 +1,20 @@
 """Nearest neighbours by multi-index hashing.
 
-Vectors get binary codes: the signs of a learned rotation of the centred vectors (iterative
-quantization), fitted on a bounded sample. A code is split into substrings, each indexed by its
-value. If two codes differ in at most r bits, one of their m substrings differs in at most r // m,
-so probing every substring value within that many bits finds every code within radius r. Those codes
-are ranked by distance of the original vectors, in double precision. A query that finds fewer than k
-in the whole table is compared with all rows.
-
-The index is sharded: each batch of rows holds the tables of its own codes, and queries go to all of
-them, a block at a time; a shard returns its k + 1 best for each query.
+Vectors get binary codes: the signs of learned rotations of the centred vectors (iterative quantization,
+one rotation for each ``dim`` bits), fitted on a bounded sample. A code is split into substrings, and the
+index has a row for each substring of each code: its number, its value, the entry and the code. If two
+codes differ in at most r bits, one of their m substrings differs in at most r // m; and not all of them
+differ in more than their share, so the first r mod m + 1 substrings are probed within r // m bits and
+the others within one bit less. Probes are rows too, and meet the index rows of their substring and
+value. A pair is taken at the first substring that brings it, so it is found once.
+
+The radius grows for each query until enough codes lie within it: most queries of clustered data end at
+a small one. Those codes are ranked by distance of the original vectors, in double precision. What no
+radius finds enough for is compared with all entries, in blocks.
 
 Equal vectors are one entry of the index, with the ids that can matter: the smallest k + 1, as ties
-go to smaller ids. So a vector that fills a third of the table is compared once.
+go to smaller ids. So a vector that fills a third of the table is compared once. A substring value that
+very many codes have is dealt in parts, to which its probes are copied.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor
 do rows with a null id; vectors of another length than most are left out; a query's own row is no
@@ -31,13 +34,15 @@ from pyspark.sql.window import Window
 
 from granary.llm.util import cut, tune
 
-BITS = 64
-SUBSTRINGS = 8
-WIDTH = BITS // SUBSTRINGS
-RADIUS = 30
+BITS, WIDTH = 128, 8
+SUBSTRINGS = BITS // WIDTH
+WORDS = BITS // 64
+#: Radii that are tried one after another, and codes (times k + 1) that have to lie within one.
+RADII = (18, 34, 53, 60)
+ENOUGH = 16
 SAMPLE = 20_000
-BLOCK = 2048  # queries that are asked at a time
-SHARD = 8192  # rows that share tables
+PART = 20_000  # index rows of one value that a task compares at a time
+BLOCK = 4096  # entries that a task compares with queries that no radius settles
 EVERY = 100
 
 
@@ -50,116 +55,205 @@ def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def learn(vectors: DataFrame, dim: int, sample: int = SAMPLE, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and rotation (dim x BITS) of a sample of about ``sample`` vectors, chosen by hash."""
+    """Mean and rotations (dim x BITS) of a sample of about ``sample`` vectors, chosen by hash."""
     n = vectors.count()
     share = min(1.0, sample / max(n, 1))
     got = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1_000_000)) < share * 1_000_000).orderBy("vec_id").select("v").toArrow()
-    x = np.array([r for r in got.column(0).to_pylist()], dtype=np.float64).reshape(-1, dim)
-    if not len(x):
-        x = np.zeros((1, dim))
+    x = got.column(0).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) if got.num_rows else np.zeros((1, dim))
     mean = x.mean(axis=0)
     x = x - mean
-    rng = np.random.default_rng(0)
-    k = min(dim, BITS)
+    k = min(dim, 64)
     _, vecs = np.linalg.eigh(x.T @ x)
     w = vecs[:, ::-1][:, :k]
-    p = x @ w
-    r = np.linalg.qr(rng.standard_normal((k, k)))[0]
-    for _ in range(rounds):  # the rotation that brings the data nearest to the corners of the cube
-        u, _, vt = np.linalg.svd(np.sign(p @ r).T @ p)
-        r = (u @ vt).T
-    out = w @ r
-    if k < BITS:  # further bits of short vectors: random directions in their span
-        out = np.concatenate([out, w @ rng.standard_normal((k, BITS - k))], axis=1)
-    return mean, out
+    p, out = x @ w, []
+    while sum(r.shape[1] for r in out) < BITS:
+        r = np.linalg.qr(np.random.default_rng(len(out)).standard_normal((k, k)))[0]
+        for _ in range(rounds):  # the rotation that brings the data nearest to the corners of the cube
+            a, _, b = np.linalg.svd(np.sign(p @ r).T @ p)
+            r = (a @ b).T
+        out.append(w @ r)
+    return mean, np.concatenate(out, axis=1)[:, :BITS]
 
 
 def coded(vectors: DataFrame, mean: np.ndarray, rotation: np.ndarray) -> DataFrame:
-    """The rows with their code, a signed long."""
+    """The rows with their code, binary of BITS bits."""
     held = vectors.sparkSession.sparkContext.broadcast((mean, rotation))
 
     def run(batches):
         m, r = held.value
         for b in batches:
-            at = b.schema.get_field_index("v")
-            x = b.column(at).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(m)) if b.num_rows else np.zeros((0, len(m)))
-            code = np.packbits((x - m) @ r > 0, axis=1).view(">u8").astype(np.uint64).ravel().view(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(code)], names=[*b.schema.names, "code"])
+            x = b.column(b.schema.get_field_index("v")).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(m)) if b.num_rows else np.zeros((0, len(m)))
+            raw = np.packbits((x - m) @ r > 0, axis=1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([row.tobytes() for row in raw], pa.binary())], names=[*b.schema.names, "code"])
 
-    schema = ", ".join(f"{n} {t}" for n, t in vectors.dtypes) + ", code bigint"
+    schema = ", ".join(f"{n} {t}" for n, t in vectors.dtypes) + ", code binary"
     return vectors.mapInArrow(run, schema)
 
 
-class Tables:
-    """For each substring the rows in order of its value, and where each value begins."""
+@functools.cache
+def masks(within: int) -> np.ndarray:
+    """The substring values with at most that many bits set."""
+    return np.array([m for m in range(1 << WIDTH) if m.bit_count() <= within], dtype=np.int64)
 
-    def __init__(self, codes: np.ndarray):
-        self.codes = codes
-        self.order, self.start = [], []
-        for k in range(SUBSTRINGS):
-            value = self.substring(codes, k)
-            self.order.append(np.argsort(value, kind="stable"))
-            self.start.append(np.concatenate([[0], np.cumsum(np.bincount(value, minlength=1 << WIDTH))]))
 
-    @staticmethod
-    def substring(codes, k: int):
-        return (codes >> np.uint64(WIDTH * k) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
+def limits(radius: int) -> np.ndarray:
+    """How many bits each substring is probed within: if all differ in more, the codes differ in more
+    than ``radius`` bits."""
+    base, more = divmod(radius, SUBSTRINGS)
+    return np.array([base if k <= more else base - 1 for k in range(SUBSTRINGS)])
 
-    def within(self, code: np.uint64, radius: int) -> np.ndarray:
-        """The rows whose code differs in at most ``radius`` bits."""
-        hit = np.zeros(len(self.codes), dtype=bool)
-        for k in range(SUBSTRINGS):
-            values = int(self.substring(code, k)) ^ _masks(radius // SUBSTRINGS)
-            lo, n = self.start[k][values], self.start[k][values + 1] - self.start[k][values]
-            at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            hit[self.order[k][at]] = True
-        rows = np.flatnonzero(hit)
-        return rows[np.bitwise_count(self.codes[rows] ^ code) <= radius]
 
+ROWS = "sub int, value int, part int, query boolean, id long, code binary"
+
+
+def _rows(b: pa.RecordBatch, sub: np.ndarray, value: np.ndarray, part: np.ndarray, query: bool, at: np.ndarray) -> pa.RecordBatch:
+    cols = [pa.array(sub, pa.int32()), pa.array(value, pa.int32()), pa.array(part, pa.int32()), pa.array(np.full(len(at), query)), b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at))]
+    return pa.RecordBatch.from_arrays(cols, names=["sub", "value", "part", "query", "id", "code"])
+
+
+def _codes(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, SUBSTRINGS)
+
+
+def indexed(entries: DataFrame, parts: int) -> DataFrame:
+    """The index: a row (``ROWS``) for each substring of each code."""
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                codes, n = _codes(b.column(1)), b.num_rows
+                part = (b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(parts)
+                yield _rows(b, np.tile(np.arange(SUBSTRINGS), n), codes.ravel(), np.repeat(part.astype(np.int64), SUBSTRINGS), False, np.repeat(np.arange(n), SUBSTRINGS))
+
+    return entries.select("entry", "code").mapInArrow(run, ROWS)
 
-@functools.cache
-def _masks(within: int) -> np.ndarray:
-    """The substring values with at most that many bits set."""
-    return np.array([m for m in range(1 << WIDTH) if m.bit_count() <= within], dtype=np.int64)
 
+def probes(queries: DataFrame, radius: int, parts: int) -> DataFrame:
+    """A row for each substring value that a query has to look at, in every part."""
+    within = limits(radius)
 
-def nearest(index: DataFrame, queries: DataFrame, k: int, radius: int | None) -> DataFrame:
-    """query, ids, score: the k + 1 nearest of each shard for each query, among codes within
-    ``radius``, or among all. ``index`` has entry, ids, v and code; ``queries`` has query, v, code."""
-    spark = index.sparkSession
-    out, last = spark.createDataFrame([], "query long, ids array<long>, score double"), None
-    ordered = cut(queries.orderBy("query"))
-    for _ in range(0, ordered.count(), BLOCK):
-        rows = (ordered if last is None else ordered.where(F.col("query") > last)).orderBy("query").limit(BLOCK).collect()
-        last = rows[-1].query
-        held = spark.sparkContext.broadcast((np.array([r.query for r in rows]), np.array([r.v for r in rows]), np.array([r.code for r in rows]).view(np.uint64)))
-
-        def run(batches, held=held):
-            qid, q, qcode = held.value
-            for b in batches:
-                if not b.num_rows:
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 64):
+                some = b.slice(lo, 64)
+                codes, n = _codes(some.column(1)), some.num_rows
+                for k in range(SUBSTRINGS):
+                    if within[k] >= 0:
+                        flips = masks(int(within[k]))
+                        value = np.repeat((codes[:, k].astype(np.int64)[:, None] ^ flips).ravel(), parts)
+                        at = np.repeat(np.arange(n), len(flips) * parts)
+                        yield _rows(some, np.full(len(at), k), value, np.tile(np.arange(parts), n * len(flips)), True, at)
+
+    return queries.select("query", "code").mapInArrow(run, ROWS)
+
+
+def within(index: DataFrame, queries: DataFrame, radius: int, parts: int) -> DataFrame:
+    """query, entry: every pair of codes that differ in at most ``radius`` bits, once."""
+    limit = limits(radius)
+
+    def compared(sub: int, entry: np.ndarray, own: np.ndarray, query: np.ndarray, theirs: np.ndarray):
+        for lo in range(0, len(query), max(1, 400_000 // max(len(entry), 1))):
+            hi = lo + max(1, 400_000 // max(len(entry), 1))
+            gap = np.bitwise_count(own.view(np.uint64)[None, :, :] ^ theirs[lo:hi].view(np.uint64)[:, None, :]).sum(axis=2, dtype=np.int16)
+            at, of = np.nonzero(gap <= radius)
+            each = np.bitwise_count(own[of] ^ theirs[lo:hi][at]) <= limit
+            first = each.argmax(axis=1) == sub
+            yield pa.RecordBatch.from_arrays([pa.array(query[lo:hi][at[first]]), pa.array(entry[of[first]])], names=["query", "entry"])
+
+    def run(batches):
+        key, entries, codes = None, [], []
+        for b in batches:
+            cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
+            raw = _codes(b.column(5))
+            new = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0) | (np.diff(cols[2]) != 0)) + 1
+            for lo, hi in zip([0, *new.tolist()], [*new.tolist(), b.num_rows]):
+                if lo == hi:
                     continue
-                x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-                tables = Tables(b.column(2).to_numpy(zero_copy_only=False).view(np.uint64)) if radius is not None else None
-                who, at, far = [], [], []
-                for i in range(len(qid)):
-                    rows = tables.within(qcode[i], radius) if tables else np.arange(b.num_rows)
-                    d = np.sqrt(((x[rows] - q[i]) ** 2).sum(axis=1))
-                    if len(rows) > k + 1:  # all that tie with the last stay
-                        keep = d <= np.partition(d, k)[k]
-                        rows, d = rows[keep], d[keep]
-                    who.append(np.full(len(rows), qid[i]))
-                    at.append(rows)
-                    far.append(d)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(who)), b.column(0).take(pa.array(np.concatenate(at))), pa.array(np.concatenate(far))], names=["query", "ids", "score"])
-
-        out = out.unionByName(index.select("ids", "v", "code").mapInArrow(run, "query long, ids array<long>, score double"))
-    return out
+                now = (int(cols[0][lo]), int(cols[1][lo]), int(cols[2][lo]))
+                if now != key:
+                    key, entries, codes = now, [], []
+                asks = cols[3][lo:hi].astype(bool)
+                if not asks.all():
+                    entries.append(cols[4][lo:hi][~asks])
+                    codes.append(raw[lo:hi][~asks])
+                if asks.any() and entries:
+                    entries, codes = [np.concatenate(entries)], [np.ascontiguousarray(np.concatenate(codes))]
+                    yield from compared(key[0], entries[0], codes[0], cols[4][lo:hi][asks], np.ascontiguousarray(raw[lo:hi][asks]))
+
+    rows = index.unionByName(probes(queries, radius, parts))
+    return rows.repartition("sub", "value", "part").sortWithinPartitions("sub", "value", "part", "query").mapInArrow(run, "query long, entry long")
+
+
+def ranked(pairs: DataFrame, entries: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """query, ids, score: the k + 1 nearest of the pairs (query, entry) of each query, by distance."""
+    both = pairs.join(entries.select("entry", "ids", F.col("v").alias("x")), "entry").join(queries.select("query", F.col("v").alias("y")), "query")
+    return _nearest(both.select("query", "ids", "x", "y"), k)
 
 
-def search(df: DataFrame, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", every: int = EVERY, radius: int = RADIUS, sample: int = SAMPLE) -> DataFrame:
+def _nearest(both: DataFrame, k: int) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x, y = (b.column(i).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1) for i in (2, 3))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.sqrt(((x - y) ** 2).sum(axis=1)))], names=["query", "ids", "score"])
+
+    scored = both.mapInArrow(run, "query long, ids array<long>, score double")
+    nth = F.row_number().over(Window.partitionBy("query").orderBy("score", F.col("ids")[0]))
+    return scored.withColumn("nth", nth).where(F.col("nth") <= k + 1).drop("nth")
+
+
+def compared_with_all(entries: DataFrame, queries: DataFrame, k: int, n: int) -> DataFrame:
+    """The same for queries (query, v) and every entry: blocks of entries meet the queries, and each block
+    keeps its k + 1 best of a query, with what ties with the last."""
+    blocks = max(1, -(-n // BLOCK))
+    kind = "id long, block int, asks boolean, ids array<long>, v array<double>"
+    own = entries.select(F.col("entry").alias("id"), F.pmod(F.xxhash64("entry"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asks"), "ids", "v")
+    theirs = queries.select(F.col("query").alias("id"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"), F.array().cast("array<long>").alias("ids"), "v")
+
+    def run(batches):
+        block, ids, x = None, [], []
+        for b in batches:
+            at, asks = b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            v = b.column(4).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1) if b.num_rows else None
+            for r in range(b.num_rows):
+                if at[r] != block:
+                    block, ids, x = at[r], [], []
+                if not asks[r]:
+                    ids.append(b.column(3)[r].as_py())
+                    x.append(v[r])
+                elif ids:
+                    x = x if isinstance(x, np.ndarray) else np.array(x)
+                    d = np.sqrt(((x - v[r]) ** 2).sum(axis=1))
+                    keep = np.flatnonzero(d <= np.partition(d, k)[k]) if len(d) > k + 1 else np.arange(len(d))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), b.column(0)[r].as_py())), pa.array([ids[j] for j in keep], pa.list_(pa.int64())), pa.array(d[keep])], names=["query", "ids", "score"])
+
+    rows = own.unionByName(theirs).select([c.split()[0] for c in kind.split(", ")])
+    found = rows.repartition("block").sortWithinPartitions("block", "asks").mapInArrow(run, "query long, ids array<long>, score double")
+    nth = F.row_number().over(Window.partitionBy("query").orderBy("score", F.col("ids")[0]))
+    return found.withColumn("nth", nth).where(F.col("nth") <= k + 1).drop("nth")
+
+
+def nearest(entries: DataFrame, queries: DataFrame, k: int, radii: tuple[int, ...] = RADII, enough: int = ENOUGH) -> DataFrame:
+    """query, ids, score: the k + 1 nearest found of each query. ``entries`` has entry, ids, v and code,
+    ``queries`` query, v and code. The plan's size depends on the radii, not on the number of queries."""
+    n = entries.count()
+    parts = max(1, -(-n // ((1 << WIDTH) * PART)))
+    index, open_, out = cut(indexed(entries, parts)), queries, None
+    for radius in radii:
+        pairs = cut(within(index, open_.select("query", "code"), radius, parts))
+        full = cut(pairs.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= min(enough * (k + 1), n)).select("query"))
+        settled = ranked(pairs.join(full, "query", "left_semi"), entries, open_, k)
+        out = settled if out is None else out.unionByName(settled)
+        open_ = cut(open_.join(full, "query", "left_anti"))
+        if open_.isEmpty():
+            return out
+    rest = compared_with_all(entries, open_, k, n)
+    return rest if out is None else out.unionByName(rest)
+
+
+def search(df: DataFrame, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", every: int = EVERY, radii: tuple[int, ...] = RADII, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row whose id is divisible by ``every``."""
-    spark = tune(df.sparkSession, SHARD)
+    spark = tune(df.sparkSession, 8192)
     all_rows = cut(usable(df, vec_id, vector))
     common = all_rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     if common is None:
@@ -173,14 +267,8 @@ def search(df: DataFrame, k: int = 10, vec_id: str = "vec_id", vector: str = "em
     mean, rotation = learn(all_rows, dim, sample)
     index = cut(coded(entries.select("entry", "key", "ids", "v"), mean, rotation))
     asks = cut(named.where(F.col("vec_id") % every == 0).select("key", F.col("vec_id").alias("query_id")).join(index.select("key", F.col("entry").alias("query")), "key").select("query", "query_id"))
-    queries = index.join(asks.select(F.col("query").alias("entry")).distinct(), "entry", "left_semi").select(F.col("entry").alias("query"), "v", "code")
-
-    probed = cut(nearest(index, queries, k, radius))
-    enough = probed.groupBy("query").agg(F.sum(F.size("ids")).alias("n")).where(F.col("n") > k).select("query")
-    few = queries.join(enough, "query", "left_anti")
-    found = probed.join(enough, "query", "left_semi").unionByName(nearest(index, few, k, None))
-    by = Window.partitionBy("query").orderBy("score", F.col("ids")[0])
-    best = found.withColumn("nth", F.row_number().over(by)).where(F.col("nth") <= k + 1)
+    queries = cut(index.join(asks.select(F.col("query").alias("entry")).distinct(), "entry", "left_semi").select(F.col("entry").alias("query"), "v", "code"))
+    best = cut(nearest(index.select("entry", "ids", "v", "code"), queries, k, radii))
     flat = asks.join(best, "query").select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return flat.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -294,3 +294,33 @@ def test_few_candidates(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (100, [-1.0, 0.0]), (7, [0.0, 1.0])], "vec_id long, embedding array<double>")
     got = {(r.query_id, r.rank, r.vec_id): round(r.score, 6) for r in mih.search(df).collect()}
     assert got == {(0, 1, 7): 1.414214, (0, 2, 100): 2.0, (100, 1, 7): 1.414214, (100, 2, 0): 2.0}
+
+
+def test_probing_finds_every_code_within_the_radius(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 256, (6, mih.SUBSTRINGS), dtype=np.uint8)
+    codes = [c ^ np.packbits(rng.random(mih.BITS) < rng.random() * 0.4) for c in np.repeat(base, 40, axis=0)]
+    entries = spark.createDataFrame([(i, bytearray(c.tobytes())) for i, c in enumerate(codes)], "entry long, code binary")
+    asks = spark.createDataFrame([(i, bytearray(codes[i].tobytes())) for i in range(0, 240, 20)], "query long, code binary")
+    for radius in (0, 5, 18, 40, 60):
+        for parts in (1, 3):
+            got = sorted(tuple(r) for r in mih.within(mih.indexed(entries, parts), asks, radius, parts).collect())
+            assert got == sorted((q, i) for q in range(0, 240, 20) for i, c in enumerate(codes) if int(np.bitwise_count(c ^ codes[q]).sum()) <= radius)
+
+
+def test_recall_on_the_tables(spark):
+    for sf, least in (("sf0.01", 0.9), ("sf0.1", 0.9)):
+        df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+        found = {(r.query_id, r.vec_id) for r in mih.search(df).collect()}
+        true = {(q, v) for q, _, v, _ in mih.brute_force(spark, df)}
+        assert len(found) == len(true) and len(found & true) >= least * len(true)
+
+
+def test_clustered_data_settles_at_a_small_radius(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((8, 32))
+    x = np.concatenate([c + 0.05 * rng.standard_normal((250, 32)) for c in centres])
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id) for r in mih.search(df, radii=(34,)).collect()}
+    true = {(q, v) for q, _, v, _ in mih.brute_force(spark, df)}
+    assert len(got) == len(true) and len(got & true) >= 0.95 * len(true)
