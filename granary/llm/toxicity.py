@@ -45,7 +45,7 @@ CHUNK, OTHERS = 100_000, 40
 LEAST = 5  # texts that a mark must stand in
 ODDS = 2.0  # log odds from which a mark is kept
 #: Tokens, characters in them, and windows that a task remembers.
-REMEMBERED, REMEMBERED_CHARS, WINDOWS = 150_000, 4_000_000, 40_000
+REMEMBERED, REMEMBERED_CHARS, WINDOWS = 250_000, 6_000_000, 40_000
 CUTOFF = 0.5
 
 #: What signs may stand for, besides nothing. Fixed values.
@@ -56,6 +56,7 @@ LEET = {
 #: Signs that hide any one letter.
 WILD = "*#%"
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t.\-_*·]\S){2,}(?!\S)")
+_SEPARATORS = ".-_*·"
 _STOPS = ".,;:?\"'()[]{}“”„«»…"
 #: What it costs that a space is nothing.
 SPACE_COST = 4.0
@@ -296,7 +297,7 @@ class Tokens(dict):
         self.marks: dict[int, tuple[str, ...]] = {}
         self.held, self.new = 0, []
         self.learned = 0
-        self.single, self.marked = np.zeros(4096, dtype=bool), np.zeros(4096, dtype=bool)
+        self.single, self.marked, self.lone = np.zeros(4096, dtype=bool), np.zeros(4096, dtype=bool), np.zeros(4096, dtype=np.int8)
         self.ends, self.begins = np.zeros(4096), np.zeros(4096)
         self.tail, self.h1, self.h2, self.h3 = (np.zeros(4096, dtype=np.int64) for _ in range(4))
 
@@ -312,16 +313,18 @@ class Tokens(dict):
             return
         self.new, self.learned = [], len(self)
         while self.learned > len(self.marked):
-            for name in ("marked", "single", "ends", "begins", "tail", "h1", "h2", "h3"):
+            for name in ("marked", "single", "lone", "ends", "begins", "tail", "h1", "h2", "h3"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
         self.held += sum(map(len, new))
         starts = reader.starts if reader.wanted is not None else None
         for k, token in enumerate(new, first):
+            if len(token) == 1 or token[1] in _SEPARATORS:  # lone letters, as ``_SPACED`` has them
+                self.lone[k] = min(len(token), 100)
             if starts is not None:
                 core = token.strip(_STOPS)
                 if core.isalpha() and not _RUN.search(core):  # a plain word
-                    if core[:3] in starts and (v := reader.found([core])):
+                    if core[:3] in starts and (v := reader.of_word(core)):
                         self.marks[k] = v
                         self.marked[k] = True
                     continue
@@ -365,6 +368,7 @@ class Reader:
         self.windows: dict[tuple[str, ...], tuple[str, ...]] = {}
         if wanted is not None:
             self.starts = {m[1:4] for m in wanted}
+            self.whole, self.heads = {m[1:] for m in wanted if m[0] == "="}, {m[1:] for m in wanted if m[0] == "^"}
             self.short = {collapsed(m[1:]) for m in wanted}
             self.beginnings = {m[:k] for m in self.short for k in range(1, len(m) + 1)}
             self.letters = sorted({c for m in self.short for c in m})
@@ -373,7 +377,16 @@ class Reader:
     def found(self, words: list[str]) -> tuple[str, ...]:
         if self.wanted is None:
             return tuple(m for w in words for m in marks(w))
-        return tuple(m for w in words if len(w) > 2 and w[:3] in self.starts for m in marks(w) if m in self.wanted)
+        return tuple(m for w in words if w[:3] in self.starts for m in self.of_word(w))
+
+    def of_word(self, word: str) -> tuple[str, ...]:
+        """The marks of one word that are wanted."""
+        n = len(word)
+        if n < 3:
+            return ()
+        out = [f"={word}"] if word in self.whole else []
+        out += [f"^{word[:k]}" for k in range(3, min(7, n)) if word[:k] in self.heads]
+        return tuple(out)
 
     def word(self, token: str) -> tuple[str, ...]:
         return self.found(self.restored(token))
@@ -411,7 +424,8 @@ class Reader:
         known.learn()
         out = {m for k in set(at[known.marked[at]].tolist()) for m in known.marks[k]}
         if self.model:
-            for m in _SPACED.finditer(low):
+            lone = known.lone[at]
+            for m in _SPACED.finditer(low) if (lone > 2).any() or ((lone[1:] > 0) & (lone[:-1] > 0)).any() else ():
                 joined = re.sub(r"[ \t.\-_·]", "", m[0])
                 if not joined.isdigit():
                     out.update(self.word(joined))
@@ -555,23 +569,25 @@ class GramTable:
         if len(self.symbols) < self.ROOM:
             seen = np.flatnonzero(np.bincount(code))
             self._name(seen[self.number[seen] == self.ROOM].tolist())
-        small = self.number[code]
+        small = self.number[code].astype(np.int32)
         strange = small == self.ROOM
-        since = np.arange(size) - np.maximum.accumulate(np.where(first, np.arange(size), 0))  # places after the begin mark
-        index, gram, bad = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=bool)
+        any_strange = bool(strange.any())
+        since = np.arange(size, dtype=np.int32)
+        since -= np.maximum.accumulate(np.where(first, since, 0))  # places after the begin mark
+        index, ok, bad = np.zeros(size, dtype=np.int32), weight > 0, strange.copy()
+        gram = np.zeros(size if any_strange else 0, dtype=np.uint64)
         for k in range(ORDER):
-            back = lambda x: np.concatenate([np.zeros(min(k, size), x.dtype), x[: max(size - k, 0)]])
-            bad = bad | back(strange)
-            index += back(small) * self.ROOM**k
-            ok = (since >= max(k, 1)) & (weight > 0)
-            plain = ok & ~bad
-            self.tables[k] += np.bincount(index[plain], weights=weight[plain], minlength=self.ROOM ** (k + 1))
-            if strange.any():
-                gram = gram | back(code.astype(np.uint64)) << np.uint64(16 * k)
-                rare = ok & bad
+            index[k:] += small[: size - k] * np.int32(self.ROOM**k)
+            ok &= since >= max(k, 1)
+            plain = ok
+            if any_strange:
+                bad[k:] |= strange[: size - k]
+                gram[k:] |= code[: size - k].astype(np.uint64) << np.uint64(16 * k)
+                plain, rare = ok & ~bad, ok & bad
                 if rare.any():
                     found, inverse = np.unique(gram[rare], return_inverse=True)
                     self.others.append((found, np.bincount(inverse, weights=weight[rare])))
+            self.tables[k] += np.bincount(index[plain], weights=weight[plain], minlength=self.ROOM ** (k + 1))
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """The grams, 16 bits a letter, and how often each stands in the words; some may be listed twice."""
