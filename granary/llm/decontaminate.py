@@ -1,11 +1,13 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified exactly.
 
 An item is found in a document if at least ``threshold`` of the item's distinct word shingles stand
-in the document. Items are partitioned by size: of an item with n shingles, any
-floor((1 - threshold) n) + 1 hold one that the document must contain, so that many of its smallest
-hashes (its MinHash sketch) are enough to find every document that can pass. Documents are looked up
-with all their shingles, so a document's length costs no recall, as it would in a sketch of it.
-Candidates are verified by counting shared shingles as text.
+in the document. Items are partitioned by size, in powers of two, and each partition has its own length
+of sketch: the smallest hashes of an item, one more than the shingles that the largest item of the
+partition may miss. An item with n shingles that passes misses at most floor((1 - threshold) n), so at
+least so many hashes less of its sketch stand in the document; documents with fewer are no candidates.
+All shingles of a document that are not above the largest hash of any sketch are looked up (the others
+are left out in the scan), so its length costs no recall, as it would in a sketch of it. Candidates are
+verified by counting shared shingles as text.
 
 Everything here is DataFrame expressions. Words are runs of letters and digits in lower case.
 
@@ -58,12 +60,13 @@ def item_grams(items: DataFrame, item_id: str, text: str, width: int) -> DataFra
 
 
 def sketches(shingles: DataFrame, threshold: float) -> DataFrame:
-    """The MinHash sketch of each item: as many of its smallest hashes as its size calls for."""
-    return (
-        shingles.withColumn("nth", F.row_number().over(Window.partitionBy("item_id").orderBy("h", "gram")))
-        .where(F.col("nth") <= F.floor((1 - F.lit(threshold)) * F.col("n") + F.lit(1e-9)) + 1)
-        .select("item_id", "width", "h")
-    )
+    """item_id, width, h, partition, need: the sketch of each item, as long as its partition's, and how
+    many of its hashes a document must hold."""
+    missed = lambda n: F.floor((1 - F.lit(threshold)) * n + F.lit(1e-9))
+    nth = F.row_number().over(Window.partitionBy("item_id").orderBy("h", "gram"))
+    sized = shingles.withColumn("partition", F.floor(F.log2(F.col("n"))).cast("int")).withColumn("nth", nth)
+    length = missed(F.pow(F.lit(2), F.col("partition") + 1) - 1) + 1
+    return sized.where(F.col("nth") <= length).select("item_id", "width", "h", "partition", (F.least(length, F.col("n")) - missed(F.col("n"))).cast("int").alias("need"))
 
 
 def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
@@ -72,16 +75,20 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str
     gram_words = F.split("gram", " ")
     hash_of = F.coalesce(*[F.when(F.col("width") == k, F.xxhash64(*[F.get(gram_words, F.lit(j)) for j in range(k)])) for k in range(1, width + 1)])
     shingles = cut(shingles.withColumn("h", hash_of).withColumn("n", F.count("*").over(Window.partitionBy("item_id"))))
-    sketch = sketches(shingles, threshold)
-    n_sketch, widths = sketch.count(), sorted(r.width for r in shingles.select("width").distinct().collect())  # at most ``width`` rows
+    sketch = cut(sketches(shingles, threshold))
+    n_sketch = sketch.count()
+    bounds = {r.width: r.h for r in sketch.groupBy("width").agg(F.max("h").alias("h")).collect()}  # at most ``width`` rows
+    widths = sorted(bounds)
     d = docs.select(docs[doc_id].alias("doc_id"), words(docs[text]).alias("w")).where("doc_id is not null and w is not null")
     if not widths:
-        widths = [width]
+        widths, bounds = [width], {width: -(2**63)}
 
-    looked_up = d.select("doc_id", F.explode(F.concat(*[hashed_grams(F.col("w"), k) for k in widths])).alias("h"))
-    keys = sketch.select("item_id", "h")
+    low = lambda k: F.filter(hashed_grams(F.col("w"), k), lambda h: h <= F.lit(bounds[k]).cast("long"))
+    looked_up = d.select("doc_id", F.explode(F.concat(*[low(k) for k in widths])).alias("h"))
+    keys = sketch.select("item_id", "h", "need")
     keys = F.broadcast(keys) if n_sketch <= BROADCAST_ROWS else keys
-    pairs = cut(looked_up.join(keys, "h").select("doc_id", "item_id").distinct())
+    hits = looked_up.join(keys, "h").groupBy("doc_id", "item_id").agg(F.count_distinct("h").alias("hits"), F.max("need").alias("need"))
+    pairs = cut(hits.where("hits >= need").select("doc_id", "item_id"))
 
     # Exact: the shared shingles of candidates, as text.
     theirs = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).where("doc_id is not null")
