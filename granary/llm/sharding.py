@@ -21,8 +21,11 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from granary.llm.util import written
+from granary.sources import shared
 
 SLOTS = 8192
+#: A slot with over 1 / (shards x HOT) of the bytes is split into FINE finer ones.
+HOT, FINE = 8, 64
 OVERHEAD = 8  # bytes that each record takes besides its text
 MAP_SCHEMA = T.StructType(
     [
@@ -40,12 +43,13 @@ def slot_of(key: Column, text: Column, slots: int) -> Column:
 
 
 def records(docs: DataFrame, key: str, text: str, slots: int) -> DataFrame:
-    """key, size, text_crc32 and vslot of every row. The text itself goes no further."""
+    """doc_id, size, text_crc32, rid (a number of the row) and vslot of every row. The text itself goes no further."""
     t = docs[text]
     return docs.select(
         docs[key].alias("doc_id"),
         (F.coalesce(F.octet_length(t), F.lit(0)) + F.lit(OVERHEAD)).cast("long").alias("size"),
         F.crc32(t).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("rid"),
         F.when(docs[key].isNull(), F.pmod(F.xxhash64(t), F.lit(slots)).cast("int")).otherwise(slot_of(docs[key], t, slots)).alias("vslot"),
     )
 
@@ -101,17 +105,81 @@ def map_table(spark: SparkSession, version: int, held: dict[int, int], stats: li
     return spark.createDataFrame(rows, MAP_SCHEMA)
 
 
-def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
-    """(rows with shard and place, slot-to-shard map). The map is written to the shared folder as
-    version 0, and what is written is what the rows are joined with."""
+class SlotMap:
+    """The stored slot-to-shard map: a folder for each version, which is written once and never changed."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/version={version}"
+
+    def versions(self) -> list[int]:
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = fs.listStatus(root) if fs.exists(root) else []
+        done = [f.getPath() for f in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{f.getPath()}/_SUCCESS"))]
+        return sorted(int(p.getName().split("=")[1]) for p in done)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """A version of the map; the last one, if none is named."""
+        at = self.versions()[-1] if version is None else version
+        return self.spark.read.schema(MAP_SCHEMA).parquet(self._folder(at))
+
+    def held(self, version: int | None = None) -> dict[int, int]:
+        return {r.vslot: r.shard for r in self.read(version).select("vslot", "shard").collect()}  # one row for each slot
+
+    def write(self, held: dict[int, int], stats: list[tuple[int, int, int]]) -> int:
+        """Stores the next version and gives its number."""
+        version = self.versions()[-1] + 1 if self.versions() else 0
+        map_table(self.spark, version, held, stats).coalesce(1).write.parquet(self._folder(version))
+        return version
+
+    def rebalanced(self, stats: list[tuple[int, int, int]], shards: int) -> int:
+        """Reads the last version, edits it for the bytes and the number of shards of now, and stores the
+        result as the next."""
+        old = self.held()
+        known = {s: old[s] if s in old else k for (s, _, _), k in zip(stats, _spread(len(stats), shards))}
+        return self.write(rebalance(known, stats, shards), stats)
+
+
+def _spread(n: int, shards: int) -> list[int]:
+    return [i % shards for i in range(n)]
+
+
+def split_hot(recs: DataFrame, stats: list[tuple[int, int, int]], shards: int, slots: int) -> DataFrame:
+    """Records whose slots hold too much for a balanced map go to finer slots: an id that a large share of
+    the rows has is one slot, whose rows are told apart by their own number."""
+    total = sum(b for _, b, _ in stats)
+    hot = [s for s, b, _ in stats if total and b * shards * HOT > total and b > 0]  # fewer than shards x HOT
+    if not hot:
+        return recs
+    at = F.array_position(F.array(*[F.lit(s) for s in hot]), F.col("vslot"))
+    fine = F.lit(slots) + (at - 1) * FINE + F.pmod(F.xxhash64("rid"), F.lit(FINE))
+    return recs.withColumn("vslot", F.when(at > 0, fine).otherwise(F.col("vslot")).cast("int"))
+
+
+def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", slots: int = SLOTS, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows with shard and place, slot-to-shard map). The map is read from the store at ``store`` and
+    edited there where the bytes of now call for it; without a store there, or with an empty one, version
+    0 is built. What is stored is what the rows are joined with."""
     spark = docs.sparkSession
-    recs = records(docs, key, text, slots)
+    recs = written(records(docs, key, text, slots), "records")
     stats = slot_stats(recs, slots)
-    held = written(map_table(spark, 0, build_map(stats, shards), stats), "slot-map")
-    within = Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32")
-    placed = (
+    fine = split_hot(recs, stats, shards, slots)
+    if fine is not recs:
+        recs, stats = fine, slot_stats(fine, slots + FINE * sum(b * shards * HOT > sum(x for _, x, _ in stats) for _, b, _ in stats))
+    kept = SlotMap(spark, store or shared.fresh(spark, "slot-map"))
+    version = kept.rebalanced(stats, shards) if kept.versions() else kept.write(build_map(stats, shards), stats)
+    held = kept.read(version)
+    return placed(recs, held), held
+
+
+def placed(recs: DataFrame, held: DataFrame) -> DataFrame:
+    """Records in the shards of a version of the map, with their places there."""
+    within = Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32", "rid")
+    return (
         recs.withColumn("nth", F.row_number().over(within) - 1)
-        .join(F.broadcast(held.select("vslot", "shard", "base")), "vslot")  # SLOTS rows at any size
+        .join(F.broadcast(held.select("vslot", "shard", "base")), "vslot")  # at most slots + shards x HOT x FINE rows
         .select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("nth")).cast("long").alias("slot"), "vslot")
     )
-    return placed, held

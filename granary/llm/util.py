@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from granary.sources import shared
+
 #: Rows that one Arrow batch may hold. Texts can be long, so batches are kept short.
 BATCH_ROWS = 512
 
@@ -19,14 +20,8 @@ def tune(spark: SparkSession, rows: int = BATCH_ROWS) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is named (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = held.get() if held.isDefined() else tempfile.mkdtemp(prefix="granary-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+    """The folder that driver and executors share."""
+    return shared.folder(spark)
 
 
 def free_name(df: DataFrame, base: str) -> str:
@@ -68,12 +63,10 @@ class Work:
         return self
 
     def __exit__(self, *_) -> None:
-        jvm, hadoop = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for p in self.paths:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(hadoop).delete(path, True)
+            shared.delete(self.spark, p)
         gc.collect()
-        jvm.System.gc()
+        self.spark._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
