@@ -6,7 +6,8 @@ vectors of its n-grams; a language's prototype bundles its training documents, e
 A document gets the language whose prototype is nearest by cosine, both less the mean prototype,
 which holds what all languages share.
 
-Prototypes are learned from at most ``per_lang`` documents a language, chosen by a hash of the id;
+Prototypes of the ``LANGUAGES`` most frequent languages are learned from at most ``per_lang`` documents
+each, chosen by a hash of the id;
 the whole table is then predicted in one pass without a shuffle.
 
 Defined results: ``und`` and score 0 if the text is null or has no letter, or where nothing could be
@@ -29,6 +30,8 @@ from granary.llm.util import tune
 DIM = 1024
 N = 3
 PER_LANG = 4000
+#: Languages that are learned, the most frequent ones.
+LANGUAGES = 500
 SHARPNESS = 12.0
 #: n-grams whose vectors a worker remembers (4 KB each).
 REMEMBERED = 30_000
@@ -113,11 +116,10 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str, train: Column, per
     """The prototype of each language: the mean of its training documents' vectors."""
     tune(docs.sparkSession, 64)
     usable = docs.where(train & docs[lang].isNotNull() & (docs[lang] != "") & docs[text].isNotNull())
-    sizes = {r[0]: r["count"] for r in usable.groupBy(docs[lang]).count().collect()}  # one row for each language
-    if not sizes:
-        return {}
-    share = F.coalesce(*[F.when(docs[lang] == k, F.lit(min(1.0, per_lang / n))) for k, n in sorted(sizes.items())])
-    chosen = usable.where(F.pmod(F.xxhash64(docs[doc_id], F.lit(9)), F.lit(1_000_000)) < share * 1_000_000)
+    # The most frequent values; a column that is no language has many.
+    sizes = usable.groupBy(docs[lang].alias("_l")).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "_l").limit(LANGUAGES)
+    share = F.least(F.lit(1.0), F.lit(per_lang) / F.col("_n"))
+    chosen = usable.join(F.broadcast(sizes), docs[lang] == F.col("_l")).where(F.pmod(F.xxhash64(docs[doc_id], F.lit(9)), F.lit(1_000_000)) < share * 1_000_000)  # LANGUAGES rows
     rows = chosen.select(docs[lang].alias("lang"), docs[text].alias("text")).repartition(12)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -376,3 +376,65 @@ def test_counted_grams_are_the_grams_of_the_words(monkeypatch, room):
             for g in toxicity.grams_of(w):
                 want[g] = want.get(g, 0) + k
     assert got == want
+
+
+def test_hashes_are_those_of_spark(spark):
+    texts = ["", "a", "host\n/x", "é日本", "z" * 100]
+    df = spark.createDataFrame([(t,) for t in texts], "k string").selectExpr("k", "xxhash64(k) as h", "xxhash64(k, 7) as g")
+    for r in df.collect():
+        raw = r.k.encode()
+        assert r.h % 2**64 == urlfilter.xxhash.xxh64_intdigest(raw, urlfilter.SPARK_SEED) and r.g % 2**64 == urlfilter._spark_hash_with(raw, 7)
+
+
+def test_a_list_of_many_shapes_has_the_same_plan(spark):
+    rng = random.Random(3)
+    hosts = [".".join(rng.choice("abc") for _ in range(rng.randint(1, 5))) for _ in range(60)]
+    listed = [(rng.choice(hosts), "/" + "p" * rng.randint(0, 40), rng.choice(["block", "allow"])) for _ in range(300)]
+    urls = [f"x://{rng.choice(hosts)}/{'p' * rng.randint(0, 50)}" for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = spark.createDataFrame(listed, "host string, path string, verdict string")
+    best = {}
+    for h, p, v in listed:
+        best[h, p] = max(v, best.get((h, p), ""))
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge(df, rules).collect()}
+    for i, u in enumerate(urls):
+        host, path = u[4:].split("/", 1)[0], "/" + u[4:].split("/", 1)[1]
+        fits = [(len(h + p), h + p, v) for (h, p), v in best.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert got[i] == (max(fits)[1:] if fits else (None, "allow"))
+
+
+def test_the_stored_map_is_edited_version_by_version(spark):
+    from granary.sources import shared
+
+    rng, store = random.Random(4), shared.fresh(spark, "map")
+    df = spark.createDataFrame([(i, "x" * rng.randint(0, 300)) for i in range(4000)], "doc_id long, text string")
+    _, v0 = sharding.shard(df, 8, store=store)
+    more = df.unionByName(spark.createDataFrame([(i, "y" * 300) for i in range(9000, 10500)], "doc_id long, text string"))
+    rows, v1 = sharding.shard(more, 9, store=store)
+    kept = sharding.SlotMap(spark, store)
+    assert kept.versions() == [0, 1] and v0.first().version == 0 and v1.first().version == 1
+    sizes = {r.shard: r.b for r in rows.groupBy("shard").sum("size").withColumnRenamed("sum(size)", "b").collect()}
+    assert len(sizes) == 9 and max(sizes.values()) < 1.03 * min(sizes.values())
+    stayed = kept.read(0).alias("a").join(kept.read(1).alias("b"), "vslot").where("a.shard = b.shard").count()
+    assert stayed > 0.6 * sharding.SLOTS
+    assert sharding.placed(sharding.records(more, "doc_id", "text", sharding.SLOTS), kept.read(0)).count() == 5500
+
+
+def test_an_id_that_a_third_of_the_rows_has_is_split(spark):
+    df = spark.createDataFrame([(7 if i % 3 == 0 else i, "text of some length") for i in range(3000)], "doc_id long, text string")
+    rows, _ = sharding.shard(df, 6)
+    got = rows.collect()
+    sizes, places = {}, {}
+    for r in got:
+        sizes[r.shard] = sizes.get(r.shard, 0) + r.size
+        places.setdefault(r.shard, []).append(r.slot)
+    assert len(got) == 3000 and max(sizes.values()) < 1.1 * min(sizes.values())
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_only_frequent_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    rng = random.Random(1)
+    rows = [(i, words(rng, "abcde" if i % 2 else "vwxyz", 30), "aa" if i % 2 else "bb") for i in range(80)] + [(100 + i, "q", f"dirt{i}") for i in range(50)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r.lang_pred for r in got.collect()} == {"aa", "bb"}
