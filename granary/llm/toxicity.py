@@ -41,11 +41,11 @@ ORDER = 4
 #: Grams of the character model, the most frequent ones, and letters that it tells apart.
 GRAMS, LETTERS = 300_000, 44
 #: Distinct tokens from which a task cuts grams at a time, and lists of rare grams that it holds.
-CHUNK, OTHERS = 100_000, 40
+CHUNK, OTHERS = 30_000, 40
 LEAST = 5  # texts that a mark must stand in
 ODDS = 2.0  # log odds from which a mark is kept
 #: Tokens, characters in them, and windows that a task remembers.
-REMEMBERED, REMEMBERED_CHARS, WINDOWS = 250_000, 6_000_000, 40_000
+REMEMBERED, REMEMBERED_CHARS, WINDOWS = 150_000, 4_000_000, 30_000
 CUTOFF = 0.5
 
 #: What signs may stand for, besides nothing. Fixed values.
@@ -107,7 +107,7 @@ class CharModel:
                     lam = n / (n + 3.0)
                     p = lam * self.counts.get(ctx + c, 0) / n + (1 - lam) * p
             v = math.log(max(p, 1e-12))
-            if len(self.memo) < 60_000:
+            if len(self.memo) < 30_000:
                 self.memo[key] = v
         return v
 
@@ -536,7 +536,7 @@ class GramTable:
     beyond 16 bits end a word. The first ``ROOM`` symbols that are met are counted in tables with a place
     for every gram, grams of others by sorting them."""
 
-    ROOM = 48
+    ROOM = 32
 
     def __init__(self):
         self.number = np.full(0x10000, self.ROOM, dtype=np.int64)  # of each code point; ROOM: has none
