@@ -5,9 +5,10 @@ elements. Each block becomes a vector (hashed path elements and their class word
 measures), and a bidirectional LSTM reads the page's vectors in order and labels every block, so each
 label sees the whole page. Blocks labelled as main text are joined in page order.
 
-The network is small and in numpy. It is trained here, on pages that ``synthetic`` makes from
-templates with known labels; nothing of the input is needed for that, and training is the same every
-time. Pages are labelled in one pass without a shuffle.
+The network is small and in numpy. It is trained here, on pages that ``synthetic`` makes with known
+labels, in several families of layouts (articles as elements, nested divisions, encyclopedias, layout by
+tables, bare paragraphs, discussions) under many and invented class names; nothing of the input is
+needed for that, and training is the same every time. Pages are labelled in one pass without a shuffle.
 
 Defined results: a null or empty page, or one without text, has an empty text; tags need not be
 closed or nested well; scripts, styles, comments and markup are never text; ``<br>`` ends a block;
@@ -31,8 +32,8 @@ from granary.llm.util import tune
 PATH_DIM, LEAF_DIM, WORD_DIM, MEASURES = 256, 64, 32, 8
 DIM = PATH_DIM + LEAF_DIM + WORD_DIM + MEASURES
 HIDDEN = 16
-#: Blocks that are labelled together; a longer page is read in windows of so many.
-WINDOW = 2000
+#: Blocks of a page whose vectors are held at once; a longer page is read part by part, its states run on.
+LONG = 2000
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z!?][^>]*>""",
@@ -121,7 +122,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
     return out
 
 
-@functools.cache
+@functools.lru_cache(maxsize=50_000)
 def _bucket(word: str, dim: int) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % dim
 
@@ -142,10 +143,10 @@ def _path_places(path: tuple) -> tuple:
 _WORD = re.compile(r"\w+")
 
 
-def vectors(found: list) -> np.ndarray:
-    """One row for each block of a page."""
+def vectors(found: list, first: int = 0, total: int | None = None) -> np.ndarray:
+    """One row for each block of a page, or of the part of a page that begins at block ``first``."""
     x = np.zeros((len(found), DIM), dtype=np.float32)
-    total = max(len(found), 1)
+    total = max(total or len(found), 1)
     for k, (text, path, linked) in enumerate(found):
         x[k, list(_path_places(path))] = 1
         words = _WORD.findall(text.lower())
@@ -154,7 +155,7 @@ def vectors(found: list) -> np.ndarray:
         if words:
             x[k, PATH_DIM + LEAF_DIM : -MEASURES] /= len(words)
         n = len(text)
-        x[k, -MEASURES:] = (np.log1p(n) / 7, np.log1p(len(words)) / 5, min(linked / n, 1.0), text.count(".") / n * 10, text[-1] in ".!?…:;\"'", sum(map(str.isdigit, text)) / n, k / total, min(k, 20) / 20)
+        x[k, -MEASURES:] = (np.log1p(n) / 7, np.log1p(len(words)) / 5, min(linked / n, 1.0), text.count(".") / n * 10, text[-1] in ".!?…:;\"'", sum(map(str.isdigit, text)) / n, (first + k) / total, min(first + k, 20) / 20)
     return x
 
 
@@ -194,6 +195,17 @@ class Lstm:
             out[k] = h
         return out
 
+    def steps(self, pre: np.ndarray, state: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """States over what the inputs give, (time, 1, 4 x hidden), from a state on; and the last one."""
+        (h, c), out = state, np.zeros((len(pre), 1, self.h))
+        for k in range(len(pre)):
+            z = pre[k] + h @ self.wh
+            i, f, o, g = _sig(z[:, : self.h]), _sig(z[:, self.h : 2 * self.h]), _sig(z[:, 2 * self.h : 3 * self.h]), np.tanh(z[:, 3 * self.h :])
+            c = f * c + i * g
+            h = o * np.tanh(c)
+            out[k] = h
+        return out, (h, c)
+
     def backward(self, x: np.ndarray, tape: list, d_out: np.ndarray) -> list[np.ndarray]:
         t, n, _ = x.shape
         dwh, dz_all = np.zeros_like(self.wh), np.zeros((t, n, 4 * self.h))
@@ -253,6 +265,22 @@ class Labeller:
             lo = hi
         return out
 
+    def label_long(self, found: list) -> np.ndarray:
+        """The same for one long page: its vectors are made part by part, and the states run over the
+        whole page in both directions."""
+        parts = [vectors(found[lo : lo + LONG], lo, len(found)) for lo in range(0, len(found), LONG)]
+        h = self.fwd.h
+        out = np.zeros((len(found), 2 * h))
+        for side, net in enumerate((self.fwd, self.bwd)):
+            state, at = (np.zeros((1, h)), np.zeros((1, h))), 0
+            for x in parts if not side else reversed(parts):
+                x = x if not side else x[::-1]
+                got, state = net.steps((x @ net.wx + net.b)[:, None, :], state)
+                out[at : at + len(x), side * h : (side + 1) * h] = got[:, 0]
+                at += len(x)
+        out[:, h:] = out[::-1, h:].copy()
+        return _sig(out @ self.w + self.b[0])
+
     def train(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 6, rate: float = 0.01, seed: int = 1, size: int = 32) -> Labeller:
         rng = np.random.default_rng(seed)
         m = [np.zeros_like(p) for p in self.params]
@@ -288,129 +316,206 @@ class Labeller:
 
 # Training pages. -------------------------------------------------------------------------------
 
-
-def synthetic(n: int, seed: int) -> list[tuple[str, list[str]]]:
-    """(page, its main blocks) of n pages from templates: words, order, tags and class names vary."""
-    rng = np.random.default_rng(seed)
-    pick = lambda *xs: xs[rng.integers(len(xs))]
-    syllables = "the an er on re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve sch ein ung ción ado que ment eau é è ü ñ ß ка но то 中 の".split()
-
-    def word():
-        return "".join(pick(*syllables) for _ in range(rng.integers(1, 5)))
-
-    def words(k):
-        return " ".join(word() for _ in range(k))
-
-    def sentence(lo=3, hi=18):
-        w = words(int(rng.integers(lo, hi)))
-        return w[:1].upper() + w[1:] + pick(".", ".", ".", "!", "?", "")
-
-    def text(lo=1, hi=6):
-        t = " ".join(sentence() for _ in range(rng.integers(lo, hi)))
-        return pick(t, t, t, t.upper(), t.replace(" ", " | "), t.replace(" ", "!! "))
-
-    def esc(t):
-        return html.escape(t, quote=bool(rng.integers(2)))
-
-    def inline(t):
-        w = esc(t).split(" ")
-        for _ in range(rng.integers(0, 3)):
-            k = int(rng.integers(len(w)))
-            tag = pick("b", "i", "em", "strong", "span", "a", "code")
-            w[k] = f'<a href="/{word()}">{w[k]}</a>' if tag == "a" else f"<{tag}>{w[k]}</{tag}>"
+#: Class words by the part of a page that they name; half of all names are invented instead.
+NAMES = {
+    "main": "content article post entry story body text main copy prose page article-body entry-content post-body bodycontent mw-content read",
+    "menu": "menu nav navbar navigation topnav links tabs breadcrumb breadcrumbs crumbs toolbar sitemap pager pagination",
+    "head": "header masthead top banner-top site-header logo brand topbar hero-nav",
+    "foot": "footer bottom copyright colophon legal site-footer base imprint",
+    "side": "sidebar side related widget recommended popular rail aside more also trending",
+    "notice": "cookie cookies consent notice alert newsletter subscribe popup gdpr paywall toast",
+    "ad": "ad ads advert advertisement sponsored promo banner sponsor partner adbox",
+    "talk": "comments comment replies reply cmt cmts discussion responses thread respond feedback disqus answers guestbook",
+    "share": "share social tags meta byline author date follow rating",
+    "wrap": "container wrapper wrap row col column page layout inner outer block box grid center panel holder site root section region group area mw-page",
+    "form": "search login signup contact form query register",
+}
+SYLLABLES = "the an er on re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve sch ein ung ción ado que ment eau é è ü ñ ß ка но то 中 の".split()
+
+
+class Maker:
+    """Random words, sentences, class names and page parts; ``main`` gathers the main blocks in order."""
+
+    def __init__(self, seed: int):
+        self.rng, self.main = np.random.default_rng(seed), []
+
+    def pick(self, *xs):
+        return xs[self.rng.integers(len(xs))]
+
+    def chance(self, p: float) -> bool:
+        return self.rng.random() < p
+
+    def word(self) -> str:
+        return "".join(self.pick(*SYLLABLES) for _ in range(self.rng.integers(1, 5)))
+
+    def words(self, k: int) -> str:
+        return " ".join(self.word() for _ in range(k))
+
+    def sentence(self, lo: int = 3, hi: int = 18) -> str:
+        w = self.words(int(self.rng.integers(lo, hi)))
+        return w[:1].upper() + w[1:] + self.pick(".", ".", ".", "!", "?", "")
+
+    def text(self, lo: int = 1, hi: int = 6) -> str:
+        t = " ".join(self.sentence() for _ in range(self.rng.integers(lo, hi)))
+        return self.pick(t, t, t, t, t.upper(), t.replace(" ", " | "), t.replace(" ", "!! "))
+
+    def name(self, part: str, must: bool = False) -> str:
+        """An attribute with a name for a part; an invented one or none, unless one is needed to tell it."""
+        known, invented = self.pick(*NAMES[part].split()), self.word()[:8].lower() or "x"
+        said = self.pick(known, known, f"{known} {invented}", f"{invented}-{known}") if must or self.chance(0.5) else invented
+        return "" if not must and self.chance(0.35) else f' {self.pick("class", "class", "id")}="{said}"'
+
+    def inline(self, t: str) -> str:
+        w = html.escape(t, quote=self.chance(0.5)).split(" ")
+        for _ in range(self.rng.integers(0, 3)):
+            k, tag = int(self.rng.integers(len(w))), self.pick("b", "i", "em", "strong", "span", "a", "code")
+            w[k] = f'<a href="/{self.word()}">{w[k]}</a>' if tag == "a" else f"<{tag}>{w[k]}</{tag}>"
         return " ".join(w)
 
-    def cls(*names):
-        return pick("", f' class="{pick(*names)}"', f' class="{pick(*names)} {word()[:3]}"', f' id="{pick(*names)}"')
-
-    def must(*names):
-        return pick(f' class="{pick(*names)}"', f' id="{pick(*names)}"', f' class="{pick(*names)} wide"')
-
-    def menu():
-        items = "".join(f'<li><a href="/{word()}">{esc(words(int(rng.integers(1, 4))))}</a></li>' for _ in range(rng.integers(2, 9)))
-        return pick(f"<nav{cls('menu', 'navbar', 'topnav')}><ul>{items}</ul></nav>", f"<div{must('menu', 'nav', 'navigation', 'breadcrumb', 'breadcrumbs')}><ul>{items}</ul></div>", f"<nav>{items.replace('<li>', '').replace('</li>', ' ')}</nav>")
-
-    def header():
-        return f"<header{cls('site-header', 'masthead', 'top')}>" + pick("", f"<h1>{esc(words(3))}</h1>", f"<div{cls('logo', 'brand')}>{esc(words(2))}</div>", f"<p>{esc(sentence())}</p>") + pick("", menu()) + "</header>"
-
-    def footer():
-        inner = pick(f"&copy; {word()}.example.com &middot; {esc(text(1, 4))}", f"<p>{esc(text(1, 4))}</p>", f"<ul><li><a href='/x'>{word()}</a><li><a href='/y'>{word()}</a></ul><p>&copy; {esc(words(3))}</p>", esc(text(1, 3)))
-        return pick(f"<footer{cls('site-footer')}>{inner}</footer>", f"<footer>{inner}</footer>", f"<div{must('footer', 'bottom', 'copyright')}>{inner}</div>")
-
-    def advert():
-        return pick(f"<!-- ad {rng.integers(99)} -->", "") + f"<{(tag := pick('div', 'div', 'p', 'aside', 'section'))}{must('ad', 'ads', 'advert', 'advertisement', 'sponsored', 'promo', 'banner')}>" + pick(esc(text(1, 4)), f"<a href='/x'>{esc(sentence())}</a>", f"<p>{esc(text(1, 3))}</p>") + f"</{tag}>"
-
-    def sidebar():
-        inner = f"<h3>{esc(words(2))}</h3>" + pick(f"<p>{esc(text(1, 4))}</p>", "<ul>" + "".join(f"<li><a href='/{word()}'>{esc(sentence(2, 7))}</a>" for _ in range(rng.integers(2, 6))) + "</ul>")
-        return pick(f"<aside{cls('sidebar', 'widget')}>{inner}</aside>", f"<div{must('sidebar', 'related', 'widget', 'recommended', 'popular')}>{inner}</div>")
-
-    def notice():
-        return f"<{(tag := pick('div', 'section', 'p', 'dialog'))}{must('cookie', 'cookie-notice', 'consent', 'notice', 'alert', 'newsletter', 'subscribe', 'popup', 'gdpr', 'paywall')}>" + pick(esc(text(1, 3)), f"<p>{esc(text(1, 3))}</p><button>{esc(words(2))}</button>") + f"</{tag}>"
-
-    def form():
-        return f"<form{cls('search', 'login', 'signup', 'contact')}><label>{esc(words(2))}</label><input name=q>" + pick("", f"<p>{esc(text(1, 2))}</p>", f"<select><option>{esc(words(1))}<option>{esc(words(2))}</select>", f"<textarea>{esc(sentence())}</textarea>") + f"<button>{esc(words(1))}</button></form>"
-
-    def comments():
-        one = lambda: f"<{(t := pick('div', 'li', 'article'))}{must('comment', 'reply', 'comment-body')}><b>{esc(words(2))}</b>" + pick(f"<p>{esc(text(1, 5))}</p>", esc(text(1, 4))) + f"</{t}>"
-        return f"<{(tag := pick('section', 'div', 'ol'))}{must('comments', 'comment-list', 'discussion', 'responses', 'disqus')}>" + pick("", f"<h2>{esc(words(2))}</h2>") + "".join(one() for _ in range(rng.integers(1, 6))) + f"</{tag}>"
-
-    def social():
-        return f"<div{must('share', 'social', 'tags', 'meta', 'byline', 'pagination', 'author')}>" + "".join(f"<a href='/{word()}'>{esc(words(1))}</a> " for _ in range(rng.integers(2, 5))) + "</div>"
-
-    def article():
-        body, main = [], []
-
-        def add(tag, t, close=True):
-            main.append(t)
-            body.append(f"<{tag}>{inline(t)}" + (f"</{tag.split()[0]}>" if close else ""))
-
-        if rng.random() < 0.85:
-            add(pick("h1", "h1", "h1", "h2"), sentence(2, 10) if rng.random() < 0.7 else text(1, 2)[:60].strip() or word())
-        for _ in range(rng.integers(1, 14) if rng.random() < 0.9 else rng.integers(14, 40)):
-            r = rng.random()
-            if r < 0.6:
-                add("p", text() if rng.random() < 0.85 else word(), rng.random() < 0.85)
-            elif r < 0.72:
-                t = text(1, 3)
-                main.append(t)
-                body.append(f"<p><b>{esc(t)}<br>")
-            elif r < 0.78:
-                add(pick("h2", "h3", "h4"), sentence(1, 7))
-            elif r < 0.84:
-                lines = [text(1, 2) for _ in range(rng.integers(2, 6))]
-                main.extend(lines)
-                tag = pick("ul", "ol")
-                body.append(f"<{tag}>" + "".join(f"<li>{inline(t)}" + pick("", "</li>") for t in lines) + f"</{tag}>")
-            elif r < 0.88:
-                add(pick("blockquote", "pre", "div", "figcaption"), text(1, 4))
-            elif r < 0.91:
-                cells = [words(int(rng.integers(1, 6))) for _ in range(4)]
-                main.extend(cells)
-                body.append(f"<table><tr><td>{esc(cells[0])}</td><td>{esc(cells[1])}</td></tr><tr><td>{esc(cells[2])}<td>{esc(cells[3])}</table>")
-            else:
-                body.append(pick(advert, advert, social, notice, form, sidebar)())
-        inner = "".join(body)
-        open_, close = pick(("<article>", "</article>"), ("<article>", "</article>"), (f"<article{cls('post', 'entry', 'story')}>", "</article>"), (f"<main{cls('content')}>", "</main>"), ("<main><article>", "</article></main>"), (f"<div{must('content', 'article', 'post', 'entry-content', 'story', 'main', 'article-body')}>", "</div>"), (f"<section{must('content', 'article', 'post')}>", "</section>"))
-        return open_ + inner + close, main
-
-    out = []
-    for _ in range(n):
-        before = [f() for f in (menu, advert, header, notice, form, sidebar, social) if rng.random() < 0.4]
-        after = [f() for f in (sidebar, comments, advert, social, form, notice, menu) if rng.random() < 0.3]
-        rng.shuffle(before)
-        rng.shuffle(after)
-        made, main = article()
-        if rng.random() < 0.03:
-            made, main = "", []
-        title = (main[0] if main else words(3))[:60]
-        page = f'<!DOCTYPE html><html><head><meta charset="utf-8"><title>{esc(title)}</title><style>p{{margin:0}}</style><script>var t="</p>";track({rng.integers(99)});</script></head><body>'
-        if rng.random() < 0.1:
-            page = ""
-        if rng.random() < 0.2:
-            made = f"<div{cls('wrapper', 'container', 'page', 'layout')}>{made}</div>"
-        page += "".join(before) + made + "".join(after) + (footer() if rng.random() < 0.8 else "") + pick("</body></html>", "</body></html>", "")
-        out.append((page, [" ".join(html.unescape(esc(t)).split()) for t in main]))
-    return out
+    def say(self, t: str) -> str:
+        """A main block."""
+        self.main.append(" ".join(html.unescape(html.escape(t)).split()))
+        return self.inline(t)
+
+    def links(self, lo: int = 2, hi: int = 9) -> str:
+        tag = self.pick("li", "li", "li", "div", "span", "a", "td")
+        each = [f'<a href="/{self.word()}">{html.escape(self.words(int(self.rng.integers(1, 5))))}</a>' for _ in range(self.rng.integers(lo, hi))]
+        if tag == "a":
+            return self.pick(" ", " | ", " &middot; ").join(each)
+        rows = "".join(f"<{tag}>{x}</{tag}>" for x in each)
+        return f"<ul>{rows}</ul>" if tag == "li" else f"<table><tr>{rows}</tr></table>" if tag == "td" else rows
+
+    def wrapped(self, part: str, p: float = 0.35) -> str:
+        """A part in elements that say nothing of what it is."""
+        while part and self.chance(p):
+            part = f"<div{self.name('wrap', self.chance(0.7))}>{part}</div>"
+        return part
+
+    # What is not main text.
+
+    def menu(self) -> str:
+        return self.pick(f"<nav{self.name('menu')}>{self.links()}</nav>", f"<div{self.name('menu')}>{self.links(3)}</div>", f"<ul{self.name('menu')}>{self.links(3)}</ul>")
+
+    def header(self) -> str:
+        inner = self.pick("", f"<h1>{html.escape(self.words(3))}</h1>", f"<div>{html.escape(self.words(2))}</div>", f"<p>{html.escape(self.sentence())}</p>") + (self.menu() if self.chance(0.5) else "")
+        return self.pick(f"<header{self.name('head')}>{inner}</header>", f"<div{self.name('head', True)}>{inner}</div>")
+
+    def footer(self) -> str:
+        t = html.escape(self.text(1, 4))
+        inner = self.pick(f"&copy; {self.word()} {t}", f"<p>&copy; {2000 + int(self.rng.integers(30))} {t}</p>", f"{self.links()}<p>{t}</p>", t)
+        return self.pick(f"<footer{self.name('foot')}>{inner}</footer>", f"<footer>{inner}</footer>", f"<div{self.name('foot', True)}>{inner}</div>")
+
+    def advert(self) -> str:
+        tag = self.pick("div", "div", "p", "aside", "section")
+        return f"<{tag}{self.name('ad', True)}>" + self.pick(html.escape(self.text(1, 4)), f"<a href='/x'>{html.escape(self.sentence())}</a>", f"<p>{html.escape(self.text(1, 3))}</p>" if tag != "p" else html.escape(self.sentence())) + f"</{tag}>"
+
+    def sidebar(self) -> str:
+        inner = f"<{(h := self.pick('h3', 'h4', 'b', 'h2'))}>{html.escape(self.words(2))}</{h}>" + self.pick(f"<p>{html.escape(self.text(1, 4))}</p>", self.links())
+        return self.pick(f"<aside{self.name('side')}>{inner}</aside>", f"<div{self.name('side', True)}>{inner}</div>")
+
+    def notice(self) -> str:
+        tag = self.pick("div", "section", "p", "dialog")
+        return f"<{tag}{self.name('notice', True)}>" + (html.escape(self.text(1, 3)) if tag == "p" else self.pick(html.escape(self.text(1, 3)), f"<p>{html.escape(self.text(1, 3))}</p><button>{html.escape(self.words(2))}</button>")) + f"</{tag}>"
+
+    def form(self) -> str:
+        return f"<form{self.name('form')}><label>{html.escape(self.words(2))}</label><input name=q>" + self.pick("", f"<p>{html.escape(self.text(1, 2))}</p>", f"<select><option>{self.word()}<option>{html.escape(self.words(2))}</select>", f"<textarea>{html.escape(self.sentence())}</textarea>") + f"<button>{html.escape(self.words(1))}</button></form>"
+
+    def talk(self) -> str:
+        tag, box = self.pick("div", "li", "article", "p"), self.pick("section", "div", "ol", "div")
+        one = lambda: f"<{tag}{self.name('talk', self.chance(0.6))}>" + self.pick(f"<b>{html.escape(self.words(2))}</b>", f"<cite>{html.escape(self.words(2))}</cite> ", "") + (html.escape(self.text(1, 4)) if tag == "p" or self.chance(0.4) else f"<p>{html.escape(self.text(1, 5))}</p>") + f"</{tag}>"
+        return f"<{box}{self.name('talk', True)}>" + self.pick("", f"<h2>{html.escape(self.words(2))}</h2>", f"<h3>{int(self.rng.integers(1, 99))} {html.escape(self.words(1))}</h3>") + "".join(one() for _ in range(self.rng.integers(1, 7))) + f"</{box}>"
+
+    def share(self) -> str:
+        tag = self.pick("div", "p", "span")
+        return f"<{tag}{self.name('share', True)}>" + self.pick(self.links(2, 5) if tag == "div" else f"<a href='/x'>{self.word()}</a>", html.escape(self.words(3))) + f"</{tag}>"
+
+    # The families: ways to lay out an article.
+
+    def paragraphs(self, how: str, extra: tuple = ()) -> str:
+        """The blocks of an article; ``how`` says what a paragraph is marked up with."""
+        out = []
+        for _ in range(self.rng.integers(1, 14) if self.chance(0.9) else self.rng.integers(14, 40)):
+            r, t = self.rng.random(), self.text() if self.chance(0.85) else self.word()
+            if r < 0.62:
+                out.append({"p": lambda t: f"<p>{self.say(t)}" + self.pick("</p>", "</p>", "</p>", ""), "div": lambda t: f"<div{self.name('main') if self.chance(0.3) else ''}>{self.say(t)}</div>", "br": lambda t: f"{self.say(t)}<br>" + self.pick("<br>", "")}[how](t))
+            elif r < 0.7:
+                out.append(f"<p><b>{self.say(self.text(1, 3))}<br>" if how == "p" and self.chance(0.5) else f"<{(h := self.pick('h2', 'h3', 'h4'))}>{self.say(self.sentence(1, 7))}</{h}>")
+            elif r < 0.77:
+                tag = self.pick("ul", "ol")
+                out.append(f"<{tag}>" + "".join(f"<li>{self.say(self.text(1, 2))}" + self.pick("", "</li>") for _ in range(self.rng.integers(2, 6))) + f"</{tag}>")
+            elif r < 0.82:
+                tag = self.pick("blockquote", "pre", "div", "figcaption")
+                out.append(f"<{tag}>{self.say(self.text(1, 4))}</{tag}>")
+            elif r < 0.86:
+                out.append("<table>" + "".join(f"<tr><td>{self.say(self.words(2))}</td><td>{self.say(self.words(int(self.rng.integers(1, 6))))}</td></tr>" for _ in range(self.rng.integers(1, 5))) + "</table>")
+            elif r < 0.89:
+                out.append("<dl>" + "".join(f"<dt>{self.say(self.words(2))}<dd>{self.say(self.sentence())}" for _ in range(self.rng.integers(1, 4))) + "</dl>")
+            elif extra:
+                out.append(self.pick(*extra)())
+        return "".join(out)
+
+    def title(self, *tags: str) -> str:
+        t = self.sentence(2, 10) if self.chance(0.7) else self.text(1, 2)[:60].strip() or self.word()
+        tag = self.pick(*tags)
+        return f"<{tag}>{self.say(t)}</{tag.split()[0]}>" if self.chance(0.85) else ""
+
+    def semantic(self) -> str:
+        """article or main elements, with other things inside."""
+        inner = self.title("h1", "h1", "h2") + self.paragraphs("p", (self.advert, self.share, self.notice, self.form, self.sidebar))
+        if self.chance(0.2):
+            inner += self.talk()
+        tag = self.pick("article", "article", "main", "section")
+        return self.pick(f"<{tag}{self.name('main', tag == 'section')}>{inner}</{tag}>", f"<main><{tag}>{inner}</{tag}></main>")
+
+    def soup(self) -> str:
+        """Nested div elements, text in div or p."""
+        inner = self.title("h1", "h2", "div class=title") + self.paragraphs(self.pick("p", "div", "br"), (self.advert, self.share, self.sidebar)) + (self.talk() if self.chance(0.3) else "")
+        for _ in range(self.rng.integers(1, 4)):
+            inner = f"<div{self.name('main')}>{inner}</div>"
+        return inner
+
+    def wiki(self) -> str:
+        """A heading outside of the text's own element, lists, tables and contents of links."""
+        toc = f"<div{self.name('menu', True)}><h2>{html.escape(self.words(1))}</h2>{self.links()}</div>" if self.chance(0.4) else ""
+        return f"<div id=content>{self.title('h1 id=firstHeading', 'h1')}<div{self.name('main')}>{toc}{self.paragraphs('p')}</div></div>" + (f"<div{self.name('side', True)}>{self.links()}</div>" if self.chance(0.5) else "")
+
+    def cells(self) -> str:
+        """A table lays out the page: links in one cell, the article in another."""
+        cell = f"<td>{self.title('h1', 'h2', 'b')}{self.paragraphs(self.pick('p', 'br', 'p'))}</td>"
+        return "<table><tr>" + (f"<td width=150>{self.links(3)}</td>" if self.chance(0.8) else "") + cell + (f"<td>{self.sidebar()}</td>" if self.chance(0.4) else "") + "</tr></table>"
+
+    def bare(self) -> str:
+        """Paragraphs right in the body."""
+        return self.title("h1", "h2") + self.paragraphs(self.pick("p", "p", "br"))
+
+    def thread(self) -> str:
+        """A short article and a long discussion in the same element."""
+        inner = self.title("h1", "h2") + self.paragraphs(self.pick("p", "div")) + self.share() + self.talk() + (self.form() if self.chance(0.4) else "")
+        tag = self.pick("main", "div", "article", "section")
+        return f"<{tag}{self.name('main') if tag != 'main' else ''}>{inner}</{tag}>"
+
+    def page(self, family: str) -> tuple[str, list[str]]:
+        self.main = []
+        before = [f() for f in (self.menu, self.advert, self.header, self.notice, self.form, self.sidebar, self.share) if self.chance(0.35)]
+        made = getattr(self, family)() if self.chance(0.97) else ""
+        after = [f() for f in (self.sidebar, self.talk, self.advert, self.share, self.form, self.notice, self.menu) if self.chance(0.25)]
+        self.rng.shuffle(before)
+        self.rng.shuffle(after)
+        if self.chance(0.2):  # columns
+            made = f"<div{self.name('wrap', True)}><div{self.name('wrap', True)}>{made}</div><div{self.name('wrap', True)}>{self.sidebar()}</div></div>"
+        before, made, after = [self.wrapped(x, 0.2) for x in before], self.wrapped(made), [self.wrapped(x, 0.2) for x in after]
+        title = html.escape((self.main[0] if self.main and self.chance(0.8) else self.words(3))[:60])
+        head = self.pick("", "<!doctype html>", "<!DOCTYPE html><html lang=en>") + f"<head><title>{title}</title>" + self.pick("", "<meta charset=utf-8>", "<style>.x{color:red}</style>", "<script>if (a < b) go('<p>')</script>") + "</head><body>"
+        return (head if self.chance(0.9) else "") + "".join(before) + made + "".join(after) + (self.footer() if self.chance(0.75) else "") + self.pick("</body></html>", ""), self.main
+
+
+FAMILIES = ("semantic", "soup", "wiki", "cells", "bare", "thread")
+
+
+def synthetic(n: int, seed: int, families: tuple[str, ...] = FAMILIES) -> list[tuple[str, list[str]]]:
+    """(page, its main blocks) of n pages of these families in turn."""
+    maker = Maker(seed)
+    return [maker.page(families[k % len(families)]) for k in range(n)]
 
 
 def labelled(pages: list[tuple[str, list[str]]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -429,26 +534,15 @@ def labelled(pages: list[tuple[str, list[str]]]) -> tuple[list[np.ndarray], list
 
 
 @functools.cache
-def trained(pages: int = 1600, seed: int = 5) -> Labeller:
-    return Labeller().train(*labelled(synthetic(pages, seed)))
+def trained(pages: int = 2400, seed: int = 5, families: tuple[str, ...] = FAMILIES) -> Labeller:
+    return Labeller().train(*labelled(synthetic(pages, seed, families)))
 
 
 def main_blocks(pages: list, model: Labeller) -> list[list[str]]:
     found = [blocks(p) for p in pages]
-    windows, owner = [], []
-    for k, f in enumerate(found):
-        x = vectors(f)
-        for lo in range(0, len(f), WINDOW):
-            windows.append(x[lo : lo + WINDOW])
-            owner.append(k)
-    out: list[list[str]] = [[] for _ in pages]
-    seen = [0] * len(pages)
-    for k, p in zip(owner, model.label(windows)):
-        for v in p:
-            if v >= 0.5:
-                out[k].append(found[k][seen[k]][0])
-            seen[k] += 1
-    return out
+    short = [k for k, f in enumerate(found) if len(f) <= LONG]
+    labels = dict(zip(short, model.label([vectors(found[k]) for k in short])))
+    return [[t for (t, _, _), p in zip(f, labels[k] if k in labels else model.label_long(f)) if p >= 0.5] for k, f in enumerate(found)]
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
