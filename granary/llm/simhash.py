@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.llm.components import connected
-from granary.llm.util import Work, cut, tune
+from granary.llm.util import Work, cut, release, tune
 
 SEED = 42
 WIDTH = 3
@@ -487,8 +487,11 @@ def alike(sets: DataFrame, held_of: Callable[[DataFrame], DataFrame], similarity
     first = cut(first.where(F.col("c") >= F.least(F.lit(SHARED), F.ceil(similarity * F.col("n") - 1e-6))).select("a", "b"))
 
     def compared(pairs: DataFrame) -> DataFrame:
+        release(sets.sparkSession)
         ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        return cut(checked(pairs, held_of(ids), similarity))
+        found = cut(checked(pairs, held_of(ids), similarity))
+        release(sets.sparkSession)
+        return found
 
     def labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
         known = roots.select(F.col("node").alias("id"), "root")
@@ -506,7 +509,9 @@ def alike(sets: DataFrame, held_of: Callable[[DataFrame], DataFrame], similarity
         for some in (F.pmod("tok", F.lit(16)) == 0, F.pmod("tok", F.lit(16)) != 0):
             rows = cut(apart(labelled(crowd.where(some), roots)))
             held = cut(held_of(cut(rows.select("id").distinct())))
+            release(sets.sparkSession)
             more = cut(joining(rows, held, similarity))
+            release(sets.sparkSession)
             if not more.isEmpty():
                 links_ = cut(links_.unionByName(more))
                 roots = connected(links_)

@@ -46,6 +46,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go the shuffle files of tables that have been cut off or are no longer held: Spark deletes them
+    when the driver has collected what referred to them, which it may not do for long by itself."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Work:
     """Tables that are written while something is computed, and are deleted when it is done. Shuffles
     that nothing needs any more are let go then, too."""
@@ -65,8 +72,7 @@ class Work:
     def __exit__(self, *_) -> None:
         for p in self.paths:
             shared.delete(self.spark, p)
-        gc.collect()
-        self.spark._jvm.System.gc()
+        release(self.spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
