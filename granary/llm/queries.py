@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, htmltext, langid, mih, packing, quality, sharding, simhash, toxicity, urlfilter
+from granary.llm import decontaminate, htmltext, langid, licenses, mih, packing, quality, sharding, simhash, toxicity, urlfilter
 from granary.llm.util import table
 
 #: The rules of the url query: host, path, verdict.
@@ -58,7 +58,11 @@ def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mih, op2_simhash, op3_packing, op4_quality, op5_decontaminate, op6_shards, op7_urlfilter, op8_toxicity, op9_langid, op10_htmltext)}
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+QUERIES = {f.__name__: f for f in (op1_mih, op2_simhash, op3_packing, op4_quality, op5_decontaminate, op6_shards, op7_urlfilter, op8_toxicity, op9_langid, op10_htmltext, op12_licenses)}
 
 SQL = {
     "op7_urlfilter": r"""
