@@ -32,19 +32,31 @@ def guarded(df: DataFrame, path: str, listed: DataFrame, name: str) -> DataFrame
     return out.drop("_there").withColumn("refusal", F.when(~F.col("open"), "is not an open file of the manifest"))
 
 
-def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_at: str, right_at: str, take: Sequence[str], strict: bool = False) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_at: str, right_at: str, take: Sequence[str], strict: bool = False, long: int | None = None) -> DataFrame:
     """The left rows with the columns ``take`` of the last right row at or before them (before them,
     if ``strict``); nulls where there is none.
 
     Both sides go through one shuffle by ``by`` and one sort, and the last right row is carried on,
     so no pair of rows is formed. The right columns are carried as one struct, so a null inside a
-    right row is kept as it is."""
+    right row is kept as it is. Keys of more than ``long`` rows are scanned in stretches (``longkeys``), in
+    many tasks; without it each key is one task's."""
     rank = 1 if not strict else -1  # where left rows stand among right rows of equal offset
     columns = left.columns
     a = left.select(*[F.col(c) for c in columns], F.col(left_at).alias("_at"), F.lit(rank).alias("_side"), F.lit(None).cast(right.select(F.struct(*take).alias("s")).schema["s"].dataType).alias("_right"))
     b = right.select(*[F.col(c) if c in by else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in columns], F.col(right_at).alias("_at"), F.lit(0).alias("_side"), F.struct(*take).alias("_right"))
-    w = Window.partitionBy(*by).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    return a.unionByName(b).withColumn("_right", F.last("_right", ignorenulls=True).over(w)).where("_side <> 0").select(*columns, *[F.col(f"_right.{t}").alias(t) for t in take])
+    both = a.unionByName(b)
+    if long is not None:
+        both = _stretches(both, by, "_at", long).last("_right", ["_at", "_side"], "_right").table
+    else:
+        w = Window.partitionBy(*by).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+        both = both.withColumn("_right", F.last("_right", ignorenulls=True).over(w))
+    return both.where("_side <> 0").select(*columns, *[F.col(f"_right.{t}").alias(t) for t in take])
+
+
+def _stretches(df: DataFrame, by: Sequence[str], at: str, long: int):
+    from granary.operators.longkeys import Stretches
+
+    return Stretches(df, by, at, long)
 
 
 def first_range(df: DataFrame, value: str, ranges: DataFrame, label: str = "label") -> DataFrame:
@@ -67,11 +79,15 @@ def first_range(df: DataFrame, value: str, ranges: DataFrame, label: str = "labe
     return rows.drop("_bin").join(first, "_row", "left").drop("_row")
 
 
-def previous_plus_one(df: DataFrame, by: Sequence[str], at: str, number: str, most: int) -> DataFrame:
+def previous_plus_one(df: DataFrame, by: Sequence[str], at: str, number: str, most: int, long: int | None = None) -> DataFrame:
     """Rows without a number get the last number before them, plus one, if that is at most ``most``.
-    Only numbers that stand in the data count, not those filled in."""
-    known = F.last(number, ignorenulls=True).over(Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1))
-    return df.withColumn("_inferred", F.col(number).isNull()).withColumn(number, F.coalesce(number, F.when(known + 1 <= most, known + 1))).withColumnRenamed("_inferred", "inferred")
+    Only numbers that stand in the data count, not those filled in. ``long`` as in ``as_of``."""
+    if long is not None:
+        df = _stretches(df, by, at, long).last(number, [at], "_known", inclusive=False).table
+        known = F.col("_known")
+    else:
+        known = F.last(number, ignorenulls=True).over(Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1))
+    return df.withColumn("_inferred", F.col(number).isNull()).withColumn(number, F.coalesce(number, F.when(known + 1 <= most, known + 1))).withColumnRenamed("_inferred", "inferred").drop("_known")
 
 
 def missing(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -94,14 +110,22 @@ def present_gaps(df: DataFrame, by: Sequence[str], number: str, first: int, last
     return groups.withColumn(number, F.col(number).cast(df.schema[number].dataType)).join(df.select(*by, number), [*by, number], "left_anti")
 
 
-def segments(df: DataFrame, by: Sequence[str], at: str, end: Column | None = None) -> DataFrame:
-    """Each row's end: where the next begins; ``end`` for the last."""
+def segments(df: DataFrame, by: Sequence[str], at: str, end: Column | None = None, long: int | None = None) -> DataFrame:
+    """Each row's end: where the next begins; ``end`` for the last. ``long`` as in ``as_of``."""
+    if long is not None:
+        out = _stretches(df, by, at, long).neighbour(at, [at], "segment_end", after=True).table
+        return out.withColumn("segment_end", F.coalesce("segment_end", end)) if end is not None else out
     nxt = F.lead(at).over(Window.partitionBy(*by).orderBy(at))
     return df.withColumn("segment_end", F.coalesce(nxt, end) if end is not None else nxt)
 
 
-def gap_clusters(df: DataFrame, by: Sequence[str], at: Column, order: str, gap: float) -> DataFrame:
-    """A running number that grows where a row lies more than ``gap`` after the one before."""
+def gap_clusters(df: DataFrame, by: Sequence[str], at: Column, order: str, gap: float, long: int | None = None) -> DataFrame:
+    """A running number that grows where a row lies more than ``gap`` after the one before. ``long`` as in
+    ``as_of``."""
+    if long is not None:
+        rows = _stretches(df.withColumn("_place", at), by, order, long).neighbour("_place", [order], "_before")
+        new = F.when(F.col("_place") - F.col("_before") > gap, 1).otherwise(0)
+        return rows.adding("_new", new).running_sum("_new", [order], "cluster").table.drop("_place", "_before", "_new")
     w = Window.partitionBy(*by).orderBy(order)
     new = F.when(at - F.lag(at).over(w) > gap, 1).otherwise(0)
     return df.withColumn("_new", new).withColumn("cluster", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
@@ -123,8 +147,11 @@ def keyed_copy(manifest: DataFrame, names: DataFrame, files: DataFrame) -> DataF
     )
 
 
-def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "n") -> DataFrame:
-    """A running number of the rows of each group in order."""
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], name: str = "n", long: int | None = None) -> DataFrame:
+    """A running number of the rows of each group in order. ``long`` as in ``as_of``; the order then begins with a
+    column, ascending."""
+    if long is not None:
+        return _stretches(df, by, order[0], long).running_sum(None, order, name).table
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
 
 

@@ -1,7 +1,7 @@
 """Publishing: JSON, CSV, Markdown, statistics, splits and logs.
 
-Rows are rendered where they are. A document is put together in order only where it has to be one
-file (``documents`` says that it takes one group's entries as one value)."""
+Rows are rendered where they are. Files that hold a whole text in order (``export_texts``, ``write_arrays``) are written
+entry by entry out of a sorted partition; ``json_array`` and ``markdown_documents`` give a group as one value, for small ones."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from granary.functions.text import markdown_block, markdown_value, title_case
 from granary.operators import schema as S
@@ -98,10 +99,37 @@ def write_enriched(df: DataFrame, path: str, dry: bool = False) -> str | None:
     return f"{stem}_enriched"
 
 
-def export_texts(df: DataFrame, path: str, by: str, order: Sequence[str]) -> None:
-    """A Markdown document for each text, in a folder named by the text less ``_All``."""
-    named = df.withColumn(by, F.regexp_replace(by, "_All$", ""))
-    markdown_documents(named, by, order).select(F.col(by).alias("text"), F.col("markdown").alias("value")).write.mode("overwrite").partitionBy("text").text(path, lineSep="\n")
+def _write_pieces(pieces: DataFrame, path: str, by: str, order: Sequence[str]) -> None:
+    """One file for each text, its pieces (columns ``by``, ``_kind``, ``order``, ``value``) in order, each ended by a line
+    end. A text's task sorts (and spills) and writes piece by piece, so no text is ever held as a whole."""
+    rows = pieces.withColumnRenamed(by, "text").repartition("text").sortWithinPartitions("text", "_kind", *order).select("text", "value")
+    rows.write.mode("overwrite").partitionBy("text").text(path, lineSep="\n")
+
+
+def _ordered(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The table with copies of its order under names of their own."""
+    names = [f"_order{k}" for k in range(len(order))]
+    return df.withColumns({n: F.col(c) for n, c in zip(names, order)}), names
+
+
+def export_texts(df: DataFrame, path: str, by: str, order: Sequence[str], blurb: str = "Missing values are displayed as `—`.") -> None:
+    """A Markdown document for each text, in a folder named by the text less ``_All``; the same as ``markdown_documents``
+    gives, written entry by entry."""
+    named, names = _ordered(df.withColumn(by, F.regexp_replace(by, "_All$", "")), order)
+    entries = named.select(by, F.lit(1).alias("_kind"), *names, F.concat(markdown_entry(df), F.lit("\n---\n")).alias("value"))
+    head = F.concat(F.lit("# "), F.coalesce(by, F.lit("—")), F.lit("\n\n**Total entries:** "), F.count("*").cast("string"), F.lit(f"\n\n{blurb}\n\n---\n"))
+    heads = named.groupBy(by).agg(head.alias("value")).withColumn("_kind", F.lit(0))
+    _write_pieces(entries.unionByName(heads, allowMissingColumns=True), path, by, names)
+
+
+def write_arrays(df: DataFrame, path: str, by: str, order: Sequence[str]) -> None:
+    """A JSON array of the entries of each text, in order, an entry a line; nulls are kept."""
+    rows, names = _ordered(df, order)
+    first = F.row_number().over(Window.partitionBy(by).orderBy(*names)) == 1
+    entry = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    entries = rows.select(by, F.lit(0).alias("_kind"), *names, F.concat(F.when(first, "[").otherwise(","), entry).alias("value"))
+    ends = df.select(by).distinct().select(by, F.lit(1).alias("_kind"), F.lit("]").alias("value"))
+    _write_pieces(entries.unionByName(ends, allowMissingColumns=True), path, by, names)
 
 
 def analysis_json(profiles: DataFrame, comparison: DataFrame, name: str) -> DataFrame:

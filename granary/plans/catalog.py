@@ -510,4 +510,4 @@ def stream_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The other modules register their queries too.
-from granary.plans import checks, editions, publish  # noqa: E402, F401
+from granary.plans import advanced, checks, editions, publish  # noqa: E402, F401

@@ -59,14 +59,14 @@ def test_dimensions_are_broadcast_by_their_size(spark):
     assert sorted((str(r.path), r.open) for r in lookups.guarded(asked, "path", listed, "file").collect()) == [("../b", False), ("None", False), ("a.json", True)]
 
 
-@pytest.mark.parametrize("few", [0, 1000])
-def test_many_short_items_are_looked_up(spark, monkeypatch, few):
+@pytest.mark.parametrize(("most", "few"), [(contain.ITEMS, 0), (0, 0), (0, 1000)])
+def test_items_by_one_automaton_or_by_joins(spark, monkeypatch, most, few):
     monkeypatch.setattr(contain, "FEW", few)
     rng = random.Random(2)
     docs = [(i, " ".join(rng.choice(["alpha", "beta", "go", "x", "delta"]) for _ in range(6))) for i in range(60)] + [(99, None), (98, "")]
     items = [(1, "x"), (2, "go"), (3, "beta go"), (4, "ta"), (5, ""), (6, None), (7, "zz"), (8, "alpha beta x")]
     d, i = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
-    got = sorted(tuple(r) for r in contain.contained(d, i, "doc_id", "item_id", "text").collect())
+    got = sorted(tuple(r) for r in contain.contained(d, i, "doc_id", "item_id", "text", most).collect())
     assert got == sorted((a, b) for a, t in docs for b, u in items if t and u and u in t)
 
 
