@@ -52,7 +52,7 @@ def run(spark: SparkSession, args: Sequence[str]) -> int:
             sinks.export_texts(typed, a.out, "source_text", ["verse_id"])
     elif a.command == "match":
         reference = spark.read.schema("idx long, classic string, description string").json(a.reference)
-        best = match.best_matches(typed, reference, "verse_id", "idx", "classical_tamil", "classic")
+        best = match.best_matches(typed, reference, "verse_id", "idx", "classical_tamil", "classic", least=min(a.threshold, match.REVIEW))
         match.report(typed, best, "verse_id").show()
         filled = match.fill(typed, best, reference, "verse_id", "idx", "modern_tamil", "description", auto=a.threshold)
         sinks.write_enriched(filled, a.out, a.dry_run)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.operators import lookups, plugins, sinks, sketches
+from granary.operators import lookups, match, plugins, sinks, sketches
 from granary.operators.longkeys import Stretches
+from granary.plans import checks
 from granary.plans.registry import query, table
 from granary.sources import fetch, hub, shared
 from granary.streaming import keyed
@@ -180,3 +181,34 @@ def k1_k13_ordered_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = "array<struct<source:string,doc_id:long,lang:string,text_md5:string>>"
     whole = spark.read.option("basePath", path).text(path, wholetext=True).select("text", F.posexplode(F.from_json("value", kind)).alias("place", "e"))
     return whole.select("text", "e.doc_id", F.col("place").cast("long").alias("place"), "e.lang", "e.text_md5")
+
+
+# Matches at any score. ---------------------------------------------------------------------------
+
+_SHARED = "SELECT a.id AS entry, b.id AS idx, count(*) AS c FROM {0} a JOIN {0} b ON a.k = b.k AND a.id < b.id AND abs(a.len - b.len) <= 0.3 * greatest(a.len, b.len) GROUP BY a.id, b.id"
+_J = "CASE WHEN {1} + {2} = 0 THEN 1.0 ELSE coalesce({0}, 0)::DOUBLE / ({1} + {2} - coalesce({0}, 0)) END"
+
+
+@query(f"""
+WITH t AS (SELECT doc_id AS id, {checks._STRIPPED} AS t FROM documents),
+u AS (SELECT id, {checks._NORMAL.format('t')} AS n, {checks._NORMAL.format("split_part(t, chr(10), 1)")} AS l FROM t WHERE t <> ''),
+f AS (SELECT id, n, l, length(n) AS len, {checks._TOKENS.format('l')} AS lt, {checks._TOKENS.format('n')} AS nt,
+             CASE WHEN length(n) >= 3 THEN list_distinct(list_transform(range(1, CAST(length(n) - 1 AS BIGINT)), lambda i: substr(n, i, 3))) ELSE [] END AS g FROM u),
+xl AS (SELECT id, len, unnest(lt) AS k FROM f), xt AS (SELECT id, len, unnest(nt) AS k FROM f), xg AS (SELECT id, len, unnest(g) AS k FROM f),
+sl AS ({_SHARED.format('xl')}), st AS ({_SHARED.format('xt')}), sg AS ({_SHARED.format('xg')}),
+p AS (SELECT a.id AS entry, b.id AS idx, a.n = b.n AS exact, len(a.nt) AS na, len(b.nt) AS nb, len(a.g) AS ga, len(b.g) AS gb,
+             CASE WHEN a.n = b.n THEN 1.0 WHEN a.l <> '' AND a.l = b.l THEN 0.95 WHEN a.l = '' OR b.l = '' THEN 0.0 ELSE {_J.format('sl.c', 'len(a.lt)', 'len(b.lt)')} END AS f
+      FROM f a JOIN f b ON a.id <> b.id AND abs(a.len - b.len) <= 0.3 * greatest(a.len, b.len) LEFT JOIN sl ON sl.entry = least(a.id, b.id) AND sl.idx = greatest(a.id, b.id)),
+s AS (SELECT p.entry, p.idx, exact, f, CASE WHEN f >= 0.3 THEN f ELSE 0.4 * f + 0.35 * ({_J.format('st.c', 'na', 'nb')}) + 0.25 * ({_J.format('sg.c', 'ga', 'gb')}) END AS s
+      FROM p LEFT JOIN st ON st.entry = least(p.entry, p.idx) AND st.idx = greatest(p.entry, p.idx) LEFT JOIN sg ON sg.entry = least(p.entry, p.idx) AND sg.idx = greatest(p.entry, p.idx)),
+best AS (SELECT *, CASE WHEN exact THEN 'exact' WHEN f > 0.9 THEN 'first_line' WHEN f > 0.5 THEN 'partial_first_line' ELSE 'ngram_token' END AS match_type
+         FROM s WHERE s > 0 QUALIFY row_number() OVER (PARTITION BY entry ORDER BY s DESC, idx) = 1)
+SELECT doc_id AS entry, idx, coalesce(round(s, 9), 0) AS confidence, match_type, CASE WHEN s >= 0.8 THEN 'matched' WHEN s >= 0.5 THEN 'review' ELSE 'unmatched' END AS bucket,
+       CASE WHEN idx IS NULL THEN 'no_match_found' WHEN s < 0.5 THEN 'confidence_below_threshold' END AS reason
+FROM documents LEFT JOIN best ON entry = doc_id
+""")
+def j4_a12_every_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best other document of every document, at any score, and why it counts or does not."""
+    d = table(spark, sf_dir, "documents")
+    best = match.best_matches(d, d, "doc_id", "doc_id", "text", "text", same_id=True, least=0.0)
+    return match.outcome(d, best, "doc_id").withColumn("confidence", F.round("confidence", 9))
