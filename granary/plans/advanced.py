@@ -10,7 +10,7 @@ from granary.operators.longkeys import Stretches
 from granary.plans import checks
 from granary.plans.registry import query, table
 from granary.sources import fetch, hub, shared
-from granary.streaming import keyed
+from granary.streaming import ingest, keyed
 
 # Long keys: all events are one sequence, cut from 500 rows on. -----------------------------------
 
@@ -212,3 +212,39 @@ def j4_a12_every_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     best = match.best_matches(d, d, "doc_id", "doc_id", "text", "text", same_id=True, least=0.0)
     return match.outcome(d, best, "doc_id").withColumn("confidence", F.round("confidence", 9))
+
+
+# Posts and log as two streams. -------------------------------------------------------------------
+
+@query("""
+SELECT a.event_id AS asked, b.event_id AS answered, a.user_id, CAST(epoch_us(b.ts) - epoch_us(a.ts) AS BIGINT) AS waited_us FROM events a JOIN events b
+ON a.user_id = b.user_id AND a.event_type = 'view' AND b.event_type = 'purchase' AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 6 HOUR
+""")
+def r1_r3_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views with the purchases of the same user within six hours, as two streams in batches; a third of the posts comes twice."""
+    path, out = shared.fresh(spark, "both"), shared.fresh(spark, "answered")
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    days = ("ts < timestamp'2024-01-12'", "ts >= timestamp'2024-01-12' AND ts < timestamp'2024-01-22'", "ts >= timestamp'2024-01-22'")
+    for kind in ("view", "purchase"):
+        for k, where in enumerate(days):
+            rows = e.where(f"event_type = '{kind}'").where(where)
+            rows.unionByName(rows.where("event_id % 3 = 0")).coalesce(1).write.parquet(f"{path}/{kind}/batch={k}")
+    read = lambda kind: ingest.posted_once(spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/{kind}/*"), ["event_id"], "ts", "1 day")
+    asked = read("view").select("user_id", F.col("event_id").alias("asked"), F.col("ts").alias("asked_at"))
+    log = read("purchase").select("user_id", F.col("event_id").alias("answered"), F.col("ts").alias("answered_at"))
+    got = ingest.answered(asked, log, ["user_id"], "asked_at", "answered_at", "6 HOURS", None)
+    got.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select("asked", "answered", "user_id", (F.unix_micros("answered_at") - F.unix_micros("asked_at")).alias("waited_us"))
+
+
+@query("""
+SELECT user_id, event_type, ts, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) = 1
+""")
+def k10_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers whose batches are committed turn by turn into one table; each plays its last batch again."""
+    path = shared.fresh(spark, "keyed")
+    e = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", "value")
+    one, two = (ingest.KeyedTable(spark, path, ["user_id", "event_type"], "ts", ["event_id"], buckets=n, writer=w) for n, w in ((16, "one"), (64, "two")))
+    for k, (writer, number) in enumerate(((one, 0), (two, 0), (one, 1), (two, 1), (one, 1), (two, 1))):
+        writer.merge(e.where(F.col("event_id") % 4 == min(k, 3)), number)
+    return two.read().drop("bucket")

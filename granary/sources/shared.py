@@ -42,6 +42,26 @@ def put(spark: SparkSession, path: str, text: str) -> str:
     return path
 
 
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """The same if nothing is at the path; False, and nothing changed, if something is. Of several that try at once one
+    succeeds, where the file system creates files in one step (HDFS and local ones do)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(where):
+        return False
+    try:
+        out = files.create(where, False)
+    except Exception as e:
+        if files.exists(where):
+            return False
+        raise e
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -6,6 +6,7 @@ is played again changes nothing, since rows carry their time and its ties are br
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,61 +66,96 @@ def repaired(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 class KeyedTable:
-    """A keyed table in buckets of its key's hash. A batch reads and writes only the buckets that it
-    touches; a version names for each bucket the batch that wrote it last, and is a small file written
-    when all of that batch's buckets are there. A batch that is played again writes the same."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], at: str, ties: Sequence[str] = (), keep: int = 3, buckets: int = 64):
-        self.spark, self.path, self.keys, self.at, self.ties, self.keep, self.buckets = spark, path.rstrip("/"), list(keys), at, list(ties), keep, buckets
+    """A keyed table in buckets of its key's hash, with a log of commits.
+
+    A batch reads and writes only the buckets that it touches, in a folder of its own. A commit is a small numbered file that
+    names each bucket's folder and, for each writer, the last of its batches that is in. It is put there only if no other has
+    that number: of two writers at once one commits, and the other takes the new state and tries again, so neither loses rows.
+    A batch that its writer plays again is in already and changes nothing. The layout (keys, order, number of buckets) is stored
+    with the first commit and holds for whoever opens the table later. ``read(before)`` gives the table as it was before a
+    commit, for the last ``keep`` commits; folders that none of these names are deleted, those of batches that are still being
+    written excepted."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], at: str, ties: Sequence[str] = (), keep: int = 3, buckets: int = 64, writer: str = "writer"):
+        self.spark, self.path, self.keep, self.writer = spark, path.rstrip("/"), keep, writer
+        self.layout = {"keys": list(keys), "at": at, "ties": list(ties), "buckets": buckets}
+        self._opened()
+
+    def _opened(self) -> None:
+        fs, file = self._fs("layout.json")
+        if fs.exists(file):
+            held = json.loads(self._text("layout.json"))
+            if held["keys"] != self.layout["keys"]:
+                raise ValueError(f"the table's keys are {held['keys']}")
+            self.layout = held
 
     def _fs(self, name: str = ""):
         jvm, hadoop = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         return path.getFileSystem(hadoop), path
 
+    def _text(self, name: str) -> str:
+        return self.spark.read.text(f"{self.path}/{name}", wholetext=True).first().value
+
     def versions(self) -> list[int]:
         fs, root = self._fs("versions")
         return sorted(int(s.getPath().getName().split(".")[0]) for s in fs.listStatus(root) if s.getPath().getName().endswith(".json")) if fs.exists(root) else []
 
-    def _held(self, version: int) -> dict[int, int]:
-        """The batch that wrote each bucket last, as of a version."""
-        text = self.spark.read.text(f"{self.path}/versions/{version}.json", wholetext=True).first().value
-        return {int(k): v for k, v in json.loads(text).items()}
+    def _commit(self, version: int) -> dict:
+        """buckets: the folder of each; writers: the last batch of each."""
+        return json.loads(self._text(f"versions/{version}.json"))
 
-    def _folder(self, bucket: int, version: int) -> str:
-        return f"{self.path}/rows/version={version}/bucket={bucket}"
+    def _held(self, version: int) -> dict[int, int]:
+        """The commit that wrote each bucket last, as of a version."""
+        return {int(b): int(f.split("-")[0]) for b, f in self._commit(version)["buckets"].items()}
 
-    def read(self, before: int | None = None, only: Sequence[int] | None = None) -> DataFrame | None:
-        found = [v for v in self.versions() if before is None or v < before]
-        if not found:
-            return None
-        held = self._held(found[-1])
-        paths = [self._folder(b, v) for b, v in held.items() if only is None or b in only]
+    def _rows(self, buckets: dict[str, str], only: Sequence[int] | None = None) -> DataFrame | None:
+        paths = [f"{self.path}/rows/version={f}/bucket={b}" for b, f in buckets.items() if only is None or int(b) in only]
         return self.spark.read.parquet(*paths) if paths else None
 
-    def merge(self, batch: DataFrame, version: int) -> None:
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+    def read(self, before: int | None = None) -> DataFrame | None:
+        found = [v for v in self.versions() if before is None or v < before]
+        return self._rows(self._commit(found[-1])["buckets"]) if found else None
+
+    def merge(self, batch: DataFrame, number: int, tries: int = 20) -> bool:
+        """Upserts a batch; False if this writer's batch of that number, or a later one, is in already."""
+        if not self.versions():
+            shared.put_new(self.spark, f"{self.path}/layout.json", json.dumps(self.layout))
+            self._opened()
+        at, ties = self.layout["at"], [F.col(t) for t in self.layout["ties"]]
+        bucket = F.pmod(F.xxhash64(*self.layout["keys"]), F.lit(self.layout["buckets"])).cast("int")
         touched = sorted(r.b for r in batch.select(bucket.alias("b")).distinct().collect())  # at most ``buckets``
-        found = [v for v in self.versions() if v < version]
-        held = self._held(found[-1]) if found else {}
-        if touched:
-            out = upserted(self.read(version, touched), batch, self.keys, self.at, [F.col(t) for t in self.ties])
-            out.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/rows/version={version}")
-        shared.put(self.spark, f"{self.path}/versions/{version}.json", json.dumps(held | {b: version for b in touched}))
-        self._forget()
+        for _ in range(tries):
+            last = max(self.versions(), default=-1)
+            held = self._commit(last) if last >= 0 else {"buckets": {}, "writers": {}}
+            if held["writers"].get(self.writer, -1) >= number:
+                return False
+            folder = f"{last + 1}-{uuid.uuid4().hex[:12]}"
+            if touched:
+                out = upserted(self._rows(held["buckets"], touched), batch, self.layout["keys"], at, ties)
+                out.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/rows/version={folder}")
+            now = {"buckets": held["buckets"] | {str(b): folder for b in touched}, "writers": held["writers"] | {self.writer: number}}
+            if shared.put_new(self.spark, f"{self.path}/versions/{last + 1}.json", json.dumps(now)):
+                self._forget()
+                return True
+            shared.delete(self.spark, f"{self.path}/rows/version={folder}")
+        raise RuntimeError(f"other writers committed first {tries} times")
 
     def _forget(self) -> None:
-        """Deletes versions beyond the last ``keep``, and buckets that none of those names."""
+        """Deletes commits beyond the last ``keep``, and buckets that none of those names. Folders of the next number may be
+        another writer's that has not committed yet."""
         versions = self.versions()
         for v in versions[: -self.keep]:
             shared.delete(self.spark, f"{self.path}/versions/{v}.json")
-        named = {(b, v) for n in versions[-self.keep :] for b, v in self._held(n).items()}
+        named = {(int(b), f) for n in versions[-self.keep :] for b, f in self._commit(n)["buckets"].items()}
         fs, root = self._fs("rows")
         for folder in fs.listStatus(root) if fs.exists(root) else []:
-            v = int(folder.getPath().getName().split("=")[1])
+            name = folder.getPath().getName().split("=")[1]
+            if int(name.split("-")[0]) >= versions[-1]:
+                continue
             for part in fs.listStatus(folder.getPath()):
-                name = part.getPath().getName()
-                if v <= versions[-1] and name.startswith("bucket=") and (int(name.split("=")[1]), v) not in named:
+                bucket = part.getPath().getName()
+                if bucket.startswith("bucket=") and (int(bucket.split("=")[1]), name) not in named:
                     fs.delete(part.getPath(), True)
 
 
@@ -148,6 +184,25 @@ def latest_state(table: KeyedTable, sheet: str) -> str:
     return json.dumps({r["verse_id"]: {k: (v if v != "" else None) for k, v in r.items()} for r in map(json.loads, rows)}, ensure_ascii=False)
 
 
+def posted_once(stream: DataFrame, keys: Sequence[str], at: str, late: str = "1 hour") -> DataFrame:
+    """The first post of each key within ``late`` of time: a post that comes again is dropped, and its key is forgotten once the
+    watermark has passed it. Posts that are later than the watermark are dropped, too."""
+    return stream.withWatermark(at, late).dropDuplicatesWithinWatermark(list(keys))
+
+
+def answered(asked: DataFrame, log: DataFrame, on: Sequence[str], asked_at: str, log_at: str, within: str, late: str | None = "1 hour") -> DataFrame:
+    """Each post with each log row of the same keys that came at its time or up to ``within`` after; as streams or tables. Both
+    sides are kept in state only as long as a partner may still come: watermarks and the interval bound it. Rows later than the
+    watermark find no partner. Sides that have a watermark already (``posted_once``) take ``late`` None. Key columns come once,
+    ``log``'s other names must differ."""
+    a, b = (asked, log) if late is None else (asked.withWatermark(asked_at, late), log.withWatermark(log_at, late))
+    same = F.expr("true")
+    for k in on:
+        same = same & (F.col(f"_a.{k}") == F.col(f"_b.{k}"))
+    span = (F.col(f"_b.{log_at}") >= F.col(f"_a.{asked_at}")) & (F.col(f"_b.{log_at}") <= F.col(f"_a.{asked_at}") + F.expr(f"INTERVAL {within}"))
+    return a.alias("_a").join(b.alias("_b"), same & span).select("_a.*", *[F.col(f"_b.{c}") for c in log.columns if c not in on])
+
+
 def handler(actions: dict[str, Callable[[DataFrame], None]]) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that gives each action's posts to its own handler; the batch is kept
     while they run."""

@@ -172,3 +172,38 @@ def test_plug_ins_carry_over_pages_and_name_their_columns(spark):
         plugins.parsed(pages, "numbered").collect()
     with pytest.raises(Exception, match="no parser"):
         plugins.parsed(pages, "nothing").collect()
+
+
+def test_two_writers_lose_nothing_and_the_layout_is_stored(spark, monkeypatch):
+    from granary.streaming import ingest
+
+    path = shared.fresh(spark, "commits")
+    frame = lambda rows: spark.createDataFrame(rows, "k int, at int, v string")
+    one = ingest.KeyedTable(spark, path, ["k"], "at", ["v"], buckets=4, writer="one")
+    assert one.merge(frame([(k, 0, "a") for k in range(20)]), 0)
+    two = ingest.KeyedTable(spark, path, ["k"], "at", ["v"], buckets=64, writer="two")
+    assert two.layout["buckets"] == 4
+    with pytest.raises(ValueError):
+        ingest.KeyedTable(spark, path, ["v"], "at")
+    real, raced = shared.put_new, []
+
+    def slow(session, where, text):  # the other writer commits first, once
+        if "versions" in where and not raced:
+            raced.append(where)
+            assert two.merge(frame([(3, 5, "two"), (100, 0, "two")]), 0)
+        return real(session, where, text)
+
+    monkeypatch.setattr(shared, "put_new", slow)
+    assert one.merge(frame([(3, 4, "one"), (101, 0, "one")]), 1)
+    assert {r.k: r.v for r in one.read().collect()} == {k: "two" if k == 3 else "a" for k in range(20)} | {100: "two", 101: "one"}
+    assert two.versions() == [0, 1, 2] and not one.merge(frame([(3, 9, "again")]), 1) and not two.merge(frame([(3, 9, "again")]), 0)
+    assert two.read(1).count() == 20 and two.read(2).count() == 21
+
+
+def test_posts_once_and_answers_within_an_interval(spark):
+    from granary.streaming import ingest
+
+    posts = spark.sql("SELECT * FROM VALUES (1, 'u', timestamp'2024-01-01 10:00:00'), (2, 'u', timestamp'2024-01-01 11:00:00'), (3, null, timestamp'2024-01-01 11:00:00') AS t(post, user, at)")
+    log = spark.sql("SELECT * FROM VALUES (7, 'u', timestamp'2024-01-01 11:30:00'), (8, 'u', timestamp'2024-01-01 09:59:59'), (9, null, timestamp'2024-01-01 11:00:00'), (10, 'u', timestamp'2024-01-01 12:00:00') AS t(row, user, seen)")
+    got = ingest.answered(posts, log, ["user"], "at", "seen", "1 HOUR", None)
+    assert got.columns == ["post", "user", "at", "row", "seen"] and rows_of(got.select("post", "row")) == ["(2, 10)", "(2, 7)"]
