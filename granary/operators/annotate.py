@@ -60,16 +60,70 @@ def back_off(attempt: int, wait: float | None = None, base: float = 1.0) -> floa
 
 def with_retries(call: Callable[[str], str], prompt: str, attempts: int = 4, pause: Callable[[float], None] = time.sleep) -> str | None:
     """The answer, or None after a failure that is not worth another try, or too many."""
+    return tried(call, prompt, attempts, pause)[0]
+
+
+def tried(call: Callable[[str], str], prompt: str, attempts: int = 4, pause: Callable[[float], None] = time.sleep) -> tuple[str | None, int, float]:
+    """The answer or None, how many tries that took, and the seconds that were waited between them."""
+    waited = 0.0
     for k in range(attempts):
         try:
-            return call(prompt)
+            return call(prompt), k + 1, waited
         except Failed as e:
             if (e.status and e.status not in RETRIED) or k == attempts - 1:
-                return None
-            pause(back_off(k, e.wait))
+                return None, k + 1, waited
+            wait = back_off(k, e.wait)
+            waited += wait
+            pause(wait)
         except Exception:
-            return None
-    return None
+            return None, k + 1, waited
+    return None, attempts, waited
+
+
+class Pace:
+    """Moments at which a lane may ask: ``gap`` seconds apart, and later than a host wants to be left alone."""
+
+    def __init__(self, gap: float, clock: Callable[[], float] = time.monotonic, pause: Callable[[float], None] = time.sleep):
+        self.gap, self.clock, self.pause, self.next = gap, clock, pause, clock()
+
+    def wait(self) -> None:
+        now = self.clock()
+        if now < self.next:
+            self.pause(self.next - now)
+        self.next = max(now, self.next) + self.gap
+
+
+def paced(df: DataFrame, client: Callable[[str], str], keys: Sequence[str], host: str, rates: dict[str, float], column: str = "prompt", rate: float = 1.0, lanes: int = 8, attempts: int = 4, pause: Callable[[float], None] = time.sleep) -> DataFrame:
+    """keys, ``answer``, ``tries``, ``waited`` (seconds between tries) of each row, asked at no more than ``rates[host]`` (else
+    ``rate``) requests a second of a host over the whole cluster, retries included.
+
+    Rows are dealt into ``lanes`` tasks, each with an equal share of every host's rate, so no task has to know of the others,
+    and a task that is lost or runs again keeps to its share; where fewer tasks run at once the whole is slower, never faster.
+    Within a lane hosts take turns by their own pace. A host that asks to be left alone (``Failed.wait``) is, by its lane,
+    through ``back_off``. A null host is one; null prompts are not asked (no answer, 0 tries)."""
+    kinds = dict(df.dtypes)
+    spread = F.pmod(F.xxhash64(*keys, "_ask"), F.lit(lanes)).cast("int")
+    rows = df.select(*keys, F.col(host).alias("_host"), F.col(column).alias("_ask")).withColumn("_lane", spread)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        paces: dict = {}
+        for f in frames:
+            out = []
+            for h, ask_, lane in zip(f["_host"], f["_ask"], f["_lane"]):
+                if ask_ is None:
+                    out.append((None, 0, 0.0))
+                    continue
+                pace = paces.setdefault((h, lane), Pace(lanes / rates.get(h, rate), pause=pause))
+
+                def call(p: str, pace: Pace = pace) -> str:
+                    pace.wait()
+                    return client(p)
+
+                out.append(tried(call, ask_, attempts, pause))
+            yield f[list(keys)].assign(answer=[o[0] for o in out], tries=[o[1] for o in out], waited=[o[2] for o in out])
+
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", answer string, tries int, waited double"
+    return rows.repartition(lanes, "_lane").sortWithinPartitions("_lane").mapInPandas(run, schema)
 
 
 def prompt(df: DataFrame, fields: Column) -> Column:

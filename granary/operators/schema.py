@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 # Fixed values of the schema.
@@ -124,3 +126,54 @@ DEFAULTS: dict[str, dict[str, str]] = {
     "Manimekalai": {"layer": "Epic", "speaker_role": "narrator"},
 }
 ID_WIDTHS = {"Thevaram": 4, "Divya Prabandham": 4, "Thirumanthiram": 4, "Manimekalai": 4}
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What a schema file says: fields, texts that comments must have, and whether other keys are allowed."""
+
+    fields: tuple[Field, ...]
+    comments: dict[str, str]
+    closed: bool = True
+
+    @property
+    def names(self) -> tuple[str, ...]:
+        return tuple(f.name for f in self.fields)
+
+
+RULES = Rules(FIELDS, COMMENTS)
+
+
+def document(rules: Rules = RULES) -> str:
+    """The rules as a JSON schema."""
+
+    def prop(f: Field) -> dict:
+        out: dict = {"type": [f.kind, "null"] if f.nullable else f.kind}
+        if f.values:
+            out["enum"] = [*f.values, *([None] if f.nullable else [])]
+        if f.kind == "array":
+            out["items"] = {"type": "string"} | ({"enum": list(f.items)} if f.items else {})
+        return out | ({"pattern": f.pattern.removeprefix("(?U)")} if f.pattern else {}) | ({"minLength": f.min_length} if f.min_length else {})
+
+    body = {"type": "object", "properties": {c: {"const": t} for c, t in rules.comments.items()} | {f.name: prop(f) for f in rules.fields}}
+    return json.dumps(body | {"required": [f.name for f in rules.fields if f.required], "additionalProperties": not rules.closed}, ensure_ascii=False)
+
+
+def read(spark: SparkSession, path: str) -> Rules:
+    """The rules of a JSON schema file in any store that Spark reads: types, null, enum, pattern, minLength, items, const, required
+    and additionalProperties of an object's properties. Other words are an error, so no rule is passed over silently."""
+    body = json.loads(spark.read.text(path, wholetext=True).first().value)
+    required, fields, comments = set(body.get("required", [])), [], {}
+    for name, p in body["properties"].items():
+        unknown = set(p) - {"type", "enum", "pattern", "minLength", "items", "const", "description", "properties", "required", "title"}
+        if unknown:
+            raise ValueError(f"{name}: {', '.join(sorted(unknown))} cannot be checked")
+        if "const" in p:
+            comments[name] = p["const"]
+            continue
+        kinds = [p["type"]] if isinstance(p["type"], str) else p["type"]
+        (kind,) = [k for k in kinds if k != "null"]
+        items = p.get("items", {}).get("enum", ())
+        pattern = f"(?U){p['pattern']}" if "pattern" in p else None
+        fields.append(Field(name, kind, "null" in kinds, name in required, tuple(v for v in p.get("enum", ()) if v is not None), tuple(items), pattern, p.get("minLength", 0)))
+    return Rules(tuple(fields), comments, body.get("additionalProperties") is False)

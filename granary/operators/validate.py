@@ -68,13 +68,14 @@ def field_errors(f: S.Field) -> list[Column]:
     return out
 
 
-def schema_errors() -> Column:
+def schema_errors(rules: S.Rules = S.RULES) -> Column:
     """array<struct(field, message)> of the schema's breaches, in order of the field's name."""
-    known = [*S.NAMES, *S.COMMENTS]
+    known = [*rules.names, *rules.comments]
     unknown = F.transform(F.filter("keys", lambda k: ~k.isin(*known)), lambda k: F.struct(k.alias("field"), F.lit("is not an allowed property").alias("message")))
-    comments = [F.when(F.array_contains("keys", k) & ~F.coalesce(text_of(f"$.{k}") == v, F.lit(False)), _error(k, "was expected to be a fixed text")) for k, v in S.COMMENTS.items()]
-    found = F.array_compact(F.array(*[e for f in S.FIELDS for e in field_errors(f)], *comments))
-    everything = F.array_sort(F.concat(found, F.coalesce(unknown, F.array().cast("array<struct<field:string,message:string>>"))))
+    comments = [F.when(F.array_contains("keys", k) & ~F.coalesce(text_of(f"$.{k}") == v, F.lit(False)), _error(k, "was expected to be a fixed text")) for k, v in rules.comments.items()]
+    found = F.array_compact(F.array(*[e for f in rules.fields for e in field_errors(f)], *comments))
+    none = F.array().cast("array<struct<field:string,message:string>>")
+    everything = F.array_sort(F.concat(found, F.coalesce(unknown, none) if rules.closed else none))
     not_an_object = F.array(_error("", "is not a JSON object"))
     return F.when(F.col("keys").isNull(), not_an_object).otherwise(everything)
 
@@ -109,9 +110,9 @@ def cross_field_errors() -> Column:
     return F.array_compact(F.array(*[F.when(F.coalesce(when, F.lit(False)), _error(field, message)) for field, when, message in rules]))
 
 
-def errors(df: DataFrame, json: str = "json", label: str = "label", file: str = "file") -> DataFrame:
-    """file, label, field, message of every breach."""
-    checked = parsed(df, json).withColumn("_s", schema_errors()).withColumn("_e", F.when(F.size("_s") > 0, F.col("_s")).otherwise(cross_field_errors()))
+def errors(df: DataFrame, json: str = "json", label: str = "label", file: str = "file", rules: S.Rules = S.RULES) -> DataFrame:
+    """file, label, field, message of every breach; ``rules`` may come from a schema file (``schema.read``)."""
+    checked = parsed(df, json).withColumn("_s", schema_errors(rules)).withColumn("_e", F.when(F.size("_s") > 0, F.col("_s")).otherwise(cross_field_errors()))
     return checked.select(file, label, F.inline("_e"))
 
 

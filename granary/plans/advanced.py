@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.operators import lookups, match, plugins, sinks, sketches
+from granary.operators import annotate, lookups, match, plugins, sinks, sketches
 from granary.operators.longkeys import Stretches
 from granary.plans import checks
 from granary.plans.registry import query, table
@@ -248,3 +248,58 @@ def k10_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (writer, number) in enumerate(((one, 0), (two, 0), (one, 1), (two, 1), (one, 1), (two, 1))):
         writer.merge(e.where(F.col("event_id") % 4 == min(k, 3)), number)
     return two.read().drop("bucket")
+
+
+# Pacing and back-off. ----------------------------------------------------------------------------
+
+_SEEN: dict[str, int] = {}
+
+
+def unsteady(prompt: str) -> str:
+    """A service that fails by the number in a request: three times with 503, twice asking for 7 seconds, for good, or always."""
+    k, n = int(prompt) % 5, _SEEN.get(prompt, 0)
+    _SEEN[prompt] = n + 1
+    if k == 0 and n < 3:
+        raise annotate.Failed(503)
+    if k == 1 and n < 2:
+        raise annotate.Failed(429, 7)
+    if k in (2, 3):
+        raise annotate.Failed(400 if k == 2 else 500)
+    _SEEN.pop(prompt)
+    return f"answer {prompt}"
+
+
+def no_pause(seconds: float) -> None:
+    pass
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 5 IN (2, 3) THEN NULL ELSE 'answer ' || c_custkey END AS answer,
+       CAST(CASE c_custkey % 5 WHEN 0 THEN 4 WHEN 1 THEN 3 WHEN 2 THEN 1 WHEN 3 THEN 4 ELSE 1 END AS INTEGER) AS tries,
+       CASE c_custkey % 5 WHEN 0 THEN 7 WHEN 1 THEN 14 WHEN 3 THEN 7 ELSE 0 END AS least_wait, true AS jitter_fits
+FROM customer
+""")
+def f36_x2_paced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests to an unsteady service over lanes of one pace: tries, and waits as the back-off has them (jitter of at most 0.5 s each)."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("prompt"), F.lit("h").alias("host"))
+    got = annotate.paced(c, unsteady, ["c_custkey"], "host", {"h": 50.0}, pause=no_pause)
+    k = F.col("c_custkey") % 5
+    least = F.when(k.isin(0, 3), 7).when(k == 1, 14).otherwise(0)
+    fits = (F.col("waited") >= least) & (F.col("waited") <= least + 0.5 * F.greatest(F.col("tries") - 1, F.lit(0)))
+    return got.select("c_custkey", "answer", "tries", F.when(fits, least).alias("least_wait"), fits.alias("jitter_fits"))
+
+
+@query("""
+SELECT action, count(*) AS n FROM (SELECT CASE WHEN event_type = 'view' THEN 'annotation' WHEN event_type = 'purchase' THEN 'log' ELSE 'other' END AS action FROM events) WHERE action <> 'other' GROUP BY action
+""")
+def r1_handler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose batches are routed to a handler for each action; posts of no known action go nowhere."""
+    source, out = shared.fresh(spark, "posts"), shared.fresh(spark, "handled")
+    action = F.when(F.col("event_type") == "view", "annotation").when(F.col("event_type") == "purchase", "log").otherwise("other")
+    body = F.to_json(F.struct(action.alias("action"), F.lit("Some Text").alias("text"), "event_id"))
+    table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("at"), body.alias("body")).write.parquet(source)
+    keep = lambda name: lambda posts: posts.select("action", "sheet").write.mode("append").parquet(f"{out}/{name}")
+    handle = ingest.handler({a: keep(a) for a in ("annotation", "log")})
+    stream = spark.readStream.schema("at timestamp, body string").parquet(source)
+    stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/annotation", f"{out}/log").groupBy("action").agg(F.count("*").alias("n"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import json
+import dataclasses
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.operators import profile, project, schema, sinks
-from granary.plans import pipeline
+from granary.operators import profile, project, schema, sinks, validate
+from granary.plans import checks, pipeline
 from granary.plans.registry import query, table
 from granary.sources import corpus, fetch, shared
 from granary.streaming import ingest
@@ -109,13 +109,17 @@ def s11_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("c_custkey", (F.size("entries") > 0).alias("found"), F.coalesce(F.get("entries", F.lit(0))["lemma"], F.lit("")).alias("lemma"))
 
 
-_KINDS = {"string": "string", "array": "array<string>", "object": "struct<primary:string,intensity:string,secondary:string>"}
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{f.name}', '{_KINDS[f.kind]}')" for f in schema.FIELDS) + ") s(field, kind)")
+@query(f"""
+SELECT 'all' AS file, CAST(p_partkey AS VARCHAR) AS label, field, message FROM part JOIN (VALUES {checks._FAULT_ROWS}) f(k, field, message) ON p_partkey % {len(checks._FAULTS)} = k
+UNION ALL SELECT 'all', CAST(p_partkey AS VARCHAR), 'period', '''period'' is a required property' FROM part
+""")
 def s15_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The typed entry, as Spark has it."""
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema.ENTRY.fields], "field string, kind string")
+    """Entries checked against a schema file, which asks for one field more."""
+    fields = tuple(dataclasses.replace(f, required=True) if f.name == "period" else f for f in schema.FIELDS)
+    path = shared.put(spark, shared.fresh(spark, "schema") + ".json", schema.document(dataclasses.replace(schema.RULES, fields=fields)))
+    return validate.errors(checks.faulty(spark, sf_dir), rules=schema.read(spark, path))
 
 
 # Sinks. ----------------------------------------------------------------------------------------
@@ -255,8 +259,7 @@ def s16_k10_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = F.col("english") == "view"
     for k, part in enumerate((rows.where(early), rows.where(~early), rows.where(~early))):
         held.merge(part, k)
-    answer = json.loads(ingest.latest_state(held, "Sheet 1!"))
-    return spark.createDataFrame([(k, v["english"]) for k, v in answer.items()], "verse_id string, english string")
+    return ingest.state_rows(held, "Sheet 1!").select("verse_id", F.get_json_object("json", "$.english").alias("english"))
 
 
 # Whole runs. -----------------------------------------------------------------------------------

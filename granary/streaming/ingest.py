@@ -175,13 +175,20 @@ def tumbling(stream: DataFrame, at: str, length: str, by: Sequence[str], late: s
     return stream.withWatermark(at, late).groupBy(F.window(at, length), *by).agg(F.count("*").alias("n")).select("window.start", "window.end", *by, "n")
 
 
-def latest_state(table: KeyedTable, sheet: str) -> str:
-    """The read end point: the sheet's annotations by id as JSON, ``{}`` if there are none."""
+def state_rows(table: KeyedTable, sheet: str) -> DataFrame:
+    """verse_id and json (empty texts as null) of a sheet's annotations, as rows."""
     held = table.read()
     if held is None:
-        return "{}"
-    rows = held.where(F.col("sheet") == slug(F.lit(sheet))).drop("sheet", "at").toJSON().collect()  # one text's annotations
-    return json.dumps({r["verse_id"]: {k: (v if v != "" else None) for k, v in r.items()} for r in map(json.loads, rows)}, ensure_ascii=False)
+        return table.spark.createDataFrame([], "verse_id string, json string")
+    rows = held.where(F.col("sheet") == slug(F.lit(sheet)))
+    fields = [F.nullif(F.col(c), F.lit("")).alias(c) if kind == "string" else F.col(c) for c, kind in rows.dtypes if c not in ("sheet", "at")]
+    return rows.select("verse_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def latest_state(table: KeyedTable, sheet: str) -> str:
+    """The read end point: the sheet's annotations by id as one JSON text, ``{}`` if there are none. The answer to one request;
+    ``state_rows`` has them as a table."""
+    return json.dumps({r.verse_id: json.loads(r.json) for r in state_rows(table, sheet).collect()}, ensure_ascii=False)  # one text's annotations
 
 
 def posted_once(stream: DataFrame, keys: Sequence[str], at: str, late: str = "1 hour") -> DataFrame:

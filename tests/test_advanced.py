@@ -207,3 +207,39 @@ def test_posts_once_and_answers_within_an_interval(spark):
     log = spark.sql("SELECT * FROM VALUES (7, 'u', timestamp'2024-01-01 11:30:00'), (8, 'u', timestamp'2024-01-01 09:59:59'), (9, null, timestamp'2024-01-01 11:00:00'), (10, 'u', timestamp'2024-01-01 12:00:00') AS t(row, user, seen)")
     got = ingest.answered(posts, log, ["user"], "at", "seen", "1 HOUR", None)
     assert got.columns == ["post", "user", "at", "row", "seen"] and rows_of(got.select("post", "row")) == ["(2, 10)", "(2, 7)"]
+
+
+def stamped(prompt):
+    import os
+    import time
+
+    where, n = prompt.split("|")
+    with open(os.path.join(where, n), "w") as f:
+        f.write(str(time.time()))
+    return n
+
+
+def test_a_host_is_asked_at_its_rate_by_all_tasks_together(spark, tmp_path):
+    from granary.operators import annotate
+
+    rows = [(k, "slow" if k % 2 else "fast", f"{tmp_path}|{k}") for k in range(60)] + [(99, "slow", None), (100, None, f"{tmp_path}|100")]
+    df = spark.createDataFrame(rows, "id int, host string, prompt string")
+    got = {r.id: r for r in annotate.paced(df, stamped, ["id"], "host", {"slow": 20.0, "fast": 200.0}, rate=100.0, lanes=4).collect()}
+    assert len(got) == 62 and got[99].answer is None and got[99].tries == 0 and got[5].answer == "5" and got[100].answer == "100"
+    times = sorted(float((tmp_path / str(k)).read_text()) for k in range(1, 60, 2))
+    # Of 30 requests at 20 a second those after the lanes' first ones take a second at least; no second holds more than 20 and the lanes.
+    assert all(sum(t <= u < t + 1 for u in times) <= 24 for t in times)
+
+
+def test_rules_of_a_schema_file(spark, tmp_path):
+    import dataclasses
+
+    from granary.operators import schema, validate
+
+    path = shared.put(spark, f"{tmp_path}/schema.json", schema.document())
+    assert schema.read(spark, path) == schema.RULES
+    open_ = schema.read(spark, shared.put(spark, f"{tmp_path}/open.json", schema.document(dataclasses.replace(schema.RULES, closed=False, comments={}))))
+    entry = spark.createDataFrame([("f", "l", '{"verse_id": "AKAM-0001", "source_text": "Akananuru", "layer": "Sangam", "verse_number": "1", "classical_tamil": "x", "akam_or_puram": "Puram", "more": 1}')], "file string, label string, json string")
+    assert [r.message for r in validate.errors(entry).collect()] == ["is not an allowed property"] and validate.errors(entry, rules=open_).count() == 0
+    with pytest.raises(ValueError, match="format cannot be checked"):
+        schema.read(spark, shared.put(spark, f"{tmp_path}/odd.json", '{"properties": {"x": {"type": "string", "format": "date"}}}'))
