@@ -43,21 +43,30 @@ def slot_of(key: Column, text: Column, slots: int) -> Column:
 
 
 def records(docs: DataFrame, key: str, text: str, slots: int) -> DataFrame:
-    """doc_id, size, text_crc32, rid (a number of the row) and vslot of every row. The text itself goes no further."""
+    """doc_id, size, text_crc32, rid (a number of the row), vslot, and fine (the finer slot that it has where its slot is split:
+    a number that follows from slot and row alone) of every row. The text itself goes no further."""
     t = docs[text]
-    return docs.select(
+    rows = docs.select(
         docs[key].alias("doc_id"),
         (F.coalesce(F.octet_length(t), F.lit(0)) + F.lit(OVERHEAD)).cast("long").alias("size"),
         F.crc32(t).alias("text_crc32"),
         F.monotonically_increasing_id().alias("rid"),
         F.when(docs[key].isNull(), F.pmod(F.xxhash64(t), F.lit(slots)).cast("int")).otherwise(slot_of(docs[key], t, slots)).alias("vslot"),
     )
+    return rows.withColumn("fine", (F.lit(slots) + F.col("vslot") * FINE + F.pmod(F.xxhash64("rid"), F.lit(FINE))).cast("int"))
 
 
-def slot_stats(recs: DataFrame, slots: int) -> list[tuple[int, int, int]]:
-    """(vslot, bytes, rows) of every slot; at most ``slots`` rows reach the driver."""
-    found = {r.vslot: (r.b, r.n) for r in recs.groupBy("vslot").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()}
-    return [(s, *found.get(s, (0, 0))) for s in range(slots)]
+def slot_stats(recs: DataFrame, slots: int, split: list[int] | tuple = ()) -> list[tuple[int, int, int]]:
+    """(vslot, bytes, rows) of every slot, of the finer ones where a slot is split; at most slots x FINE rows reach the driver,
+    and far fewer as only hot slots are split."""
+    found = {r.vslot: (r.b, r.n) for r in recs.groupBy(_told_apart(split).alias("vslot")).agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()}
+    numbers = [s for s in range(slots) if s not in set(split)] + [slots + s * FINE + k for s in sorted(split) for k in range(FINE)]
+    return [(s, *found.get(s, (0, 0))) for s in numbers]
+
+
+def _told_apart(split: list[int] | tuple) -> Column:
+    """The slot of a row: the finer one if its slot is split."""
+    return F.when(F.col("vslot").isin(*split), F.col("fine")).otherwise(F.col("vslot")) if split else F.col("vslot")
 
 
 def build_map(stats: list[tuple[int, int, int]], shards: int) -> dict[int, int]:
@@ -147,16 +156,17 @@ def _spread(n: int, shards: int) -> list[int]:
     return [i % shards for i in range(n)]
 
 
-def split_hot(recs: DataFrame, stats: list[tuple[int, int, int]], shards: int, slots: int) -> DataFrame:
-    """Records whose slots hold too much for a balanced map go to finer slots: an id that a large share of
-    the rows has is one slot, whose rows are told apart by their own number."""
+def hot_slots(stats: list[tuple[int, int, int]], shards: int) -> list[int]:
+    """Slots that hold too much for a balanced map: fewer than shards x HOT. An id that a large share of the rows has is one
+    slot, whose rows are told apart by their own number."""
     total = sum(b for _, b, _ in stats)
-    hot = [s for s, b, _ in stats if total and b * shards * HOT > total and b > 0]  # fewer than shards x HOT
-    if not hot:
-        return recs
-    at = F.array_position(F.array(*[F.lit(s) for s in hot]), F.col("vslot"))
-    fine = F.lit(slots) + (at - 1) * FINE + F.pmod(F.xxhash64("rid"), F.lit(FINE))
-    return recs.withColumn("vslot", F.when(at > 0, fine).otherwise(F.col("vslot")).cast("int"))
+    return [s for s, b, _ in stats if total and b * shards * HOT > total and b > 0]
+
+
+def split_of(held: DataFrame, slots: int) -> list[int]:
+    """The slots that a version of the map has split, told by their finer slots; the version says it itself, so any version
+    places any rows as it placed them when it was made."""
+    return sorted(r.s for r in held.where(F.col("vslot") >= slots).select(F.floor((F.col("vslot") - slots) / FINE).cast("int").alias("s")).distinct().collect())
 
 
 def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", slots: int = SLOTS, store: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -165,21 +175,19 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text",
     0 is built. What is stored is what the rows are joined with."""
     spark = docs.sparkSession
     recs = written(records(docs, key, text, slots), "records")
-    stats = slot_stats(recs, slots)
-    fine = split_hot(recs, stats, shards, slots)
-    if fine is not recs:
-        recs, stats = fine, slot_stats(fine, slots + FINE * sum(b * shards * HOT > sum(x for _, x, _ in stats) for _, b, _ in stats))
     kept = SlotMap(spark, store or shared.fresh(spark, "slot-map"))
+    before = split_of(kept.read(), slots) if kept.versions() else []  # what is split stays so
+    split = sorted({*hot_slots(slot_stats(recs, slots), shards), *before})
+    stats = slot_stats(recs, slots, split)
     version = kept.rebalanced(stats, shards) if kept.versions() else kept.write(build_map(stats, shards), stats)
     held = kept.read(version)
-    return placed(recs, held), held
+    return placed(recs, held, slots), held
 
 
-def placed(recs: DataFrame, held: DataFrame) -> DataFrame:
-    """Records in the shards of a version of the map, with their places there."""
+def placed(recs: DataFrame, held: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """Records in the shards of a version of the map, with their places there. A record whose slot the map lacks is an error."""
+    rows = recs.withColumn("vslot", _told_apart(split_of(held, slots)))
     within = Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32", "rid")
-    return (
-        recs.withColumn("nth", F.row_number().over(within) - 1)
-        .join(F.broadcast(held.select("vslot", "shard", "base")), "vslot")  # at most slots + shards x HOT x FINE rows
-        .select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("nth")).cast("long").alias("slot"), "vslot")
-    )
+    found = rows.withColumn("nth", F.row_number().over(within) - 1).join(F.broadcast(held.select("vslot", "shard", "base")), "vslot", "left")  # at most slots + shards x HOT x FINE rows a version adds
+    shard_ = F.coalesce("shard", F.raise_error(F.concat(F.lit("no shard for slot "), F.col("vslot"))).cast("int"))
+    return found.select("doc_id", "size", "text_crc32", shard_.alias("shard"), (F.col("base") + F.col("nth")).cast("long").alias("slot"), "vslot")
