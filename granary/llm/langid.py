@@ -30,8 +30,9 @@ from granary.llm.util import tune
 DIM = 1024
 N = 3
 PER_LANG = 4000
-#: Languages that are learned, the most frequent ones.
-LANGUAGES = 500
+#: Languages that are learned, the most frequent ones: a prototype is 8 KB on the driver and in each task. It bounds a column
+#: that is no language, not the languages there are.
+LANGUAGES = 10_000
 SHARPNESS = 12.0
 #: n-grams whose vectors a worker remembers (4 KB each).
 REMEMBERED = 30_000
@@ -117,10 +118,11 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str, train: Column, per
     tune(docs.sparkSession, 64)
     usable = docs.where(train & docs[lang].isNotNull() & (docs[lang] != "") & docs[text].isNotNull())
     # The most frequent values; a column that is no language has many.
-    sizes = usable.groupBy(docs[lang].alias("_l")).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "_l").limit(LANGUAGES)
-    share = F.least(F.lit(1.0), F.lit(per_lang) / F.col("_n"))
-    chosen = usable.join(F.broadcast(sizes), docs[lang] == F.col("_l")).where(F.pmod(F.xxhash64(docs[doc_id], F.lit(9)), F.lit(1_000_000)) < share * 1_000_000)  # LANGUAGES rows
-    rows = chosen.select(docs[lang].alias("lang"), docs[text].alias("text")).repartition(12)
+    usable = usable.select(docs[lang].alias("lang"), docs[text].alias("text"), docs[doc_id].alias("doc_id"))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    share = F.least(F.lit(1.0), F.lit(per_lang) / F.col("n"))
+    chosen = usable.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000)) < share * 1_000_000)  # LANGUAGES rows
+    rows = chosen.select("lang", "text").repartition(12)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, sums = Space(), {}
@@ -131,9 +133,19 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str, train: Column, per
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["lang", "v"])
 
-    out: dict[str, np.ndarray] = {}
-    for r in sorted(rows.mapInArrow(run, "lang string, v binary").collect()):  # 12 rows a language at most
-        out[r.lang] = out.get(r.lang, 0) + np.frombuffer(bytes(r.v))
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
+        for b in batches:
+            for x, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if x != now and now is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([total.tobytes()], pa.binary())], names=["lang", "v"])
+                total = np.frombuffer(v) if x != now else total + np.frombuffer(v)
+                now = x
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([total.tobytes()], pa.binary())], names=["lang", "v"])
+
+    parts = rows.mapInArrow(run, "lang string, v binary").repartition(12, "lang").sortWithinPartitions("lang", "v")
+    out = {r.lang: np.frombuffer(bytes(r.v)) for r in parts.mapInArrow(summed, "lang string, v binary").collect()}  # one row a language
     return {k: v / max(np.linalg.norm(v), 1e-12) for k, v in sorted(out.items())}
 
 
