@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.llm.components import connected
-from granary.llm.util import Work, cut, release, tune
+from granary.llm.util import Work, cut, free_name, release, tune
 
 SEED = 42
 WIDTH = 3
@@ -538,7 +538,8 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
             ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
             wanted = cut(rows.select("doc_id", "id").join(ids, "id", "left_semi").groupBy("id").agg(F.min("doc_id").alias("low")))
             few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-            found = shingled(docs.join(few, docs[doc_id] == F.col("low"), "left_semi"), doc_id, text, width)
+            low = free_name(docs, "low")
+            found = shingled(docs.join(few.select(F.col("low").alias(low)), docs[doc_id] == F.col(low), "left_semi"), doc_id, text, width)
             # An id may have several rows with other texts; those sets go again here.
             return found.select("id", "s").join(ids, "id", "left_semi").dropDuplicates(["id"])
 
