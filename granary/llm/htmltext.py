@@ -39,6 +39,7 @@ _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z!?][^>]*>""",
     re.S | re.I,
 )
+_CLOSED = re.compile(r"</(?:script|style)\s*>\Z", re.I)
 _ATTR = re.compile(r"""\b(class|id|role|aria-label|hidden)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _NAME = re.compile(r"[a-z]{2,}")
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -68,8 +69,9 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
             held.clear()
         linked = 0
 
-    at = 0
-    for m in _TAG.finditer(page):
+    # What stands after the last '>' closes no tag; looking there for each '<' would take time by the square.
+    end, at = page.rfind(">") + 1, 0
+    for m in _TAG.finditer(page, 0, end):
         if m.start() > at:
             held.append(page[at : m.start()])
             if links:
@@ -77,6 +79,8 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
         at = m.end()
         tag = m[3]
         if not tag:
+            if at == end and (m[0].startswith("<!--") and not (len(m[0]) > 6 and m[0].endswith("-->")) or m[1] and not _CLOSED.search(m[0])):
+                at = len(page)  # a comment or script that nothing closes goes on to the end of the page
             continue
         tag = tag.lower()
         if m[2]:
@@ -117,7 +121,8 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
             stack.append((tag, words))
             links += tag == "a"
     if at < len(page):
-        held.append(page[at:])
+        rest = page[at:]
+        held.append(rest[: rest.find("<!--")] if "<!--" in rest else rest)
     flush()
     return out
 
