@@ -21,7 +21,7 @@ SELECT doc_id, lang, source, n_chars, quality, toxic, filled FROM (
   FROM documents d LEFT JOIN labels l USING (doc_id)) WHERE rn = 1
 """)
 def dedup_argmax_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    docs = table(spark, sf_dir, "documents").withColumn("text", dedup.digest("text")).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     best = dedup.most_complete(docs, ["text"], ["quality", "toxic"], [F.col("doc_id")], empties=(), keep_keyless=True)
     return best.select("doc_id", "lang", "source", "n_chars", "quality", "toxic", "filled")
 
