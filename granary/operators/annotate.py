@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from granary.functions.text import json_in_text
 from granary.operators import schema as S
 from granary.operators.validate import annotation_errors, null_fields
+from granary.sources import shared
 
 #: Statuses after which a request is tried again.
 RETRIED = frozenset({408, 425, 429, 500, 502, 503, 504})
@@ -188,14 +189,15 @@ def merged(df: DataFrame, patch: str, kinds: dict[str, str] | None = None, field
 
 def annotate(df: DataFrame, client: Callable[[str], str], key: str = "verse_id", skip_annotated: bool = True, limit: int | None = None, batch: int = 10, delay: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """(annotated entries, failures as key and reason). ``limit`` takes the first entries by key, and
-    only those are in the results."""
+    only those are in the results. Answers are asked for now and kept, so both results come from the same."""
     todo = df.orderBy(key).limit(limit) if limit is not None else df
     todo = todo.withColumn("_fields", null_fields(todo))
     open_ = todo.where(F.size("_fields") > 0) if skip_annotated else todo
     answers = ask(open_.withColumn("prompt", prompt(open_, F.col("_fields"))), client, [key], batch=batch, delay=delay)
     judged = answers.withColumn("patch", json_in_text(F.col("answer"))).withColumn("_why", annotation_errors("patch"))
     reason = F.when(F.col("answer").isNull(), "no answer").when(F.col("patch").isNull(), "no valid JSON found").when(F.size("_why") > 0, F.array_join("_why", "; "))
-    judged = judged.withColumn("reason", reason)
+    shared.folder(df.sparkSession)
+    judged = judged.select(key, F.to_json("patch").alias("_patch"), reason.alias("reason")).checkpoint().withColumn("patch", F.try_parse_json("_patch"))
     good = todo.join(judged.where("reason is null").select(key, "patch"), key, "left")
     out = merged(good, "patch", dict(df.dtypes)).select(*df.columns)
     return out, judged.where("reason is not null").select(key, "reason")

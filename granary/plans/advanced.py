@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.operators import annotate, lookups, match, plugins, sinks, sketches
+from granary.operators import annotate, lookups, match, plugins, segment, sinks, sketches
 from granary.operators.longkeys import Stretches
-from granary.plans import checks
+from granary.plans import checks, editions
 from granary.plans.registry import query, table
 from granary.sources import fetch, hub, shared
 from granary.streaming import ingest, keyed
@@ -303,3 +303,45 @@ def r1_handler(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema("at timestamp, body string").parquet(source)
     stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{out}/annotation", f"{out}/log").groupBy("action").agg(F.count("*").alias("n"))
+
+
+# Editions whose markup varies from row to row. ---------------------------------------------------
+
+_V, _P = editions.VERSE, editions.PAGE
+
+
+@query(f"""
+SELECT {_P} AS page, CAST(p_partkey AS VARCHAR) AS number, CASE p_partkey % 7 WHEN 4 THEN '' ELSE 'பாலை' END AS tinai, CASE p_partkey % 7 WHEN 4 THEN '' WHEN 5 THEN '' ELSE 'வாகை' END AS turai,
+       CASE p_partkey % 7 WHEN 3 THEN {_V} || ' ' || {_V} ELSE {_V} END AS text
+FROM part WHERE p_partkey % 7 = 3 OR p_partkey % 7 <> 1 AND p_size % 5 >= 2
+""")
+def g1_varied_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A short list before the verse, no list at all, tags inside the list, two long lists, no header, a header without a genre,
+    capital tags with attributes; by p_partkey % 7."""
+    heads = ["'. பாலை[வாகை.]'", "'. பாலை[வாகை.]'", "'. பாலை[வாகை.]'", "'. பாலை[வாகை.]'", "''", "'. பாலை'", "'. பாலை[வாகை.]'"]
+    lists = [
+        "'<ul>தமிழ்</ul><ul>', verse, ' 12</ul>'", "'<p>', verse, '</p>'", "'<ul><li><b>', verse, '</b><i> </i> 7</ul>'", "'<ul>', verse, '</ul><ul>', verse, ' ', verse, '</ul>'",
+        "'<ul>', verse, '</ul>'", "'<ul>', verse, '</ul>'", "'<UL class=\"x\">', verse, ' 3</UL>'",
+    ]
+    case = lambda xs: "CASE p_partkey % 7 " + " ".join(f"WHEN {k} THEN concat({x})" for k, x in enumerate(xs)) + " END"
+    heading = "CASE p_partkey % 7 WHEN 6 THEN concat('<H3 align=\"center\"> செய்யுள்  ', p_partkey, ' </H3>') ELSE concat('<h3>செய்யுள் ', p_partkey, '</h3>') END"
+    number = "CASE p_partkey % 7 WHEN 4 THEN '' ELSE CAST(p_partkey AS STRING) END"
+    return segment.heading_longest_list(editions.edition(spark, sf_dir, f"{heading}, {number}, {case(heads)}, {case(lists)}"), "html", ["page"])
+
+
+@query(f"""
+SELECT {_P} AS page, '2.' || ({_P} + 1) AS section, 'Title' AS title, CASE WHEN {_P} % 2 = 0 THEN 'இந்தளம்' ELSE '' END AS tune, CAST(CASE p_partkey % 6 WHEN 2 THEN 5 ELSE p_partkey % 1000 + 1 END AS VARCHAR) AS number,
+       CAST(1469 + CASE p_partkey % 6 WHEN 2 THEN 5 ELSE p_partkey % 1000 + 1 END AS INT) AS global_number, {_V} AS text
+FROM part WHERE p_partkey % 6 NOT IN (1, 3, 5) AND {_P} < 250
+""")
+def g4_varied_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in order, without a number, with a number that repeats, with one out of range, with tags inside, with too short a verse;
+    by p_partkey % 6. Every second page lacks its tune."""
+    cells = [
+        "'<tr><td valign=top>', p_partkey % 1000 + 1, '. <td>', verse, ' 1.2.3<td valign=\"bottom\">2.3.1</tr>'", "'<tr><td valign=top>. <td>', verse, '<td valign=bottom>x</tr>'",
+        "'<tr><td valign=top>5 <td>', verse, '<td valign=bottom>2.3.1</tr>'", "'<tr><td valign=top>2001. <td>', verse, '<td valign=bottom>2.3.1</tr>'",
+        "'<tr><td align=left valign=\\'top\\'>', p_partkey % 1000 + 1, '.<td><font color=red>', verse, '</font><td valign=bottom>2.3.1</tr>'", "'<tr><td valign=top>', p_partkey % 1000 + 1, '. <td>தமிழ்<td valign=bottom>2.3.1</tr>'",
+    ]
+    row = "CASE p_partkey % 6 " + " ".join(f"WHEN {k} THEN concat({x})" for k, x in enumerate(cells)) + " END"
+    head = "'<h3><font color=blue>2.', page + 1, '. Title. </font></h3>', if(page % 2 = 0, '<b>பண் - இந்தளம்</b>', '')"
+    return segment.table_rows(editions.edition(spark, sf_dir, row, head).withColumn("part", F.lit(2)), "html", ["page"], "part", {1: 0, 2: 1469, 3: 2800})

@@ -243,3 +243,33 @@ def test_rules_of_a_schema_file(spark, tmp_path):
     assert [r.message for r in validate.errors(entry).collect()] == ["is not an allowed property"] and validate.errors(entry, rules=open_).count() == 0
     with pytest.raises(ValueError, match="format cannot be checked"):
         schema.read(spark, shared.put(spark, f"{tmp_path}/odd.json", '{"properties": {"x": {"type": "string", "format": "date"}}}'))
+
+
+ASKED = []
+
+
+def answering(prompt):
+    from granary.operators import annotate
+
+    ASKED.append(prompt)
+    if "gamma" in prompt:
+        raise annotate.Failed(400)
+    return 'Here: {"thinai": "Palai"}'
+
+
+def test_annotate_and_fetch_commands(spark, tmp_path):
+    from granary import __main__ as commands
+
+    entry = lambda k, t, thinai: {"verse_id": f"AKAM-000{k}", "source_text": "Akananuru", "layer": "Sangam", "verse_number": str(k), "classical_tamil": t, "akam_or_puram": "Akam", "thinai": thinai}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps([entry(1, "alpha", None), entry(2, "beta", "Mullai"), entry(3, "gamma", None)]))
+    out = f"{tmp_path}/out"
+    assert commands.run(spark, ["annotate", f"{tmp_path}/in", "--client", "tests.test_advanced:answering", "--out", out, "--dry-run"]) == 0
+    assert commands.run(spark, ["annotate", f"{tmp_path}/in", "--client", "tests.test_advanced:answering", "--out", out, "--delay", "0"]) == 1
+    assert {(r.verse_id, r.thinai) for r in spark.read.json(f"{out}_annotated").collect()} == {("AKAM-0001", "Palai"), ("AKAM-0002", "Palai"), ("AKAM-0003", None)}
+    assert [(r.verse_id, r.reason) for r in spark.read.json(f"{out}_failed").collect()] == [("AKAM-0003", "no answer")]
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "m.json").write_text(json.dumps({"filename": "a", "url": "http://h.org/a"}) + "\n" + json.dumps({"filename": "b", "url": "http://h.org/gone"}))
+    args = ["fetch", f"{tmp_path}/m", "--fetcher", "tests.test_advanced:answer", "--out", f"{tmp_path}/got", "--gap", "0"]
+    assert commands.run(spark, [*args, "--dry-run"]) == 0 and commands.run(spark, args) == 0
+    assert {(r.filename, r.status) for r in spark.read.parquet(f"{tmp_path}/got").collect()} == {("a", "success"), ("b", "not_found")}
