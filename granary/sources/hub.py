@@ -10,7 +10,8 @@ starting with or ending with a text is tested while reading. It is for a table t
 Python reader with the loaded table, so a second, other filter on the same table would meet what the first has left.
 
 ``granary_fetch`` fetches what a manifest (JSON lines of filename and url) lists: a task for each host, which waits ``gap`` seconds
-between requests, so no host is asked by two tasks at once. The options ``host`` and ``filename``
+between requests, so no host is asked by two tasks at once. Of a manifest of more than ``LISTED`` rows each task reads all and
+takes the rows of its hosts, by a hash of the host, so nothing but file names comes to the driver. The options ``host`` and ``filename``
 (with ``pushdown``, filters on them) leave requests out. The option
 ``fetcher`` names a function (``module:function``) that gives the bytes of a url.
 
@@ -24,6 +25,7 @@ import json
 import posixpath
 import re
 import time
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from urllib.parse import urlsplit
@@ -36,8 +38,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from granary.sources.fetch import get
 
 CHUNK, READ = 64 << 20, 4 << 20
-#: Rows of a manifest that is planned on the driver; ``fetch.fetch_all`` takes tables of any size.
-LISTED = 100_000
+#: Rows of a manifest that is planned on the driver, and the lanes that the hosts of a longer one are dealt to.
+LISTED, LANES = 100_000, 48
 
 
 def register(spark: SparkSession) -> None:
@@ -181,6 +183,11 @@ class Host(InputPartition):
     rows: list[tuple[str, str]]
 
 
+@dataclass
+class Lane(InputPartition):
+    number: int
+
+
 class FetchSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -199,29 +206,39 @@ class FetchReader(DataSourceReader):
         self.tries, self.gap, self.wait = int(options.get("tries", 3)), float(options.get("gap", 2.0)), float(options.get("wait", 5.0))
         self.hosts, self.names = _names(options, "host"), _names(options, "filename")
 
-    def partitions(self) -> Sequence[InputPartition]:
-        by_host: dict[str, list[tuple[str, str]]] = {}
-        listed = 0
+    def _listed(self) -> Iterator[tuple[str, str, str]]:
+        """host, filename, url of the manifest's rows that are asked for."""
         for path, size in files(self.path):
             for _, raw in lines_of(self.path, Chunk("", path, 0, size)):
                 if raw.strip():
                     row = json.loads(raw)
                     host = urlsplit(row["url"]).hostname or ""
-                    listed += 1
-                    if listed > LISTED:
-                        raise ValueError(f"a manifest of more than {LISTED} rows; use fetch_all")
                     if (self.hosts is None or host in self.hosts) and (self.names is None or row["filename"] in self.names):
-                        by_host.setdefault(host, []).append((row["filename"], row["url"]))
+                        yield host, row["filename"], row["url"]
+
+    def partitions(self) -> Sequence[InputPartition]:
+        by_host: dict[str, list[tuple[str, str]]] = {}
+        for k, (host, filename, url) in enumerate(self._listed()):
+            if k == LISTED:
+                return [Lane(n) for n in range(LANES)]
+            by_host.setdefault(host, []).append((filename, url))
         return [Host(h, rows) for h, rows in sorted(by_host.items())] or [Host("", [])]
 
-    def read(self, part: Host) -> Iterator[tuple]:
+    def read(self, part: Host | Lane) -> Iterator[tuple]:
         module, _, name = self.fetcher.partition(":")
         fetch = getattr(importlib.import_module(module), name)
-        for k, (filename, url) in enumerate(part.rows):
-            if k and self.gap:
-                time.sleep(self.gap)
+        if isinstance(part, Host):
+            rows = ((part.host, *r) for r in part.rows)
+        else:
+            rows = (r for r in self._listed() if zlib.crc32(r[0].encode()) % LANES == part.number)
+        free: dict[str, float] = {}  # when a host may be asked again
+        for host, filename, url in rows:
+            if self.gap and host in free:
+                time.sleep(max(0.0, free[host] - time.monotonic()))
             status, data, warning = get(fetch, url, self.tries, self.wait)
-            yield part.host, filename, url, status, warning, data
+            if self.gap:
+                free[host] = time.monotonic() + self.gap
+            yield host, filename, url, status, warning, data
 
 
 class PushedFetchReader(FetchReader):
