@@ -40,7 +40,9 @@ class Stretches:
         shares = [k / count for k in range(1, count)] or [0.5]
         cuts = df.groupBy(*self.by).agg(F.count("*").alias("_n"), F.percentile_approx(at, shares).alias("_cuts")).where(F.col("_n") > most)
         cuts = cuts.select(*[F.col(c).alias(f"_by{k}") for k, c in enumerate(self.by)], F.array_distinct("_cuts").alias("_cuts"))
-        number = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col(at))), F.lit(0))
+        # How many cuts are not beyond a row, by halving: ten looks at up to 1023 cuts.
+        halves = F.array(*[F.lit(1 << k) for k in reversed(range(count.bit_length()))])
+        number = F.aggregate(halves, F.lit(0), lambda n, h: F.when(F.get("_cuts", n + h - 1) <= F.col(at), n + h).otherwise(n))
         self.rows = df.join(sized(cuts), self._same("_by"), "left").withColumn(self.column, F.when(F.col("_cuts").isNull(), 0).otherwise(number)).select(*df.columns, self.column)
         self.plain = self.rows
 
