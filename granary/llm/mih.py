@@ -9,8 +9,11 @@ the others within one bit less. Probes are rows too, and meet the index rows of
 value. A pair is taken at the first substring that brings it, so it is found once.
 
 The radius grows for each query until enough codes lie within it: most queries of clustered data end at
-a small one. Those codes are ranked by distance of the original vectors, in double precision. What no
-radius finds enough for is compared with all entries, in blocks.
+a small one. Where the data are spread evenly, a radius that holds the nearest holds a fixed share of all
+codes. So codes go on beyond the substrings, to LONG bits: what lies within the radius is counted by how many
+of all bits differ, and only the nearest by that count, a fixed number for each query, are written as pairs
+and ranked by distance of the original vectors, in double precision. What no radius finds enough for is
+compared with all entries, in blocks.
 
 Equal vectors are one entry of the index, with the ids that can matter: the smallest k + 1, as ties
 go to smaller ids. So a vector that fills a third of the table is compared once. A substring value that
@@ -25,6 +28,7 @@ returned; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +40,13 @@ from granary.llm.util import cut, tune
 
 BITS, WIDTH = 128, 8
 SUBSTRINGS = BITS // WIDTH
-WORDS = BITS // 64
+#: Bits of a whole code, of which the first BITS are the substrings.
+LONG = 512
 #: Radii that are tried one after another, and codes (times k + 1) that have to lie within one.
 RADII = (18, 34, 53, 60)
 ENOUGH = 16
+#: Codes (times k + 1) that are ranked by vectors; they are counted by so many differing bits at a time.
+SHORT, COUNTED = 32, 4
 SAMPLE = 20_000
 PART = 20_000  # index rows of one value that a task compares at a time
 BLOCK = 4096  # entries that a task compares with queries that no radius settles
@@ -55,7 +62,7 @@ def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def learn(vectors: DataFrame, dim: int, sample: int = SAMPLE, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and rotations (dim x BITS) of a sample of about ``sample`` vectors, chosen by hash."""
+    """Mean and rotations (dim x LONG) of a sample of about ``sample`` vectors, chosen by hash."""
     n = vectors.count()
     share = min(1.0, sample / max(n, 1))
     got = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1_000_000)) < share * 1_000_000).orderBy("vec_id").select("v").toArrow()
@@ -66,17 +73,18 @@ def learn(vectors: DataFrame, dim: int, sample: int = SAMPLE, rounds: int = 30)
     _, vecs = np.linalg.eigh(x.T @ x)
     w = vecs[:, ::-1][:, :k]
     p, out = x @ w, []
-    while sum(r.shape[1] for r in out) < BITS:
+    while sum(r.shape[1] for r in out) < LONG:
         r = np.linalg.qr(np.random.default_rng(len(out)).standard_normal((k, k)))[0]
-        for _ in range(rounds):  # the rotation that brings the data nearest to the corners of the cube
+        # The rotation that brings the data nearest to the corners of the cube; beyond the substrings a random one.
+        for _ in range(rounds if sum(r.shape[1] for r in out) < BITS else 0):
             a, _, b = np.linalg.svd(np.sign(p @ r).T @ p)
             r = (a @ b).T
         out.append(w @ r)
-    return mean, np.concatenate(out, axis=1)[:, :BITS]
+    return mean, np.concatenate(out, axis=1)[:, :LONG]
 
 
 def coded(vectors: DataFrame, mean: np.ndarray, rotation: np.ndarray) -> DataFrame:
-    """The rows with their code, binary of BITS bits."""
+    """The rows with their code, binary of LONG bits."""
     held = vectors.sparkSession.sparkContext.broadcast((mean, rotation))
 
     def run(batches):
@@ -103,16 +111,16 @@ def limits(radius: int) -> np.ndarray:
     return np.array([base if k <= more else base - 1 for k in range(SUBSTRINGS)])
 
 
-ROWS = "sub int, value int, part int, query boolean, id long, code binary"
+ROWS = "sub int, value int, part int, query boolean, id long, code binary, most int"
 
 
-def _rows(b: pa.RecordBatch, sub: np.ndarray, value: np.ndarray, part: np.ndarray, query: bool, at: np.ndarray) -> pa.RecordBatch:
-    cols = [pa.array(sub, pa.int32()), pa.array(value, pa.int32()), pa.array(part, pa.int32()), pa.array(np.full(len(at), query)), b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at))]
-    return pa.RecordBatch.from_arrays(cols, names=["sub", "value", "part", "query", "id", "code"])
+def _rows(b: pa.RecordBatch, sub: np.ndarray, value: np.ndarray, part: np.ndarray, query: bool, at: np.ndarray, most: np.ndarray) -> pa.RecordBatch:
+    cols = [pa.array(sub, pa.int32()), pa.array(value, pa.int32()), pa.array(part, pa.int32()), pa.array(np.full(len(at), query)), b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(most[at], pa.int32())]
+    return pa.RecordBatch.from_arrays(cols, names=["sub", "value", "part", "query", "id", "code", "most"])
 
 
 def _codes(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, SUBSTRINGS)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(max(1, len(column)), -1)
 
 
 def indexed(entries: DataFrame, parts: int) -> DataFrame:
@@ -123,47 +131,82 @@ def indexed(entries: DataFrame, parts: int) -> DataFrame:
             if b.num_rows:
                 codes, n = _codes(b.column(1)), b.num_rows
                 part = (b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(parts)
-                yield _rows(b, np.tile(np.arange(SUBSTRINGS), n), codes.ravel(), np.repeat(part.astype(np.int64), SUBSTRINGS), False, np.repeat(np.arange(n), SUBSTRINGS))
+                yield _rows(b, np.tile(np.arange(SUBSTRINGS), n), codes[:, :SUBSTRINGS].ravel(), np.repeat(part.astype(np.int64), SUBSTRINGS), False, np.repeat(np.arange(n), SUBSTRINGS), np.zeros(n, int))
 
     return entries.select("entry", "code").mapInArrow(run, ROWS)
 
 
 def probes(queries: DataFrame, radius: int, parts: int) -> DataFrame:
-    """A row for each substring value that a query has to look at, in every part."""
+    """A row for each substring value that a query (query, code, most) has to look at, in every part."""
     within = limits(radius)
 
     def run(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 64):
                 some = b.slice(lo, 64)
-                codes, n = _codes(some.column(1)), some.num_rows
+                codes, most, n = _codes(some.column(1)), some.column(2).to_numpy(zero_copy_only=False), some.num_rows
                 for k in range(SUBSTRINGS):
                     if within[k] >= 0:
                         flips = masks(int(within[k]))
                         value = np.repeat((codes[:, k].astype(np.int64)[:, None] ^ flips).ravel(), parts)
                         at = np.repeat(np.arange(n), len(flips) * parts)
-                        yield _rows(some, np.full(len(at), k), value, np.tile(np.arange(parts), n * len(flips)), True, at)
+                        yield _rows(some, np.full(len(at), k), value, np.tile(np.arange(parts), n * len(flips)), True, at, most)
 
-    return queries.select("query", "code").mapInArrow(run, ROWS)
+    return queries.select("query", "code", "most").mapInArrow(run, ROWS)
 
 
-def within(index: DataFrame, queries: DataFrame, radius: int, parts: int) -> DataFrame:
-    """query, entry: every pair of codes that differ in at most ``radius`` bits, once."""
+class Counts:
+    """How many codes are at each distance of each query, summed up in a task."""
+
+    def __init__(self, rows: int = 400_000):
+        self.rows, self.parts, self.held = rows, [], 0
+
+    def add(self, query: np.ndarray, far: np.ndarray) -> None:
+        if len(query):
+            self.parts.append((query, far, np.ones(len(query), np.int64)))
+            self.held += len(query)
+
+    def summed(self) -> pa.RecordBatch:
+        query, far, n = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.lexsort((far, query))
+        query, far, n = query[order], far[order], n[order]
+        first = np.flatnonzero(np.r_[True, (np.diff(query) != 0) | (np.diff(far) != 0)])
+        self.parts = [(query[first], far[first], np.add.reduceat(n, first))]
+        self.held = len(first)
+        return pa.RecordBatch.from_arrays([pa.array(query[first]), pa.array(far[first].astype(np.int32)), pa.array(self.parts[0][2])], names=["query", "far", "n"])
+
+    def full(self) -> Iterator[pa.RecordBatch]:
+        """The counts so far, if even summed up they are many."""
+        if self.held > self.rows:
+            out = self.summed()
+            if self.held > self.rows // 2:
+                self.parts, self.held = [], 0
+                yield out
+
+
+def within(index: DataFrame, queries: DataFrame, radius: int, parts: int, pairs: bool = True) -> DataFrame:
+    """query, entry: every pair of codes that differ in at most ``radius`` of the substrings' bits, once; if the queries have a column
+    ``most``, those that are at most so far by COUNTED differing bits of the whole codes. Or (not ``pairs``) how many there are:
+    query, far, n, each query's to be summed."""
     limit = limits(radius)
+    queries = queries if "most" in queries.columns else queries.withColumn("most", F.lit(1 << 30))
 
-    def compared(sub: int, entry: np.ndarray, own: np.ndarray, query: np.ndarray, theirs: np.ndarray):
+    def compared(sub: int, entry: np.ndarray, own: np.ndarray, query: np.ndarray, theirs: np.ndarray, most: np.ndarray) -> Iterator[tuple]:
+        own_sub, their_sub = (np.ascontiguousarray(x[:, :SUBSTRINGS]) for x in (own, theirs))
         for lo in range(0, len(query), max(1, 400_000 // max(len(entry), 1))):
             hi = lo + max(1, 400_000 // max(len(entry), 1))
-            gap = np.bitwise_count(own.view(np.uint64)[None, :, :] ^ theirs[lo:hi].view(np.uint64)[:, None, :]).sum(axis=2, dtype=np.int16)
+            gap = np.bitwise_count(own_sub.view(np.uint64)[None, :, :] ^ their_sub[lo:hi].view(np.uint64)[:, None, :]).sum(axis=2, dtype=np.int16)
             at, of = np.nonzero(gap <= radius)
-            each = np.bitwise_count(own[of] ^ theirs[lo:hi][at]) <= limit
-            first = each.argmax(axis=1) == sub
-            yield pa.RecordBatch.from_arrays([pa.array(query[lo:hi][at[first]]), pa.array(entry[of[first]])], names=["query", "entry"])
+            first = (np.bitwise_count(own_sub[of] ^ their_sub[lo:hi][at]) <= limit).argmax(axis=1) == sub
+            at, of = at[first], of[first]
+            far = np.bitwise_count(own.view(np.uint64)[of] ^ theirs[lo:hi].view(np.uint64)[at]).sum(axis=1, dtype=np.int64) // COUNTED
+            near = far <= most[lo:hi][at] if pairs else slice(None)
+            yield query[lo:hi][at][near], entry[of][near], far[near]
 
     def run(batches):
-        key, entries, codes = None, [], []
+        key, entries, codes, counts = None, [], [], Counts()
         for b in batches:
-            cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
+            cols = [b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 4, 6)]
             raw = _codes(b.column(5))
             new = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0) | (np.diff(cols[2]) != 0)) + 1
             for lo, hi in zip([0, *new.tolist()], [*new.tolist(), b.num_rows]):
@@ -178,10 +221,18 @@ def within(index: DataFrame, queries: DataFrame, radius: int, parts: int) -> Dat
                     codes.append(raw[lo:hi][~asks])
                 if asks.any() and entries:
                     entries, codes = [np.concatenate(entries)], [np.ascontiguousarray(np.concatenate(codes))]
-                    yield from compared(key[0], entries[0], codes[0], cols[4][lo:hi][asks], np.ascontiguousarray(raw[lo:hi][asks]))
+                    for query, entry, far in compared(key[0], entries[0], codes[0], cols[4][lo:hi][asks], np.ascontiguousarray(raw[lo:hi][asks]), cols[5][lo:hi][asks]):
+                        if pairs:
+                            yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(entry)], names=["query", "entry"])
+                        else:
+                            counts.add(query, far)
+                            yield from counts.full()
+        if counts.parts:
+            yield counts.summed()
 
     rows = index.unionByName(probes(queries, radius, parts))
-    return rows.repartition("sub", "value", "part").sortWithinPartitions("sub", "value", "part", "query").mapInArrow(run, "query long, entry long")
+    rows = rows.repartition("sub", "value", "part").sortWithinPartitions("sub", "value", "part", "query")
+    return rows.mapInArrow(run, "query long, entry long" if pairs else "query long, far int, n long")
 
 
 def ranked(pairs: DataFrame, entries: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -239,10 +290,17 @@ def nearest(entries: DataFrame, queries: DataFrame, k: int, radii: tuple[int, ..
     n = entries.count()
     parts = max(1, -(-n // ((1 << WIDTH) * PART)))
     index, open_, out = cut(indexed(entries, parts)), queries, None
+    counted = Window.partitionBy("query").orderBy("far")
     for radius in radii:
-        pairs = cut(within(index, open_.select("query", "code"), radius, parts))
-        full = cut(pairs.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= min(enough * (k + 1), n)).select("query"))
-        settled = ranked(pairs.join(full, "query", "left_semi"), entries, open_, k)
+        counts = within(index, open_.select("query", "code"), radius, parts, False).groupBy("query", "far").agg(F.sum("n").alias("n"))
+        upto = counts.withColumn("upto", F.sum("n").over(counted))
+        # Up to where so many are counted, or to the last, of the queries that have enough.
+        most = F.coalesce(F.min(F.when(F.col("upto") >= SHORT * (k + 1), F.col("far"))), F.max("far")).alias("most")
+        full = cut(upto.groupBy("query").agg(most, F.max("upto").alias("n")).where(F.col("n") >= min(enough * (k + 1), n)).select("query", "most"))
+        if full.isEmpty():
+            continue
+        pairs = within(index, open_.join(full, "query").select("query", "code", "most"), radius, parts, True)
+        settled = cut(ranked(pairs, entries, open_, k))
         out = settled if out is None else out.unionByName(settled)
         open_ = cut(open_.join(full, "query", "left_anti"))
         if open_.isEmpty():

@@ -3,9 +3,10 @@
 import random
 import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from granary.llm import htmltext, langid, sharding, simhash
+from granary.llm import htmltext, langid, mih, sharding, simhash
 
 
 def test_any_version_places_any_records(spark):
@@ -60,3 +61,18 @@ def test_broken_markup_is_read_in_linear_time():
     assert texts("<p>a</p><!-- <b>no</b> more") == ["a"] and texts("<p>a</p>b <!-- no") == ["a", "b"]
     assert texts("<p>a</p><script>if (a > b) x") == ["a"] and texts("<p>a</p><script>x > 1</script>b < c") == ["a", "b < c"]
     assert texts("<p>a <br>tail <unclosed") == ["a", "tail <unclosed"] and texts("no tags") == ["no tags"] and texts(None) == []
+
+
+def test_as_many_vectors_are_ranked_in_a_larger_table(spark, monkeypatch):
+    """op1_mih: all codes within the radius were, which is a fixed share of evenly spread data."""
+    seen, ranked = [], mih.ranked
+    monkeypatch.setattr(mih, "ranked", lambda pairs, *rest: seen.append(pairs.count()) or ranked(pairs, *rest))
+    monkeypatch.setattr(mih, "SHORT", 16)
+    x = np.random.default_rng(9).standard_normal((6000, 48))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    for n in (3000, 6000):
+        seen.clear()
+        found = {(r.query_id, r.vec_id) for r in mih.search(df.where(f"vec_id < {n}")).collect()}
+        true = {(q, v) for q, _, v, _ in mih.brute_force(spark, df.where(f"vec_id < {n}"))}
+        assert len(found) == len(true) and len(found & true) >= 0.85 * len(true)
+        assert sum(seen) <= 2 * 16 * 11 * n // 100
