@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as X
 from granary.operators import annotate, contain, dedup, lookups, match, profile, project, rules, segment, sinks, validate
-from granary.plans.registry import QUERIES, SQL, query, table
+from granary.plans.registry import QUERIES, SQL, query, spread, table
 from granary.sources import corpus, shared
 from granary.streaming import ingest
 
@@ -307,10 +307,10 @@ s AS (SELECT doc_id, md5(t) AS text_md5, list_filter(string_split(t, ' '), lambd
 SELECT doc_id, text_md5, CAST(len(tok) AS INT) AS tokens, CAST(len(list_distinct(tok)) AS INT) AS distinct_tokens, CAST(grams AS INT) AS trigrams, CAST(len(ltok) AS INT) AS line_tokens FROM s
 """)
 def token_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "documents").select("doc_id", X.normalize(F.col("text")).alias("t"), X.first_line(F.col("text")).alias("l"))
+    n = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", X.normalize(F.col("text")).alias("t"), X.first_line(F.col("text")).alias("l"))
     return n.select(
         "doc_id", F.md5("t").alias("text_md5"), F.size(X.tokens(F.col("t"))).alias("tokens"), F.size(F.array_distinct(X.tokens(F.col("t")))).alias("distinct_tokens"),
-        F.size(X.ngrams(F.col("t"))).alias("trigrams"), F.size(F.array_distinct(X.tokens(F.col("l")))).alias("line_tokens"),
+        F.size(match.packed_trigrams(F.coalesce("t", F.lit("")))).alias("trigrams"), F.size(F.array_distinct(X.tokens(F.col("l")))).alias("line_tokens"),
     )
 
 
