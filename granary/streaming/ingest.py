@@ -9,6 +9,7 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -124,6 +125,14 @@ class KeyedTable:
             self._opened()
         at, ties = self.layout["at"], [F.col(t) for t in self.layout["ties"]]
         bucket = F.pmod(F.xxhash64(*self.layout["keys"]), F.lit(self.layout["buckets"])).cast("int")
+        # What counts of a batch is its last row of each key; it is worked out once, however often it is needed here.
+        batch = upserted(None, batch, self.layout["keys"], at, ties).persist(StorageLevel.DISK_ONLY)
+        try:
+            return self._merged(batch, number, tries, bucket, at, ties)
+        finally:
+            batch.unpersist()
+
+    def _merged(self, batch: DataFrame, number: int, tries: int, bucket: Column, at: str, ties: list[Column]) -> bool:
         touched = sorted(r.b for r in batch.select(bucket.alias("b")).distinct().collect())  # at most ``buckets``
         for _ in range(tries):
             last = max(self.versions(), default=-1)
@@ -133,7 +142,9 @@ class KeyedTable:
             folder = f"{last + 1}-{uuid.uuid4().hex[:12]}"
             if touched:
                 out = upserted(self._rows(held["buckets"], touched), batch, self.layout["keys"], at, ties)
-                out.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/rows/version={folder}")
+                files = max(1, self.spark.sparkContext.defaultParallelism // self.layout["buckets"])  # few buckets are written by all cores
+                share = F.pmod(F.xxhash64(*self.layout["keys"], F.lit(1)), F.lit(files))
+                out.withColumn("bucket", bucket).repartition("bucket", share).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/rows/version={folder}")
             now = {"buckets": held["buckets"] | {str(b): folder for b in touched}, "writers": held["writers"] | {self.writer: number}}
             if shared.put_new(self.spark, f"{self.path}/versions/{last + 1}.json", json.dumps(now)):
                 self._forget()
