@@ -15,9 +15,10 @@ links that join two groups are kept, so a crowd does not give all its pairs. Com
 ``components.connected``.
 
 ``deduplicate`` is for texts that must be alike: its groups are the components of all pairs whose
-five-word shingles have a Jaccard similarity of 0.8 or more, and one document of each stays. No
-fingerprint of 64 bits tells that within few bits, so pairs come from an exact join by the first
-shingles of each text, and a link counts once it is verified.
+five-word shingles have a Jaccard similarity of 0.8 or more, and one document of each stays. Sets of
+shingles are linked by their fingerprints, as above; a link counts once the sets have been compared. As
+no fingerprint of 64 bits tells such a similarity within few bits, an exact join by the first shingles
+of each text follows, which finds the pairs between what fingerprints have not joined.
 
 Defined results: null or blank texts have fingerprint zero and are linked like any other; repeated
 rows each get a row; rows with a null id are linked too and get their component's smallest id (null
@@ -68,12 +69,22 @@ def fingerprint(text: str | None, width: int = WIDTH) -> int:
     digest = xxhash.xxh64_digest
     ones, n = np.zeros(64, dtype=np.int64), len(starts)
     for k in range(0, n, 32768):  # bounded memory for very long texts
-        raw = b"".join([digest(joined[s:e], SEED) for s, e in zip(starts[k : k + 32768], ends[k : k + 32768])])
-        bits = np.unpackbits(np.frombuffer(raw, dtype=np.uint8).reshape(-1, 8), axis=1)
-        ones += np.add.reduce(bits, axis=0, dtype=np.int64) if len(bits) > 255 else bits.sum(axis=0, dtype=np.uint8)
+        ones += _ones(b"".join([digest(joined[s:e], SEED) for s, e in zip(starts[k : k + 32768], ends[k : k + 32768])]))
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def _ones(raw: bytes) -> np.ndarray:
+    """How many of these hashes have each bit."""
+    bits = np.unpackbits(np.frombuffer(raw, dtype=np.uint8).reshape(-1, 8), axis=1)
+    return np.add.reduce(bits, axis=0, dtype=np.int64) if len(bits) > 255 else bits.sum(axis=0, dtype=np.uint8)
+
+
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """The fingerprint of a set of shingles, as an unsigned integer; zero if it is empty."""
+    ones = sum((_ones(hashes[k : k + 32768].astype(">u8").tobytes()) for k in range(0, len(hashes), 32768)), np.zeros(64, dtype=np.int64))
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
 def fingerprints(docs: DataFrame, doc_id: str, text: str, of: Callable[[str | None], int] = fingerprint, digest: Column | None = None) -> DataFrame:
     """doc_id, fp (as a signed long) and digest of every row."""
     tune(docs.sparkSession)
@@ -365,23 +376,25 @@ def common_shingles(docs: DataFrame, text: str, width: int, similarity: float) -
 
 
 def begun(docs: DataFrame, doc_id: str, text: str, width: int, similarity: float) -> DataFrame:
-    """doc_id, id, n, first: the size of every row's set of shingles, and its first shingles in one
-    order, common ones last. The set itself goes no further; it is made again for the few that need it."""
+    """doc_id, id, n, fp, first: the size and fingerprint of every row's set of shingles, and its first shingles
+    in one order, common ones last. The set itself goes no further; it is made again for the few that need it."""
     listed = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text, width, similarity))
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            ids, sizes, firsts = [], [], []
+            ids, sizes, prints, firsts = [], [], [], []
             for t in b.column(1):
                 x = shingle_hashes(t.as_py(), width)
                 last = np.searchsorted(listed.value, x, "right") > np.searchsorted(listed.value, x, "left")
                 ids.append(set_id(x.tobytes()))
                 sizes.append(len(x))
+                prints.append(set_fingerprint(x))
                 firsts.append(np.concatenate([x[~last], x[last]])[: prefix_length(len(x), similarity)].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.binary())], names=["doc_id", "id", "n", "first"])
+            fp = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), fp, pa.array(firsts, pa.binary())], names=["doc_id", "id", "n", "fp", "first"])
 
-    return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).mapInArrow(run, f"doc_id {id_type}, id long, n int, first binary")
+    return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).mapInArrow(run, f"doc_id {id_type}, id long, n int, fp long, first binary")
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
@@ -473,18 +486,33 @@ def formed(few: DataFrame, similarity: float) -> DataFrame:
     return pairs.where("c >= due and left >= 0").select("a", "b")
 
 
+def linked(sets: DataFrame, similarity: float, bits: int = BITS) -> DataFrame:
+    """a, b: the sets (id, n, fp) that their fingerprints link, of sizes that such a similarity allows. The least of each
+    fingerprint stands for it."""
+    least = F.struct(F.col("id").alias("id"), F.col("n").alias("n"))
+    prints = cut(sets.groupBy("fp").agg(F.min(least).alias("low")))
+    near = links(prints.select("fp", F.col("fp").alias("id")), bits)
+    side = lambda fp, x: prints.select(F.col("fp").alias(fp), F.col("low").alias(x))
+    same = sets.select("fp", least.alias("x")).join(side("fp", "y"), "fp").where("x.id <> y.id").select("x", "y")
+    pairs = same.unionByName(near.join(side("a", "x"), "a").join(side("b", "y"), "b").select("x", "y"))
+    return pairs.where(F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n") - 1e-6).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def alike(sets: DataFrame, held_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
-    """node, root: the components of sets (id, n, first) of that Jaccard similarity, of those that are
+    """node, root: the components of sets (id, n, fp, first) of that Jaccard similarity, of those that are
     linked. ``held_of`` gives the whole sets (id, s) of ids.
 
-    Two such sets share ``SHARED`` of their first shingles. First every set is compared with the least
-    that it shares so many with, which joins most of a crowd before its pairs are looked at. Of sets
+    First sets are compared that fingerprints link. Two alike sets share ``SHARED`` of their first shingles;
+    every set is also compared with the least that it shares so many with, as few of a crowd of cut or edited
+    texts have near fingerprints. That joins most sets before their pairs are looked at. Of sets
     that verified links have not joined yet, pairs are formed where the shingles that they share stand
     in few sets; a shingle in many has its sets compared in blocks, under a sixteenth of these shingles
     first."""
     met = cut(met_by(sets))
     first = met.where("id <> lo").groupBy(F.col("id").alias("a"), F.col("lo").alias("b")).agg(F.count("*").alias("c"), F.max("n").alias("n"))
-    first = cut(first.where(F.col("c") >= F.least(F.lit(SHARED), F.ceil(similarity * F.col("n") - 1e-6))).select("a", "b"))
+    first = first.where(F.col("c") >= F.least(F.lit(SHARED), F.ceil(similarity * F.col("n") - 1e-6))).select("a", "b")
+    both = linked(sets, similarity).unionByName(first).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    first = cut(both.distinct())
 
     def compared(pairs: DataFrame) -> DataFrame:
         release(sets.sparkSession)
@@ -532,7 +560,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     docs = docs.where(docs[doc_id].isNotNull())
     with Work(docs.sparkSession) as work:
         rows = work.written(begun(docs, doc_id, text, width, similarity), "first-shingles")
-        sets = rows.groupBy("id").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("first").alias("first"))
+        sets = rows.groupBy("id").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("first").alias("first"))
 
         def held_of(ids: DataFrame) -> DataFrame:
             ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids

@@ -76,3 +76,23 @@ def test_as_many_vectors_are_ranked_in_a_larger_table(spark, monkeypatch):
         true = {(q, v) for q, _, v, _ in mih.brute_force(spark, df.where(f"vec_id < {n}"))}
         assert len(found) == len(true) and len(found & true) >= 0.85 * len(true)
         assert sum(seen) <= 2 * 16 * 11 * n // 100
+
+
+def test_near_dedup_links_by_fingerprints(spark, monkeypatch):
+    """pipeline: the stage used no fingerprint; what fingerprints link is compared and joins groups by itself."""
+    rng, seen, kept = random.Random(6), [], simhash.checked
+    words = lambda n: [f"w{rng.randrange(900)}" for _ in range(n)]
+    texts = [words(300) for _ in range(30)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)] + [(30 + k, " ".join([*t[:-1], "other"])) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for text in (rows[0][1], "a b", ""):
+        x = simhash.shingle_hashes(text).tolist()
+        assert simhash.set_fingerprint(np.array(x, dtype=np.uint64)) == sum(1 << k for k in range(64) if 2 * sum(v >> k & 1 for v in x) > len(x))
+    sets = simhash.begun(docs, "doc_id", "text", 5, 0.8)
+    pairs = {(r.a, r.b) for r in simhash.linked(sets, 0.8).collect()}
+    fp = {r.id: (r.fp % 2**64, r.doc_id) for r in sets.collect()}
+    near = {(fp[a][1] % 30, fp[b][1] % 30) for a in fp for b in fp if a != b and (fp[a][0] ^ fp[b][0]).bit_count() <= 3}
+    assert len(near) > 10 and {(fp[a][1] % 30, fp[b][1] % 30) for a, b in pairs} == near
+    monkeypatch.setattr(simhash, "checked", lambda p, *rest: seen.append({frozenset((r.a, r.b)) for r in p.collect()}) or kept(p, *rest))
+    assert len(simhash.groups(docs).collect()) == 30
+    assert {frozenset(p) for p in pairs} <= seen[0]
