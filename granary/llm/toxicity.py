@@ -44,8 +44,9 @@ GRAMS, LETTERS = 300_000, 44
 CHUNK, OTHERS = 30_000, 40
 LEAST = 5  # texts that a mark must stand in
 ODDS = 2.0  # log odds from which a mark is kept
-#: Tokens, characters in them, and windows that a task remembers.
+#: Tokens, characters in them, and windows that a task remembers; tokens with all their marks, and marks that it counts at a time.
 REMEMBERED, REMEMBERED_CHARS, WINDOWS = 150_000, 4_000_000, 30_000
+WITH_MARKS, MARKS = 40_000, 40_000
 CUTOFF = 0.5
 
 #: What signs may stand for, besides nothing. Fixed values.
@@ -70,28 +71,51 @@ _REPEATED = re.compile(r"(.)\1+")
 PAD, BEGIN, END_OF_WORD, NONE, OTHER = range(5)
 
 
+def _unpacked(counts: dict[str, int] | tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of each gram, zeros before short ones, and its count."""
+    if isinstance(counts, dict):
+        points = [[*[0] * (ORDER - len(g)), *map(ord, g)] for g in counts]
+        return np.array(points, dtype=np.uint32).reshape(-1, ORDER), np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
+    grams, n = counts
+    return np.stack([grams >> np.uint64(16 * k) & np.uint64(0xFFFF) for k in range(ORDER - 1, -1, -1)], axis=1).astype(np.uint32), n
+
+
 class CharModel:
     """An interpolated character model of words, with an end mark. Letters that are not among the
     ``LETTERS`` most frequent are one symbol that is never counted."""
 
-    def __init__(self, counts: dict[str, int]):
-        by_count = sorted((g for g in counts if len(g) == 1 and g.isalpha()), key=lambda g: (-counts[g], g))
-        self.letters = sorted(by_count[:LETTERS])
-        known = {*self.letters, "^", "$"}
-        self.counts = {g: n for g, n in counts.items() if known.issuperset(g)}
-        self.context: dict[str, int] = {}
-        for g, n in self.counts.items():
-            self.context[g[:-1]] = self.context.get(g[:-1], 0) + n
+    def __init__(self, counts: dict[str, int] | tuple[np.ndarray, np.ndarray]):
+        """``counts``: of grams, as texts or packed with 16 bits a letter."""
+        self.given = counts
+        points, n = _unpacked(counts)
+        single = np.flatnonzero((points[:, -2] == 0) & (points[:, -1] > 0))
+        by_count = sorted(((-c, g) for c, g in zip(n[single].tolist(), map(chr, points[single, -1].tolist())) if g.isalpha()))
+        self.letters = sorted(g for _, g in by_count[:LETTERS])
         self.code = {"^": BEGIN, "$": END_OF_WORD} | {c: OTHER + 1 + k for k, c in enumerate(self.letters)}
         self.size = OTHER + 1 + len(self.letters)
         self.memo: dict[tuple[str, str], float] = {}
-        self.dense = self._dense()
-        self.flat = memoryview(self.dense)
         #: The symbol of every code point; 0 and 1 stand for nothing before and no letter.
         self.lookup = np.full(0x110000, OTHER, dtype=np.uint8)
         for c, k in self.code.items():
             self.lookup[ord(c)] = k
         self.lookup[:2] = PAD, NONE
+        symbols = self.lookup[points]
+        known = (symbols != OTHER).all(axis=1)
+        self.dense = self._dense(symbols[known], n[known])
+        self.flat = memoryview(self.dense)
+
+    @functools.cached_property
+    def counts(self) -> dict[str, int]:
+        known, (points, n) = {*self.letters, "^", "$"}, _unpacked(self.given)
+        grams = ("".join(map(chr, filter(None, p))) for p in points.tolist())
+        return {g: c for g, c in zip(grams, n.tolist()) if known.issuperset(g)}
+
+    @functools.cached_property
+    def context(self) -> dict[str, int]:
+        out: dict[str, int] = {}
+        for g, n in self.counts.items():
+            out[g[:-1]] = out.get(g[:-1], 0) + n
+        return out
 
     def logp(self, before: str, c: str) -> float:
         key = (before[-(ORDER - 1) :], c)
@@ -111,15 +135,14 @@ class CharModel:
                 self.memo[key] = v
         return v
 
-    def _dense(self) -> np.ndarray:
+    def _dense(self, symbols: np.ndarray, n: np.ndarray) -> np.ndarray:
         """``logp`` of every fourth symbol after every three, flat; 0 for ``NONE``."""
         s = self.size
         p = np.full((s,) * ORDER, 1e-4, dtype=np.float32)
         for k in range(ORDER):  # contexts of k symbols; what stands further back does not matter
             found = np.zeros((s,) * (k + 1), dtype=np.float32)
-            for g, n in self.counts.items():
-                if len(g) == k + 1:
-                    found[tuple(self.code[c] for c in g)] = n
+            own = (symbols > PAD).sum(axis=1) == k + 1
+            found[tuple(symbols[own, ORDER - 1 - k :].T)] = n[own]
             total = found.sum(axis=-1, keepdims=True, dtype=np.float64).astype(np.float32)
             p *= 3 / (total + 3)
             found /= total + 3
@@ -417,7 +440,7 @@ class Reader:
         """The marks of a text."""
         low = (text or "").lower()
         known = self.tokens
-        if len(known) > REMEMBERED or known.held > REMEMBERED_CHARS:
+        if len(known) > (REMEMBERED if self.wanted is not None else WITH_MARKS) or known.held > REMEMBERED_CHARS:
             known.forget()
         split = low.split()
         at = np.fromiter(map(known.__getitem__, split), dtype=np.int64, count=len(split))
@@ -506,7 +529,7 @@ class Reader:
 _HELD: dict[str, CharModel] = {}
 
 
-def held_model(key: str, counts: dict[str, int]) -> CharModel:
+def held_model(key: str, counts: tuple[np.ndarray, np.ndarray]) -> CharModel:
     if key not in _HELD:
         _HELD.clear()
         _HELD[key] = CharModel(counts)
@@ -514,7 +537,7 @@ def held_model(key: str, counts: dict[str, int]) -> CharModel:
 
 
 class Scorer:
-    def __init__(self, counts: dict[str, int], weights: dict[str, float], bias: float):
+    def __init__(self, counts: tuple[np.ndarray, np.ndarray], weights: dict[str, float], bias: float):
         self.counts, self.weights, self.bias = counts, weights, bias
 
     def score(self, ids) -> float:
@@ -614,9 +637,9 @@ def _counted(table: GramTable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["g", "n"])
 
 
-def gram_counts(docs: DataFrame, text: str, most: int = GRAMS) -> dict[str, int]:
-    """The character grams of the words of all texts, each as often as texts hold its token; the ``most``
-    frequent ones. A task counts tokens and cuts grams from distinct ones, so only grams are shuffled."""
+def gram_counts(docs: DataFrame, text: str, most: int = GRAMS) -> tuple[np.ndarray, np.ndarray]:
+    """The character grams of the words of all texts, packed with 16 bits a letter (as texts they would take
+    ten times the memory of every worker), each as often as texts hold its token; the ``most`` frequent ones. A task counts tokens and cuts grams from distinct ones, so only grams are shuffled."""
     tune(docs.sparkSession, 256)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -640,7 +663,8 @@ def gram_counts(docs: DataFrame, text: str, most: int = GRAMS) -> dict[str, int]
         yield _counted(table)
 
     grams = docs.select(docs[text]).mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 4")
-    return {spelt(r.g): r.n for r in grams.orderBy(F.desc("n"), "g").limit(most).collect()}  # at most ``most`` rows
+    found = grams.orderBy(F.desc("n"), "g").limit(most).toArrow()  # at most ``most`` rows
+    return found["g"].to_numpy().astype(np.int64).view(np.uint64), found["n"].to_numpy().astype(np.int64)
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Scorer | None:
@@ -664,6 +688,12 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id:
 
     def count_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, found = Reader(held_model(key, held.value), None, False), {}
+
+        def counted() -> pa.RecordBatch:
+            cols = [pa.array(list(found), pa.string()), pa.array([v[1] for v in found.values()], pa.int64()), pa.array([v[0] for v in found.values()], pa.int64())]
+            found.clear()
+            return pa.RecordBatch.from_arrays(cols, names=["mark", "bad", "good"])
+
         for b in batches:
             for y, t in zip(b.column(0).to_pylist(), b.column(1)):
                 for i in reader.ids(t.as_py()):
@@ -671,8 +701,9 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id:
                     if v is None:
                         v = found[i] = [0, 0]
                     v[1 if y else 0] += 1
-        cols = [pa.array(list(found), pa.string()), pa.array([v[1] for v in found.values()], pa.int64()), pa.array([v[0] for v in found.values()], pa.int64())]
-        yield pa.RecordBatch.from_arrays(cols, names=["mark", "bad", "good"])
+                if len(found) > MARKS:
+                    yield counted()
+        yield counted()
 
     per_mark = rows.mapInArrow(count_marks, "mark string, bad long, good long").groupBy("mark").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = F.log((F.col("bad") + 0.5) / (sizes[1] + 1)) - F.log((F.col("good") + 0.5) / (sizes[0] + 1))

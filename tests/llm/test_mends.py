@@ -6,7 +6,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from granary.llm import htmltext, langid, mih, sharding, simhash
+from granary.llm import htmltext, langid, mih, sharding, simhash, toxicity
 
 
 def test_any_version_places_any_records(spark):
@@ -96,3 +96,22 @@ def test_near_dedup_links_by_fingerprints(spark, monkeypatch):
     monkeypatch.setattr(simhash, "checked", lambda p, *rest: seen.append({frozenset((r.a, r.b)) for r in p.collect()}) or kept(p, *rest))
     assert len(simhash.groups(docs).collect()) == 30
     assert {frozenset(p) for p in pairs} <= seen[0]
+
+
+def test_packed_grams_make_the_same_model_in_less_memory(monkeypatch):
+    """pipeline, op8_toxicity: each worker held the counts twice as texts, and all marks of all tokens."""
+    rng = random.Random(2)
+    counts = {}
+    for _ in range(4000):
+        for g in toxicity.grams_of("".join(rng.choice("abcdefghijklmnopqé") for _ in range(rng.randint(1, 8)))):
+            counts[g] = counts.get(g, 0) + 1
+    number = lambda g: sum(ord(c) << 16 * k for k, c in enumerate(reversed(g)))
+    packed = np.array([number(g) for g in counts], dtype=np.uint64), np.array([*counts.values()])
+    a, b = toxicity.CharModel(counts), toxicity.CharModel(packed)
+    assert (a.dense == b.dense).all() and a.letters == b.letters and a.counts == b.counts == counts
+    assert not {"counts", "context"} & vars(toxicity.CharModel(packed)).keys()
+    monkeypatch.setattr(toxicity, "WITH_MARKS", 100)
+    reader = toxicity.Reader(b, None, False)
+    for k in range(50):
+        reader.ids(" ".join(f"word{k}x{j}".replace("0", "o") for j in range(40)))
+    assert len(reader.tokens) <= 140
